@@ -113,7 +113,7 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_n
     materialised and every partition's offset is added to its own positions.
     """
     if df.count() <= small:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     placed = cut(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
     part, pos = F.shiftright("_m", 33), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = sorted(placed.groupBy(part.alias("p")).count().collect())
