@@ -42,7 +42,7 @@ def _split_parts(spark, d):
     return sampling.split(table(spark, d, "part"), "p_partkey", "p_type", 0.2)
 
 
-@query("knn_classify", f"""WITH {_NEAR} SELECT id AS p_partkey, label AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(w, 9) DESC, label) AS r FROM votes) WHERE r = 1""")
+@query("knn_classify", f"""WITH {_NEAR} SELECT id AS p_partkey, label AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY w DESC, label) AS r FROM (SELECT id, label, round(w / sum(w) OVER (PARTITION BY id), 12) AS w FROM votes)) WHERE r = 1""")
 def knn_classify(spark, d):
     train, test = _split_parts(spark, d)
     return neighbors.classify(train, test, ["p_size", "p_retailprice"], "p_type", "p_partkey", 5)
@@ -166,7 +166,7 @@ pr AS (SELECT q.id, q.y AS truth, r.id AS r, r.y, ((q.a - r.a) / sa) ** 2 + ((q.
  FROM te q, tr r, sd, bv x, bv z WHERE x.p_brand = q.p_brand AND z.p_brand = r.p_brand),
 nn AS (SELECT *, min(s) OVER (PARTITION BY id) = 0 AS zero FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s, r) AS rank FROM pr) WHERE rank <= 5),
 v AS (SELECT id, truth, y, sum(CASE WHEN zero THEN (s = 0)::INT::DOUBLE ELSE 1 / sqrt(s) END) AS w FROM nn GROUP BY ALL),
-p AS (SELECT id, truth, y, row_number() OVER (PARTITION BY id ORDER BY round(w, 9) DESC, y) AS o FROM v)"""
+p AS (SELECT id, truth, y, row_number() OVER (PARTITION BY id ORDER BY w DESC, y) AS o FROM (SELECT id, truth, y, round(w / sum(w) OVER (PARTITION BY id), 12) AS w FROM v))"""
 
 
 @query("imputation_holdout_accuracy", f"WITH {_HOLDOUT} SELECT round(avg((truth = y)::INT), 6) AS accuracy, count(*) AS n FROM p WHERE o = 1")

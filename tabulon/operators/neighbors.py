@@ -286,17 +286,19 @@ def weighted_mean(near: DataFrame, value: str, weights: str = "distance") -> Dat
 
 
 def class_shares(near: DataFrame, label: str, weights: str = "distance") -> DataFrame:
-    """(query_id, label, proba): normalised vote per class found among the neighbours."""
+    """(query_id, label, proba): normalised vote per class found among the neighbours.
+
+    Shares keep twelve digits, so that equal votes tie whatever the order of addition.
+    """
     votes = near.withColumn("w", _weights(weights)).groupBy("query_id", label).agg(F.sum("w").alias("votes"))
     total = F.sum("votes").over(Window.partitionBy("query_id"))
-    return votes.select("query_id", label, (F.col("votes") / total).alias("proba"))
+    return votes.select("query_id", label, F.round(F.col("votes") / total, 12).alias("proba"))
 
 
 def vote(near: DataFrame, label: str, weights: str = "distance") -> DataFrame:
     """(query_id, prediction): class with the largest vote, the smaller class on ties."""
-    votes = near.withColumn("w", _weights(weights)).groupBy("query_id", label).agg(F.sum("w").alias("votes"))
-    w = Window.partitionBy("query_id").orderBy(F.col("votes").desc(), label)
-    return votes.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
+    w = Window.partitionBy("query_id").orderBy(F.col("proba").desc(), label)
+    return class_shares(near, label, weights).withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
         "query_id", F.col(label).alias("prediction"))
 
 

@@ -115,7 +115,9 @@ class KnnScorer:
             exact = F.min("psum").over(w) == 0
             weight = F.when(exact, (F.col("psum") == 0).cast("double")).otherwise(
                 F.try_divide(F.lit(1.0), F.sqrt("psum")))
-        votes = kept.withColumn("w", weight).groupBy("subset", "query_id", "label").agg(F.sum("w").alias("w"))
+        # Shares of twelve digits, so that equal votes tie whatever the order of addition.
+        votes = kept.withColumn("w", weight).groupBy("subset", "query_id", "label").agg(F.sum("w").alias("w")).withColumn(
+            "w", F.round(F.col("w") / F.sum("w").over(w), 12))
         # Largest vote, then the smaller class.
         picked = votes.groupBy("subset", "query_id").agg(
             F.max(F.struct(F.col("w"), (-F.col("label")).alias("neg"))).alias("s"))

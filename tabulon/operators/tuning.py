@@ -65,6 +65,8 @@ def _knn_scores(combos, spec, folded, features, label, id_col, folds) -> list[fl
             w = F.when(F.col("how") == "uniform", 1.0).when(exact == 1, (F.col("distance") == 0).cast("double")).otherwise(
                 F.try_divide(F.lit(1.0), F.col("distance")))
             votes = each.withColumn("w", w).groupBy("combo", "query_id", "_truth", label).agg(F.sum("w").alias("w"))
+            share = F.round(F.col("w") / F.sum("w").over(Window.partitionBy("combo", "query_id")), 12)
+            votes = votes.withColumn("w", share)
             order = Window.partitionBy("combo", "query_id").orderBy(F.col("w").desc(), label)
             hit = votes.withColumn("_r", F.row_number().over(order)).where("_r = 1").groupBy("combo").agg(
                 F.avg((F.col(label) == F.col("_truth")).cast("double")).alias("s"))
