@@ -129,8 +129,8 @@ def prepared_features(spark, d):
 @query("lasso_one_feature", """WITH s AS (SELECT covar_pop(l_extendedprice, l_quantity) / stddev_pop(l_quantity) AS r FROM lineitem)
 SELECT 1::BIGINT AS rank, 'l_quantity' AS feature, round(sign(r) * greatest(abs(r) - 5000, 0), 2) AS coefficient, round(greatest(abs(r) - 5000, 0), 2) AS abs_coefficient, abs(r) > 5000 AS is_selected FROM s""")
 def lasso_one_feature(spark, d):
-    li = table(spark, d, "lineitem").select(F.monotonically_increasing_id().alias("row_id"), "l_quantity", "l_extendedprice")
-    return out(selection.lasso(li, "row_id", "l_extendedprice", ["l_quantity"], alpha=5000.0)[0], 2)
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    return out(selection.lasso(li, "l_orderkey", "l_extendedprice", ["l_quantity"], alpha=5000.0)[0], 2)
 
 
 def _home_numbers(spark, d):

@@ -25,10 +25,10 @@ def labelled_source(spark, d):
         "o_orderkey", "c_acctbal", "o_orderstatus")
 
 
-@query("required_columns_source", "SELECT count(*) AS n_rows, sum(n_nationkey)::BIGINT AS s FROM nation")
+@query("required_columns_source", "SELECT count(*) AS n_rows, sum(l_linenumber)::BIGINT AS s FROM lineitem")
 def required_columns_source(spark, d):
-    df = readers.load_preprocessed(spark, f"{d}/nation.parquet", ("n_nationkey", "n_regionkey"))
-    return df.agg(F.count("*").alias("n_rows"), F.sum("n_nationkey").alias("s"))
+    df = readers.load_preprocessed(spark, f"{d}/lineitem.parquet", ("l_orderkey", "l_linenumber"))
+    return df.agg(F.count("*").alias("n_rows"), F.sum("l_linenumber").alias("s"))
 
 
 @query("feature_list_source", """SELECT p_brand AS feature, row_number() OVER (ORDER BY n DESC, p_brand) AS rank FROM (
@@ -70,20 +70,22 @@ def best_params_store(spark, d):
 
 # ---- projections and filters ------------------------------------------------------------------------
 
-@query("normalized_names", "SELECT r_regionkey::BIGINT AS r_key, r_name FROM region")
+@query("normalized_names", "SELECT s_suppkey AS s_key, s_name AS supplier_name FROM supplier")
 def normalized_names(spark, d):
-    raw = table(spark, d, "region").toDF(" R_Key", "R_NAME ")
+    raw = table(spark, d, "supplier").select("s_suppkey", "s_name").toDF(" S_Key", "SUPPLIER_Name ")
     return longs(clean.normalize_names(raw))
 
 
 @query("candidate_columns", """SELECT unnest(['p_name', 'p_brand', 'p_size', 'p_retailprice']) AS feature,
-  unnest(['', '', 'numeric', 'numeric']) AS numeric_kind, unnest(['discrete', 'discrete', 'discrete', '']) AS discrete_kind""")
+  unnest(['categorical', 'categorical', 'numeric', 'numeric']) AS kind, unnest([count(DISTINCT p_name), count(DISTINCT p_brand), count(DISTINCT p_size), count(DISTINCT p_retailprice)]) AS n_values FROM part""")
 def candidate_columns(spark, d):
     p = table(spark, d, "part")
     cand = clean.candidate_features(p, "p_type", ["p_partkey"])
     kinds = clean.feature_kinds(p.select(cand))
-    rows = [(c, "numeric" if c in kinds["numeric"] else "", "discrete" if c in kinds["discrete"] else "") for c in cand]
-    return spark.createDataFrame(rows, "feature string, numeric_kind string, discrete_kind string")
+    kind = {c: k for k in ("numeric", "categorical") for c in kinds[k]}
+    return p.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.lit(kind[c]).alias("kind"), F.col(c).cast("string").alias("v"))
+        for c in cand])).alias("c")).select("c.*").distinct().groupBy("feature", "kind").agg(F.count("v").alias("n_values"))
 
 
 @query("few_valued_columns", """WITH n AS (

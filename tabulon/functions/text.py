@@ -6,8 +6,9 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
-_EDGE_SPACE = r"^[\s\x1c-\x1f\x85   -     　]+" \
-              r"|[\s\x1c-\x1f\x85   -     　]+$"
+# The characters Python's str.strip removes.
+_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+          "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 @lru_cache(maxsize=1)
@@ -27,7 +28,7 @@ def _fold_pairs() -> tuple[str, str]:
 
 def strip(col: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(col, _EDGE_SPACE, "")
+    return F.btrim(col, F.lit(_SPACE))
 
 
 def empty_to_null(col: Column) -> Column:
@@ -37,8 +38,9 @@ def empty_to_null(col: Column) -> Column:
 def ascii_fold(col: Column) -> Column:
     """Strip, drop accents, drop what is still not ASCII; nothing left becomes NULL."""
     src, dst = _fold_pairs()
-    plain = F.translate(strip(col.cast("string")), src, dst)
-    return empty_to_null(F.regexp_replace(plain, r"[^\x00-\x7F]", ""))
+    text = strip(col.cast("string"))
+    plain = F.regexp_replace(F.translate(text, src, dst), r"[^\x00-\x7F]", "")
+    return empty_to_null(F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text))
 
 
 def clean_category(col: Column) -> Column:

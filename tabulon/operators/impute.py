@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tabulon.functions.numeric import clip
 from tabulon.operators import neighbors
 from tabulon.operators.order import fit_medians, quantiles
+from tabulon.session import cut
 
 
 @dataclass
@@ -55,7 +56,8 @@ def impute_mean_median(train: DataFrame, test: DataFrame, column: str) -> dict[s
 
 def group_medians(train: DataFrame, column: str, levels: Sequence[Sequence[str]]) -> list[DataFrame]:
     """Per level a table (keys..., median) of groups with at least one known value."""
-    known = train.where(F.col(column).isNotNull())
+    every = sorted({k for keys in levels for k in keys if k in train.columns})
+    known = cut(train.where(F.col(column).isNotNull()).select(*every, column))
     out = []
     for keys in levels:
         keys = list(keys)

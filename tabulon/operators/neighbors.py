@@ -18,6 +18,7 @@ from tabulon.session import cut
 
 BLOCK_ROWS = 2048
 MAX_BOXES = 4096
+FEW_PAIRS = 256   # up to so many block pairs are all compared without looking for boxes to skip
 SAMPLE_ROWS = 40_000
 
 
@@ -134,6 +135,11 @@ def _block_count(sizes: dict[int, int]):
     return F.coalesce(F.try_element_at(table, F.col("leaf")), F.lit(1))
 
 
+def partitions_for(spark, groups: int) -> int:
+    """Shuffle partitions for so many compute-heavy groups."""
+    return max(1, min(2 * groups, max(4096, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))))
+
+
 def _sizes(df: DataFrame) -> dict[int, int]:
     return {r[0]: r[1] for r in df.groupBy("leaf").count().collect()}
 
@@ -174,6 +180,10 @@ def _compare(asks: DataFrame, refs: DataFrame, ask_sizes: dict, ref_sizes: dict,
         T.StructField("query_id", types["query_id"]), T.StructField("neighbor_id", types["neighbor_id"]),
         T.StructField("psum", T.DoubleType()), *[T.StructField(c, types[c]) for c in payload]])
     keys = ["leaf", "ab", "rb"]
+    # A fixed partition number: the work is in the comparison, which small input bytes would hide from AQE.
+    groups = sum(-(-c // BLOCK_ROWS) * -(-ref_sizes.get(leaf, 0) // BLOCK_ROWS) for leaf, c in ask_sizes.items())
+    n = partitions_for(a.sparkSession, groups)
+    a, r = a.repartition(n, *keys), r.repartition(n, *keys)
     return a.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(best, schema)
 
 
@@ -209,12 +219,12 @@ def nearest(queries: DataFrame, refs: DataFrame, features: Sequence[str], k: int
 
 def _nearest_distinct(q: DataFrame, r: DataFrame, k: int, power: float, width: int, payload: list[str]) -> DataFrame:
     types = {f.name: f.dataType for f in [*r.schema, *q.schema]}
-    n = r.count()
+    n, n_q = r.count(), q.count()
 
     leaves = min(MAX_BOXES, max(1, n // BLOCK_ROWS))
-    if leaves <= 4:
+    if leaves <= 4 or -(-n // BLOCK_ROWS) * -(-n_q // BLOCK_ROWS) <= FEW_PAIRS:
         r0, q0 = r.withColumn("leaf", F.lit(0)), q.withColumn("leaf", F.lit(0))
-        near = _compare(q0, r0, {0: q.count()}, {0: n}, k, power, width, payload, types)
+        near = _compare(q0, r0, {0: n_q}, {0: n}, k, power, width, payload, types)
         return _keep_best(near, k)
 
     share = min(1.0, 1.2 * SAMPLE_ROWS / n)

@@ -14,8 +14,6 @@ _SPLITS = 1000
 
 
 def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    if not keys:
-        return df.count()
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
@@ -28,7 +26,8 @@ def quantiles(df: DataFrame, columns: Iterable[str], probs: Sequence[float],
     ranges by global splitters, and only the ranges that hold a wanted rank are sorted.
     """
     columns, probs, keys = list(columns), [float(p) for p in probs], list(keys)
-    if _largest_group(df, keys) <= group_limit:
+    # The whole table bounds every group, so most tables need one cheap count only.
+    if df.count() <= group_limit or (keys and _largest_group(df, keys) <= group_limit):
         arr = F.array(*[F.lit(p) for p in probs])
         wide = df.groupBy(*keys).agg(*[
             F.percentile(F.col(c).cast("double"), arr).alias(f"_q{i}") for i, c in enumerate(columns)

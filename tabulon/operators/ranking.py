@@ -13,6 +13,7 @@ from tabulon.operators.clean import (candidate_features, feature_kinds, few_valu
 from tabulon.operators.encode import apply_scaler, dummies, encode_label, fit_minmax
 from tabulon.operators.order import number_rows, top_n
 from tabulon.operators.sampling import draw_with_replacement
+from tabulon.session import cut
 
 
 # ---- entropy and information gain ---------------------------------------------------------------
@@ -84,7 +85,7 @@ def rank_information_gain(df: DataFrame, label: str, exclude: Iterable[str] = ()
 
 # ---- correlation ------------------------------------------------------------------------------------
 
-WIDE = 16  # above this many columns the pair statistics come from block products
+WIDE = 3  # above this many columns the pair statistics come from block products
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -177,7 +178,8 @@ def rank_correlations(df: DataFrame, label: str | None = None, exclude: Iterable
         pairs = correlations(df, numeric)
         return {"pairs": pairs, "redundancy": redundancy_ranking(pairs)}
     coded = encode_label(df, label, "_y")
-    every = correlations(coded.select(*numeric, F.col("_y").cast("double").alias("_y")), [*numeric, "_y"])
+    # p*p rows that three rankings share: computed once.
+    every = cut(correlations(coded.select(*numeric, F.col("_y").cast("double").alias("_y")), [*numeric, "_y"]))
     pairs = every.where("feature_2 <> '_y'")
     redundancy = redundancy_ranking(pairs)
     supervised = every.where("feature_2 = '_y'").select(
@@ -203,11 +205,11 @@ def relief(df: DataFrame, id_col: str, label: str, exclude: Iterable[str] = (),
     cand = [c for c in candidate_features(df, label, exclude) if c != id_col]
     work = encode_label(df.select(id_col, label, *cand), label, "_y").drop(label)
     if encode:
-        work = dummies(work, [c for c in feature_kinds(work.select(cand))["categorical"]])
+        work = dummies(work, feature_kinds(work.select(cand))["categorical"])
     features = [c for c in work.columns if c not in (id_col, "_y")]
     require_no_nulls(work, features)
     require_class_size(work, "_y", 2)
-    scaled = apply_scaler(work, fit_minmax(work, features))
+    scaled = cut(apply_scaler(work, fit_minmax(work, features)))
     n = scaled.count()
     k = max(3, min(int(k), n))
     if n_iterations is None:

@@ -53,7 +53,7 @@ class KnnScorer:
     block) task forms the per-feature gaps once and keeps k rows per subset and query.
     """
 
-    block = 8192
+    train_block, valid_block = 8192, 512
 
     def __init__(self, train: DataFrame, valid: DataFrame, features: Sequence[str], id_col: str,
                  label: str = "_y", k: int = 5, weights: str = "distance", scale: bool = False):
@@ -73,7 +73,7 @@ class KnnScorer:
         sets = [[at[c] for c in s] for s in subsets]
         self.evaluated += len(sets)
         k, width = self.k, len(self.features)
-        n_t, n_v = -(-self.n_train // self.block), -(-self.n_valid // self.block)
+        n_t, n_v = -(-self.n_train // self.train_block), -(-self.n_valid // self.valid_block)
 
         def every(n):
             return F.explode(F.sequence(F.lit(0), F.lit(max(0, n - 1))))
@@ -106,6 +106,8 @@ class KnnScorer:
             if not out:
                 return pd.DataFrame({f.name: [] for f in schema})
             return pd.concat(out, ignore_index=True)
+        n = neighbors.partitions_for(v.sparkSession, n_t * n_v)
+        v, t = v.repartition(n, "vb", "tb"), t.repartition(n, "vb", "tb")
         near = v.groupBy("vb", "tb").cogroup(t.groupBy("vb", "tb")).applyInPandas(best, schema)
         w = Window.partitionBy("subset", "query_id")
         kept = near.withColumn("_r", F.row_number().over(w.orderBy("psum", "neighbor_id"))).where(F.col("_r") <= k)
@@ -469,8 +471,8 @@ def lasso(df: DataFrame, id_col: str, label: str, features: Sequence[str], alpha
         raise ValueError("alpha must be positive")
     if cv_folds < 2:
         raise ValueError("cv_folds must be at least 2")
-    std = apply_scaler(df.select(id_col, F.col(label).cast("double").alias("_t"), *features),
-                       fit_standard(df, features))
+    data = cut(df.select(id_col, F.col(label).cast("double").alias("_t"), *features))
+    std = apply_scaler(data, fit_standard(data, features))
     path = []
     if alpha is None:
         folded = value_rank(std, id_col).withColumn("_fold", _fold(cv_folds))
