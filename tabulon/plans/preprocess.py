@@ -15,6 +15,27 @@ from tabulon.sources.readers import join_labels, map_labels
 from tabulon.spec import DatasetSpec
 
 
+@dataclass(frozen=True)
+class Transform:
+    """Fitted state of a preprocessing run; applies to any frame, also a streaming one."""
+    bounds: dict
+    fills: dict
+    scaler: encode.Scaler
+    one_hot: encode.OneHot
+    age_col: str | None = None
+    age_upper: float | None = None
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Flag, outliers to NULL, fill, scale, one-hot: projections only, no state and no shuffle."""
+        out = normalize_names(df)
+        if self.age_col and self.age_upper is not None and self.age_col in out.columns:
+            out = upper_flag(out, self.age_col, self.age_upper)
+        out = null_outside(out, self.bounds)
+        fills = {c: v for c, v in self.fills.items() if c in out.columns}
+        out = impute.fill_medians(out, fills)
+        return encode.apply_one_hot(encode.apply_scaler(out, self.scaler), self.one_hot)
+
+
 @dataclass
 class Preprocessed:
     train: DataFrame
@@ -25,6 +46,7 @@ class Preprocessed:
     scaler: encode.Scaler
     one_hot: encode.OneHot
     reports: dict = field(default_factory=dict)
+    transform: Transform | None = None   # only for the mean and median strategies
 
 
 def _model_ready(df: DataFrame, id_col: str, label: str, seed: int, test_share: float):
@@ -33,7 +55,8 @@ def _model_ready(df: DataFrame, id_col: str, label: str, seed: int, test_share:
     features = [c for c in wide.columns if c not in (id_col, label)]
     marked = cut(mark_split(wide, id_col, label, test_share, seed, "_test"))
     train, valid = marked.where("_test = 0").drop("_test"), marked.where("_test = 1").drop("_test")
-    medians = fit_medians(train, features)
+    # One-hot columns are never NULL, only the columns that were numeric before can need a fill.
+    medians = fit_medians(train, [c for c in features if c in df.columns])
     train, valid = impute.fill_medians(train, medians, 0.0), impute.fill_medians(valid, medians, 0.0)
     scaler = encode.fit_standard(train, features, center=False)
     return encode.apply_scaler(train, scaler), encode.apply_scaler(valid, scaler), features
@@ -110,12 +133,13 @@ def preprocess(train: DataFrame, labels: DataFrame, test: DataFrame, spec: Datas
     reports = {"duplicates": quality.duplicate_keys(train, spec.id_col),
                "outliers_train": outliers.iqr_report(train, cols, k), "outliers_test": outliers.iqr_report(test, cols, k)}
     bounds = outliers.fit_bounds(train, cols, k, only_with_outliers=True)
+    upper = None
     if spec.age_col in train.columns:
         upper = outliers.fit_bounds(train, [spec.age_col], k)[spec.age_col][1]
         train, test = upper_flag(train, spec.age_col, upper), upper_flag(test, spec.age_col, upper)
     train, test = cut(null_outside(train, bounds)), cut(null_outside(test, bounds))
 
-    chosen = None
+    chosen, fills = None, {}
     if bounds:
         chosen = strategy
         if strategy == "auto":
@@ -124,6 +148,7 @@ def preprocess(train: DataFrame, labels: DataFrame, test: DataFrame, spec: Datas
         for c in bounds:  # later columns see the values imputed before
             done = impute.impute(train, test, c, chosen, spec.id_col)
             train, test = cut(done.train), cut(done.test)
+            fills[c] = done.info.get("value")
 
     flags, allowed = spec.present(train, "flags"), {c: v for c, v in spec.allowed.items() if c in train.columns}
     if flags or allowed:
@@ -136,4 +161,6 @@ def preprocess(train: DataFrame, labels: DataFrame, test: DataFrame, spec: Datas
     labelled = join_labels(train, labels, spec.id_col)
     reports["nulls"] = quality.null_share(labelled)
     reports["classes"] = quality.class_distribution(labelled, spec.label_col)
-    return Preprocessed(train, test, labelled, chosen, bounds, scaler, one_hot, reports)
+    simple = all(v is not None for v in fills.values())
+    transform = Transform(bounds, fills, scaler, one_hot, spec.age_col, upper) if simple else None
+    return Preprocessed(train, test, labelled, chosen, bounds, scaler, one_hot, reports, transform)
