@@ -7,6 +7,7 @@ from typing import Iterable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabulon.operators.order import number_rows
+from tabulon.session import small_side
 
 MAX_CATEGORIES = 10_000  # a category becomes a column, so their number must stay a schema-sized one
 
@@ -24,18 +25,18 @@ def encode_label(df: DataFrame, label: str, name: str = "label_idx") -> DataFram
     """Numeric labels are cast to integer; others get the 0-based code of their sorted values."""
     if isinstance(df.schema[label].dataType, T.NumericType):
         return df.withColumn(name, F.col(label).cast("int"))
-    return df.join(value_index(df, label, 0, name), label, "left")
+    return df.join(small_side(value_index(df, label, 0, name)), label, "left")
 
 
 def decode_label(df: DataFrame, index: DataFrame, label: str, column: str, name: str) -> DataFrame:
     """Inverse of ``encode_label``: integer codes in ``column`` back to label values."""
     back = index.select(F.col("idx").alias(column), F.col(label).alias(name))
-    return df.join(back, column, "left")
+    return df.join(small_side(back), column, "left")
 
 
 def fit_geo_index(train: DataFrame, columns: Iterable[str]) -> dict[str, DataFrame]:
     """Per column a 1-based index of the values seen in training."""
-    return {c: value_index(train, c, 1, f"{c}_idx") for c in columns}
+    return {c: small_side(value_index(train, c, 1, f"{c}_idx")) for c in columns}
 
 
 def apply_geo_index(df: DataFrame, fitted: dict[str, DataFrame]) -> DataFrame:

@@ -24,10 +24,12 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequen
 def class_report(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Precision, recall, f1 and support of every class (0 where undefined)."""
     counts = pair_counts(df, label, prediction, by)
-    sides = (counts.select(*by, F.col("label").alias("cls"), F.col("n").alias("t"), F.lit(0).alias("p"),
-                           F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("tp"))
-             .unionByName(counts.select(*by, F.col("prediction").alias("cls"), F.lit(0).alias("t"),
-                                        F.col("n").alias("p"), F.lit(0).alias("tp"))))
+    zero, n = F.lit(0).cast("long"), F.col("n")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(zero)
+    sides = counts.select(*by, F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), n.alias("t"), zero.alias("p"), hit.alias("tp")),
+        F.struct(F.col("prediction").alias("cls"), zero.alias("t"), n.alias("p"), zero.alias("tp")))).alias("s")
+    ).select(*by, "s.*")
     sums = sides.groupBy(*by, "cls").agg(F.sum("t").cast("long").alias("support"), F.sum("p").alias("_p"),
                                          F.sum("tp").alias("_tp"))
     return sums.select(

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tabulon.functions.numeric import clip
 from tabulon.operators import neighbors
 from tabulon.operators.order import fit_medians, quantiles
-from tabulon.session import cut
+from tabulon.operators.moments import centred, cross_products, means
+from tabulon.session import cut, small_side
 
 
 @dataclass
@@ -62,7 +63,7 @@ def group_medians(train: DataFrame, column: str, levels: Sequence[Sequence[str]]
     for keys in levels:
         keys = list(keys)
         if all(k in train.columns for k in keys):
-            out.append(quantiles(known, [column], [0.5], keys).select(*keys, F.col("q0").alias("median")))
+            out.append(small_side(quantiles(known, [column], [0.5], keys).select(*keys, F.col("q0").alias("median"))))
     return out
 
 
@@ -76,8 +77,6 @@ def apply_group_medians(df: DataFrame, column: str, tables: list[DataFrame], ove
     out = df
     for i, table in enumerate(tables):
         keys = [c for c in table.columns if c != "median"]
-        # The group table has one row per group: a small one is broadcast by AQE, and beyond its
-        # threshold AQE splits a hot group's rows in the sort-merge join.
         out = _lookup(out, table, keys, column, f"_m{i}")
         value = F.coalesce(value, F.col(f"_m{i}"))
         level = level.when(F.col(f"_m{i}").isNotNull(), i + 1)
@@ -141,34 +140,17 @@ def _known(train, column):
 
 
 def fit_linear(df: DataFrame, target: str, features: Sequence[str]) -> tuple[float, dict[str, float]]:
-    """Least-squares intercept and coefficients from centred moments.
+    """Least-squares intercept and coefficients (minimum norm if singular).
 
-    One aggregate gives the means, a second the (p+1)x(p+1) co-moments, so the data
-    is never collected; only that matrix is solved here (minimum norm if singular).
+    Only the (p+1)x(p+1) centred moment matrix is solved here; the data stay on the executors.
     """
     names = [*features, target]
-    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)]).first()
-    mean = [row[f"m{i}"] for i in range(len(names))]
-    d = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(names, mean)]
-    p = len(features)
-    pairs = [(i, j) for i in range(p) for j in range(i, p + 1)]
-    got = df.agg(*[F.sum(d[i] * d[j]).alias(f"s{i}_{j}") for i, j in pairs]).first()
-    a, b = np.zeros((p, p)), np.zeros(p)
-    for i, j in pairs:
-        if j == p:
-            b[i] = got[f"s{i}_{j}"]
-        else:
-            a[i, j] = a[j, i] = got[f"s{i}_{j}"]
+    shift = means(df, names)
+    _, rest, c = centred(cross_products(df, names, shift)[0])
+    mean, a, b = shift + rest, c[:-1, :-1], c[:-1, -1]
     s = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
     w = np.linalg.lstsq(a / np.outer(s, s), b / s, rcond=1e-12)[0] / s
-    return float(mean[p] - np.dot(w, mean[:p])), dict(zip(features, map(float, w)))
-
-
-def linear_expr(intercept: float, weights: dict[str, float]):
-    out = F.lit(float(intercept))
-    for c, w in weights.items():
-        out = out + F.col(c).cast("double") * F.lit(float(w))
-    return out
+    return float(mean[-1] - np.dot(w, mean[:-1])), dict(zip(features, map(float, w)))
 
 
 def impute_linear(train: DataFrame, test: DataFrame, column: str, id_col: str | None = None,

@@ -307,9 +307,8 @@ def class_shares(near: DataFrame, label: str, weights: str = "distance") -> Data
 
 def vote(near: DataFrame, label: str, weights: str = "distance") -> DataFrame:
     """(query_id, prediction): class with the largest vote, the smaller class on ties."""
-    w = Window.partitionBy("query_id").orderBy(F.col("proba").desc(), label)
-    return class_shares(near, label, weights).withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
-        "query_id", F.col(label).alias("prediction"))
+    first = F.min(F.struct((-F.col("proba")).alias("s"), F.col(label).alias("cls")))
+    return class_shares(near, label, weights).groupBy("query_id").agg(first.getField("cls").alias("prediction"))
 
 
 def classify(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, id_col: str, k: int = 5,

@@ -6,10 +6,10 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabulon.session import cut
+from tabulon.session import cut, small_side
 
-# Above this many rows per group the built-in percentile (one buffer per group) is not used.
-GROUP_LIMIT = 2_000_000
+# Above this many values per group the built-in percentile (buffers in one task per group) is not used.
+GROUP_LIMIT = 4_000_000
 _SPLITS = 1000
 
 
@@ -27,7 +27,8 @@ def quantiles(df: DataFrame, columns: Iterable[str], probs: Sequence[float],
     """
     columns, probs, keys = list(columns), [float(p) for p in probs], list(keys)
     # The whole table bounds every group, so most tables need one cheap count only.
-    if df.count() <= group_limit or (keys and _largest_group(df, keys) <= group_limit):
+    rows = group_limit // max(1, len(columns))
+    if df.count() <= rows or (keys and _largest_group(df, keys) <= rows):
         arr = F.array(*[F.lit(p) for p in probs])
         wide = df.groupBy(*keys).agg(*[
             F.percentile(F.col(c).cast("double"), arr).alias(f"_q{i}") for i, c in enumerate(columns)
@@ -130,50 +131,61 @@ def hash_order(id_col: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
-def hash_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = (),
-              rank: str = "rn", total: str = "class_n") -> DataFrame:
-    """Exact 1-based rank in hash order within each class, and the class size.
+def _ranged(df: DataFrame, bucket: Column, order: Sequence[str], by: list[str], rank: str, total: str,
+            value=None, name: str | None = None) -> DataFrame:
+    """Rank within each class in an order that ``bucket`` cuts into ranges.
 
-    A class is never sorted as a whole: its rows are spread over 4,096 hash
-    ranges, range sizes give each range's offset, and only ranges are sorted.
+    Range sizes give each range's offset, so a class is never sorted as a whole. With a
+    ``value(rank, size)`` that is monotone in the rank, a range whose first and last row
+    agree is settled by its offset alone: its rows pass without sort or shuffle, and only
+    the few ranges that hold a step of the value are sorted.
     """
-    by = list(by)
-    keyed = df.withColumn("_h", hash_order(id_col, seed)).withColumn("_b", F.substring("_h", 1, 3))
-    over = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
+    keyed = df.withColumn("_b", bucket)
+    over = Window.partitionBy(*(by or [F.lit(1)]))
     sizes = (keyed.groupBy(*by, "_b").agg(F.count("*").alias("_c"))
              .withColumn("_before", F.sum("_c").over(over.orderBy("_b")) - F.col("_c"))
-             .withColumn(total, F.sum("_c").over(over))
-             .drop("_c"))
+             .withColumn(total, F.sum("_c").over(over)))
+    extra = []
+    if value is not None:
+        first, last = value(F.col("_before") + 1, F.col(total)), value(F.col("_before") + F.col("_c"), F.col(total))
+        sizes = sizes.withColumn("_v", first).withColumn("_edge", ~first.eqNullSafe(last))
+        extra = ["_v", "_edge"]
+    keys = [*by, "_b"]
+    right = small_side(sizes.select(*[F.col(c).alias(f"_r_{c}") for c in keys], "_before", total, *extra))
     same = F.lit(True)
-    right = sizes.select(*[F.col(c).alias(f"_r_{c}") for c in [*by, "_b"]], "_before", total)
-    for c in [*by, "_b"]:
+    for c in keys:
         same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    inside = Window.partitionBy(*by, "_b").orderBy("_h", id_col)
-    return (keyed.join(right, same)
-            .withColumn(rank, (F.col("_before") + F.row_number().over(inside)).cast("long"))
-            .drop("_h", "_b", "_before", *[f"_r_{c}" for c in [*by, "_b"]]))
+    joined = keyed.join(right, same)
+    place = (F.col("_before") + F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).cast("long")
+    work = ["_b", "_before", *[f"_r_{c}" for c in keys], *extra]
+    if value is None:
+        return joined.withColumn(rank, place).drop(*work)
+    sure = joined.where(~F.col("_edge")).withColumn(name, F.col("_v"))
+    edge = joined.where(F.col("_edge")).withColumn("_rn", place).withColumn(
+        name, value(F.col("_rn"), F.col(total))).drop("_rn")
+    return sure.unionByName(edge).drop(*work, total)
+
+
+def hash_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = (),
+              rank: str = "rn", total: str = "class_n") -> DataFrame:
+    """Exact 1-based rank in hash order within each class, and the class size."""
+    keyed = df.withColumn("_h", hash_order(id_col, seed))
+    return _ranged(keyed, F.substring("_h", 1, 3), ["_h", id_col], list(by), rank, total).drop("_h")
 
 
-def value_rank(df: DataFrame, order_col: str, by: Sequence[str] = (),
-               rank: str = "rn", total: str = "class_n") -> DataFrame:
-    """Like ``hash_rank`` in the order of a unique numeric column, ranges cut by its quantiles."""
-    by = list(by)
+def by_hash_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str], value, name: str) -> DataFrame:
+    """Column ``name`` = value(rank, class size) for a value that is monotone in the hash rank."""
+    keyed = df.withColumn("_h", hash_order(id_col, seed))
+    return _ranged(keyed, F.substring("_h", 1, 3), ["_h", id_col], list(by), "rn", "class_n", value, name).drop("_h")
+
+
+def by_value_rank(df: DataFrame, order_col: str, by: Sequence[str], value, name: str) -> DataFrame:
+    """Like ``by_hash_rank`` in the order of a unique numeric column, ranges cut by its quantiles."""
     grid = F.array(*[F.lit(i / 256) for i in range(1, 256)])
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), grid, F.lit(4096)).alias("s")).first()
     edges = F.array(*[F.lit(float(v)) for v in sorted(set(row["s"] or []))] or [F.lit(0.0)])
-    keyed = df.withColumn("_b", F.size(F.filter(edges, lambda e: e < F.col(order_col))))
-    over = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    sizes = (keyed.groupBy(*by, "_b").agg(F.count("*").alias("_c"))
-             .withColumn("_before", F.sum("_c").over(over.orderBy("_b")) - F.col("_c"))
-             .withColumn(total, F.sum("_c").over(over)).drop("_c"))
-    right = sizes.select(*[F.col(c).alias(f"_r_{c}") for c in [*by, "_b"]], "_before", total)
-    same = F.lit(True)
-    for c in [*by, "_b"]:
-        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    inside = Window.partitionBy(*by, "_b").orderBy(order_col)
-    return (keyed.join(right, same)
-            .withColumn(rank, (F.col("_before") + F.row_number().over(inside)).cast("long"))
-            .drop("_b", "_before", *[f"_r_{c}" for c in [*by, "_b"]]))
+    bucket = F.size(F.filter(edges, lambda e: e < F.col(order_col)))
+    return _ranged(df, bucket, [order_col], list(by), "rn", "class_n", value, name)
 
 
 def top_n(df: DataFrame, n: int, *order: Column | str) -> DataFrame:

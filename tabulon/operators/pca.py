@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabulon.operators.clean import require_no_nulls, require_numeric
+from tabulon.operators.moments import centred, cross_products, means
 
 
 @dataclass(frozen=True)
@@ -20,26 +21,13 @@ class Components:
 
 def covariance(df: DataFrame, features: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Means and sample covariance matrix; two passes, only p*p numbers reach the driver."""
-    p = len(features)
-    row = df.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)]).first()
-    mean, n = np.array([row[f"m{i}"] for i in range(p)], dtype=float), row["n"]
+    shift = means(df, features)
+    got = cross_products(df, features, shift)
+    n = got[0][0, 0] if got else 0
     if n < 2:
         raise ValueError("at least two rows are needed")
-    import pandas as pd
-
-    def block(batches):
-        total = None
-        for pdf in batches:
-            a = pdf.to_numpy(dtype=float) - mean
-            total = a.T @ a if total is None else total + a.T @ a
-        if total is not None:
-            i, j = np.triu_indices(p)
-            yield pd.DataFrame({"i": i, "j": j, "s": total[i, j]})
-    cells = df.select(*[F.col(c).cast("double") for c in features]).mapInPandas(block, "i int, j int, s double")
-    cov = np.zeros((p, p))
-    for r in cells.groupBy("i", "j").agg(F.sum("s").alias("s")).collect():
-        cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["s"] / (n - 1)
-    return mean, cov
+    _, rest, c = centred(got[0])
+    return shift + rest, c * n / (n - 1)
 
 
 def fit_pca(df: DataFrame, exclude: Iterable[str] = (), n_components: int | None = None) -> Components:

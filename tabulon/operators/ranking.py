@@ -43,22 +43,26 @@ def information_gain(df: DataFrame, label: str, features: Sequence[str], base: f
 
     def clogc(c):
         return _clogc(c, base)
-    by_x = xy.groupBy("feature", "x").agg(F.sum("c").alias("cx"), F.sum(clogc(F.col("c"))).alias("sxy"))
-    fx = by_x.groupBy("feature").agg(F.sum("cx").alias("n"), F.count("*").alias("n_unique_values"),
-                                     F.sum("sxy").alias("sxy"), F.sum(clogc(F.col("cx"))).alias("sx"))
-    by_y = xy.groupBy("feature", "y").agg(F.sum("c").alias("cy"))
-    fy = by_y.groupBy("feature").agg(F.sum(clogc(F.col("cy"))).alias("sy"))
+    # Both margins from one lineage: a cell counts once for its value and once for its class.
+    sides = xy.select("feature", "c", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("x").alias("v")),
+        F.struct(F.lit(1).alias("side"), F.col("y").cast("string").alias("v")))).alias("s")).select("feature", "c", "s.*")
+    margins = sides.groupBy("feature", "side", "v").agg(F.sum("c").alias("m"), F.sum(clogc(F.col("c"))).alias("sc"))
+    on_x, on_y = F.col("side") == 0, F.col("side") == 1
+    f = margins.groupBy("feature").agg(
+        F.sum(F.when(on_x, F.col("m"))).alias("n"), F.count_if(on_x).alias("n_unique_values"),
+        F.sum(F.when(on_x, F.col("sc"))).alias("sxy"), F.sum(F.when(on_x, clogc(F.col("m")))).alias("sx"),
+        F.sum(F.when(on_y, clogc(F.col("m")))).alias("sy"))
     none = df.sparkSession.createDataFrame([(c,) for c in features], "feature string")
     n = F.col("n").cast("double")
     h_y = F.coalesce(F.log(float(base), n) - F.col("sy") / n, F.lit(0.0))
     h_yx = F.coalesce((F.col("sx") - F.col("sxy")) / n, F.lit(0.0))
     # Sums of logarithms leave rounding noise around zero; the gain itself is never negative.
     snap = lambda c: F.when(F.abs(c) < 1e-10, F.lit(0.0)).otherwise(c)
-    out = none.join(fx, "feature", "left").join(fy, "feature", "left").select(
+    return none.join(f, "feature", "left").select(
         "feature", snap(h_y).alias("target_entropy"), snap(h_yx).alias("conditional_entropy"),
         snap(h_y - h_yx).alias("information_gain"), F.coalesce("n", F.lit(0)).cast("long").alias("n_samples"),
         F.coalesce("n_unique_values", F.lit(0)).cast("long").alias("n_unique_values"))
-    return out
 
 
 def rank_information_gain(df: DataFrame, label: str, exclude: Iterable[str] = (), base: float = 2.0,
@@ -175,7 +179,7 @@ def rank_correlations(df: DataFrame, label: str | None = None, exclude: Iterable
     if len(numeric) < 2:
         raise ValueError("at least two numeric features are needed")
     if label is None:
-        pairs = correlations(df, numeric)
+        pairs = cut(correlations(df, numeric))
         return {"pairs": pairs, "redundancy": redundancy_ranking(pairs)}
     coded = encode_label(df, label, "_y")
     # p*p rows that three rankings share: computed once.

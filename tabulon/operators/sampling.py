@@ -7,15 +7,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabulon.operators.order import hash_order, hash_rank, number_rows, value_rank
+from tabulon.operators.order import by_hash_rank, by_value_rank, hash_order, hash_rank, number_rows
 
-_WORK = ("rn", "class_n")
+
+def _first_rows(df: DataFrame, id_col: str, seed: int, by: list[str], quota) -> DataFrame:
+    """The first quota(class size) rows of every class in hash order."""
+    return by_hash_rank(df, id_col, seed, by, lambda rn, n: rn <= quota(n), "_in").where("_in").drop("_in")
 
 
 def balanced_sample(df: DataFrame, id_col: str, label: str, max_per_class: int, seed: int = 42) -> DataFrame:
     """At most ``max_per_class`` rows of every class."""
-    return (hash_rank(df.where(F.col(label).isNotNull()), id_col, seed, [label])
-            .where(F.col("rn") <= int(max_per_class)).drop(*_WORK))
+    return _first_rows(df.where(F.col(label).isNotNull()), id_col, seed, [label], lambda n: F.lit(int(max_per_class)))
 
 
 def stratified_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = 42) -> DataFrame:
@@ -25,13 +27,13 @@ def stratified_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int
         return df
     labelled = df.where(F.col(label).isNotNull())
     known = labelled.count()
-    quota = F.bround(F.col("class_n").cast("double") / F.lit(float(known)) * F.lit(float(n)), 0)
-    return hash_rank(labelled, id_col, seed, [label]).where(F.col("rn") <= quota).drop(*_WORK)
+    return _first_rows(labelled, id_col, seed, [label],
+                       lambda size: F.bround(size.cast("double") / F.lit(float(known)) * F.lit(float(n)), 0))
 
 
 def uniform_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows without replacement."""
-    return hash_rank(df, id_col, seed).where(F.col("rn") <= int(n)).drop(*_WORK)
+    return _first_rows(df, id_col, seed, [], lambda size: F.lit(int(n)))
 
 
 def shuffled(df: DataFrame, id_col: str, seed: int = 42, name: str = "shuffle_no") -> DataFrame:
@@ -62,8 +64,8 @@ def cap_rows(df: DataFrame, id_col: str, label: str, n: int | None, seed: int =
     """Stratified sample of exactly n rows when the table is larger (the ``max_rows`` option)."""
     if n is None or df.count() <= n:
         return df
-    return (hash_rank(df, id_col, seed, [label])
-            .where(F.col("rn") <= _quota(label, _allocation(df, label, int(n)))).drop(*_WORK))
+    quota = _quota(label, _allocation(df, label, int(n)))
+    return _first_rows(df, id_col, seed, [label], lambda size: quota)
 
 
 def mark_split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2, seed: int = 42,
@@ -71,9 +73,8 @@ def mark_split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2,
     """Stratified train/test mark: the first bround(share * class size) rows of each class are test."""
     if not 0 < test_share < 1:
         raise ValueError("test_share must be in (0, 1)")
-    cutoff = F.bround(F.col("class_n").cast("double") * F.lit(float(test_share)), 0)
-    return (hash_rank(df, id_col, seed, [label])
-            .withColumn(name, (F.col("rn") <= cutoff).cast("int")).drop(*_WORK))
+    return by_hash_rank(df, id_col, seed, [label], lambda rn, n: (
+        rn <= F.bround(n.cast("double") * F.lit(float(test_share)), 0)).cast("int"), name)
 
 
 def split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2,
@@ -83,9 +84,9 @@ def split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2,
     return (marked.where("_test = 0").drop("_test"), marked.where("_test = 1").drop("_test"))
 
 
-def _fold(k: int) -> Column:
-    """Contiguous fold number of rank rn out of class_n rows; the first n % k folds hold one more."""
-    n, rn = F.col("class_n"), F.col("rn") - 1
+def fold_of(rn: Column, n: Column, k: int) -> Column:
+    """Contiguous fold number of rank rn out of n rows; the first n % k folds hold one more."""
+    rn = rn - 1
     small, extra = F.floor(n / F.lit(k)), n % F.lit(k)
     big = extra * (small + 1)
     later = extra + F.floor(F.try_divide(rn - big, small))
@@ -97,8 +98,11 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, shuffle
     """0-based stratified fold per row: in id order, or in hash order when shuffled."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    ranked = hash_rank(df, id_col, seed, [label]) if shuffle else value_rank(df, id_col, [label])
-    return ranked.withColumn(name, _fold(k)).drop(*_WORK)
+    def value(rn, n):
+        return fold_of(rn, n, k)
+    if shuffle:
+        return by_hash_rank(df, id_col, seed, [label], value, name)
+    return by_value_rank(df, id_col, [label], value, name)
 
 
 def draw_with_replacement(df: DataFrame, id_col: str, m: int, seed: int = 42) -> DataFrame:

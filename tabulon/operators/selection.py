@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tabulon.operators import evaluate, models, neighbors
 from tabulon.operators.clean import candidate_features, feature_kinds, require_no_nulls
 from tabulon.operators.encode import apply_scaler, dummies, encode_label, fit_standard
+from tabulon.operators.moments import centred, cross_products, means
+from tabulon.operators.order import by_value_rank
 from tabulon.operators.ranking import correlations
-from tabulon.operators.sampling import cap_rows, split, stratified_folds
+from tabulon.operators.sampling import cap_rows, fold_of, split, stratified_folds
 from tabulon.session import cut
 
 
@@ -387,36 +389,6 @@ def max_min(df: DataFrame, label: str, features: Sequence[str], max_features: in
 
 # ---- Lasso ----------------------------------------------------------------------------------------
 
-def _moments(df: DataFrame, features: Sequence[str], label: str, fold: str | None) -> dict[int, np.ndarray]:
-    """Per fold the (p+2)x(p+2) cross-product matrix of (1, features, label), from one pass."""
-    p = len(features) + 2
-    fcol = F.col(fold).cast("int") if fold else F.lit(0)
-    x = df.select(fcol.alias("fold"), *[F.col(c).cast("double") for c in features], F.col(label).cast("double"))
-    i, j = np.triu_indices(p)
-
-    def block(batches):
-        sums = {}
-        for pdf in batches:
-            for f, part in pdf.groupby("fold"):
-                a = np.column_stack([np.ones(len(part)), part.iloc[:, 1:].to_numpy(dtype=float)])
-                sums[f] = sums.get(f, 0.0) + a.T @ a
-        for f, m in sums.items():
-            yield pd.DataFrame({"fold": np.full(len(i), f, dtype="int32"), "i": i, "j": j, "s": m[i, j]})
-    out: dict[int, np.ndarray] = {}
-    cells = x.mapInPandas(block, "fold int, i int, j int, s double")
-    for r in cells.groupBy("fold", "i", "j").agg(F.sum("s").alias("s")).collect():
-        m = out.setdefault(r["fold"], np.zeros((p, p)))
-        m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["s"]
-    return out
-
-
-def _centred(m: np.ndarray):
-    n = m[0, 0]
-    mean = m[0, 1:] / n
-    c = m[1:, 1:] / n - np.outer(mean, mean)
-    return n, mean, c
-
-
 def _descend(c: np.ndarray, alpha: float, start: np.ndarray, max_iter: int, tol: float = 1e-10) -> np.ndarray:
     """Coordinate descent of 1/2 w'Gw - w'b + alpha |w| on a p*p moment matrix."""
     g, b, w = c[:-1, :-1], c[:-1, -1], start.copy()
@@ -440,14 +412,16 @@ def choose_alpha(df: DataFrame, features: Sequence[str], label: str, fold: str,
 
     Fold moments add up, so one pass over the data serves every fold and every alpha.
     """
-    parts = _moments(df, features, label, fold)
+    columns = [*features, label]
+    shift = means(df, columns)  # keeps the sums small; every fold is centred again below
+    parts = cross_products(df, columns, shift, fold)
     whole = sum(parts.values())
-    _, _, c = _centred(whole)
+    _, _, c = centred(whole)
     top = float(np.abs(c[:-1, -1]).max()) or 1e-12
     alphas = np.geomspace(top, top * eps, n_alphas)
     errors = np.zeros(n_alphas)
     for held in parts.values():
-        _, mean, c = _centred(whole - held)
+        _, mean, c = centred(whole - held)
         w = np.zeros(len(features))
         for a, alpha in enumerate(alphas):
             w = _descend(c, alpha, w, max_iter, 1e-7)
@@ -464,8 +438,6 @@ def lasso(df: DataFrame, id_col: str, label: str, features: Sequence[str], alpha
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
-    from tabulon.operators.order import value_rank
-    from tabulon.operators.sampling import _fold
     features = list(features)
     if alpha is not None and alpha <= 0:
         raise ValueError("alpha must be positive")
@@ -475,7 +447,7 @@ def lasso(df: DataFrame, id_col: str, label: str, features: Sequence[str], alpha
     std = apply_scaler(data, fit_standard(data, features))
     path = []
     if alpha is None:
-        folded = value_rank(std, id_col).withColumn("_fold", _fold(cv_folds))
+        folded = by_value_rank(std, id_col, [], lambda rn, n: fold_of(rn, n, cv_folds), "_fold")
         chosen, path = choose_alpha(folded, features, "_t", "_fold", max_iter=max_iter)
     else:
         chosen = float(alpha)

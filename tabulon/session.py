@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "tabulon", partitions: int = 8) -> SparkSession:
@@ -40,6 +40,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """A report of a few rows whose values were already reduced on the executors."""
-    return spark.createDataFrame(rows, schema).coalesce(1)
+def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """A lookup table of a join, broadcast only if its counted rows are within the limit.
+
+    A larger one is joined by shuffle, where AQE splits hot keys. Meant for narrow tables.
+    """
+    table = cut(df)
+    return F.broadcast(table) if table.count() <= max_rows else table
