@@ -4,6 +4,7 @@ from __future__ import annotations
 import math
 from typing import Iterable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabulon.session import cut, small_side
@@ -41,6 +42,13 @@ def quantiles(df: DataFrame, columns: Iterable[str], probs: Sequence[float],
     return _ranged_quantiles(df, columns, probs, keys)
 
 
+def _bucketed(df: DataFrame, column: str, edges: Sequence[float], name: str) -> DataFrame:
+    """Number of the value range of a non-null double column, by binary search over the edges."""
+    splits = [-math.inf, *sorted({float(e) for e in edges}), math.inf]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df).withColumn(
+        name, F.col(name).cast("int"))
+
+
 def _ranged_quantiles(df, columns, probs, keys):
     cells = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
@@ -52,11 +60,10 @@ def _ranged_quantiles(df, columns, probs, keys):
     splits = {r["column"]: sorted(set(r["s"])) for r in counts.groupBy("column").agg(
         F.percentile_approx("value", grid, F.lit(10 * _SPLITS)).alias("s")).collect()}
     bucket = F.lit(0)
-    for name, s in splits.items():
-        edges = F.array(*[F.lit(float(v)) for v in s])
-        bucket = F.when(F.col("column") == name,
-                        F.size(F.filter(edges, lambda e: e < F.col("value")))).otherwise(bucket)
-    counts = counts.withColumn("bucket", bucket)
+    for i, (name, s) in enumerate(splits.items()):
+        counts = _bucketed(counts, "value", s, f"_b{i}")
+        bucket = F.when(F.col("column") == name, F.col(f"_b{i}")).otherwise(bucket)
+    counts = counts.withColumn("bucket", bucket).drop(*[f"_b{i}" for i in range(len(splits))])
 
     ranges = counts.groupBy(*by, "bucket").agg(F.sum("c").alias("bc"))
     over = Window.partitionBy(*by)
@@ -183,9 +190,8 @@ def by_value_rank(df: DataFrame, order_col: str, by: Sequence[str], value, name:
     """Like ``by_hash_rank`` in the order of a unique numeric column, ranges cut by its quantiles."""
     grid = F.array(*[F.lit(i / 256) for i in range(1, 256)])
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), grid, F.lit(4096)).alias("s")).first()
-    edges = F.array(*[F.lit(float(v)) for v in sorted(set(row["s"] or []))] or [F.lit(0.0)])
-    bucket = F.size(F.filter(edges, lambda e: e < F.col(order_col)))
-    return _ranged(df, bucket, [order_col], list(by), "rn", "class_n", value, name)
+    keyed = _bucketed(df.withColumn("_o", F.col(order_col).cast("double")), "_o", row["s"] or [0.0], "_range").drop("_o")
+    return _ranged(keyed, F.col("_range"), [order_col], list(by), "rn", "class_n", value, name).drop("_range")
 
 
 def top_n(df: DataFrame, n: int, *order: Column | str) -> DataFrame:

@@ -434,7 +434,8 @@ def lasso(df: DataFrame, id_col: str, label: str, features: Sequence[str], alpha
           cv_folds: int = 5, max_iter: int = 1000, tolerance: float = 1e-8) -> tuple[DataFrame, dict]:
     """Coefficients of an L1 regression on standardised features, ranked; (table, summary).
 
-    ``alpha=None`` chooses it over contiguous folds in id order. The final fit is MLlib's.
+    ``alpha=None`` chooses it over contiguous folds in id order. The final fit is MLlib's normal
+    solver: one pass over the data, then iterations on the moments.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
@@ -453,7 +454,8 @@ def lasso(df: DataFrame, id_col: str, label: str, features: Sequence[str], alpha
         chosen = float(alpha)
     vec = VectorAssembler(inputCols=features, outputCol="_x").transform(std).select("_x", "_t")
     model = LinearRegression(featuresCol="_x", labelCol="_t", elasticNetParam=1.0, regParam=chosen,
-                             standardization=False, maxIter=max_iter, tol=1e-10).fit(vec)
+                             standardization=False, maxIter=max_iter, tol=1e-10,
+                             solver="normal").fit(vec)
     coef = sorted(((c, float(w)) for c, w in zip(features, model.coefficients)), key=lambda t: (-abs(t[1]), t[0]))
     rows = [(i + 1, c, w, abs(w), abs(w) > tolerance) for i, (c, w) in enumerate(coef)]
     table = df.sparkSession.createDataFrame(
