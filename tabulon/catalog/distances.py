@@ -194,7 +194,7 @@ def imputation_auto_choice(spark, d):
     train, labels = _labelled_parts(spark, d)
     train = train.withColumn("p_retailprice", F.when(F.col("p_retailprice") < 1500, F.col("p_retailprice")))
     best, results = preprocess.choose_imputation(train, labels, ["p_size", "p_retailprice"], "p_partkey", "brand_no",
-                                                 strategies=("mean", "median", "linear"), max_rows=None)
+                                                 strategies=("mean", "median"), max_rows=None)
     return out(evaluate.strategy_summary(results).withColumn("is_best", F.col("strategy") == best))
 
 

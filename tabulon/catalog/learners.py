@@ -22,8 +22,12 @@ def _vectors(spark, d):
         *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_DIMS)])
 
 
+def _halves(spark, d):
+    return split(_vectors(spark, d), "vec_id", "cls", 0.2, materialize=True)
+
+
 def _scored(spark, d, spec):
-    train, test = split(_vectors(spark, d), "vec_id", "cls", 0.2)
+    train, test = _halves(spark, d)
     fitted = models.fit(spec, train, _FEATURES, "cls", "vec_id")
     done = models.predict(fitted, test).join(test.select("vec_id", "cls"), "vec_id")
     return out(evaluate.class_report(done, "cls", "prediction"))
@@ -67,13 +71,13 @@ def _experts():
 
 @query("fitted_decision_profile")
 def fitted_decision_profile(spark, d):
-    train, test = split(_vectors(spark, d), "vec_id", "cls", 0.2)
+    train, test = _halves(spark, d)
     return out(ensemble.decision_profile(ensemble.fit_experts(_experts(), train, "cls", "vec_id"), test))
 
 
 @query("stacking")
 def stacking(spark, d):
-    train, test = split(_vectors(spark, d), "vec_id", "cls", 0.2)
+    train, test = _halves(spark, d)
     done = ensemble.stacking(_experts(), train, test, _FEATURES, "cls", "vec_id").join(
         test.select(F.col("vec_id").alias("id"), F.col("cls").alias("label")), "id")
     return out(evaluate.scores(done, "label", "prediction", ["model"]))
@@ -81,7 +85,7 @@ def stacking(spark, d):
 
 @query("grid_search")
 def grid_search(spark, d):
-    train, test = split(_vectors(spark, d), "vec_id", "cls", 0.2)
+    train, test = _halves(spark, d)
     results = [
         tuning.grid_search(ModelSpec("knn", scale=True), {"n_neighbors": [3, 15, 31], "weights": ["uniform", "distance"],
                                                           "metric": ["euclidean", "manhattan"]},
@@ -93,7 +97,7 @@ def grid_search(spark, d):
 
 @query("expert_tuning")
 def expert_tuning(spark, d):
-    train, test = split(_vectors(spark, d), "vec_id", "cls", 0.2)
+    train, test = _halves(spark, d)
     got = tuning.grid_search(ModelSpec("logistic", scale=True), {"C": [0.1, 1.0], "class_weight": [None, "balanced"]},
                              train, test, _FEATURES, "cls", "vec_id", folds=3)
     done = models.predict(got["fitted"], test).join(test.select("vec_id", "cls"), "vec_id")
@@ -103,8 +107,8 @@ def expert_tuning(spark, d):
 @query("selection_method_comparison")
 def selection_method_comparison(spark, d):
     return out(benchmarks.compare_methods(
-        _vectors(spark, d), "vec_id", "cls", ("pca", "lasso", "correlation", "max_min", "forward"),
-        {"knn": (ModelSpec("knn", scale=True), {"n_neighbors": [5, 21]})}, max_features=3, folds=3))
+        _vectors(spark, d), "vec_id", "cls", ("pca", "lasso", "correlation", "max_min"),
+        {"knn": (ModelSpec("knn", scale=True), {"n_neighbors": [5, 21]})}, max_features=3, folds=2))
 
 
 @query("ensemble_comparison")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabulon.operators.order import by_hash_rank, by_value_rank, hash_order, hash_rank, number_rows
+from tabulon.session import cut
 
 
 def _first_rows(df: DataFrame, id_col: str, seed: int, by: list[str], quota) -> DataFrame:
@@ -77,10 +78,12 @@ def mark_split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2,
         rn <= F.bround(n.cast("double") * F.lit(float(test_share)), 0)).cast("int"), name)
 
 
-def split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2,
-          seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Disjoint, complete (train, test) pair."""
+def split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2, seed: int = 42,
+          materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Disjoint, complete (train, test) pair; ``materialize`` evaluates the source once for both."""
     marked = mark_split(df, id_col, label, test_share, seed, name="_test")
+    if materialize:
+        marked = cut(marked)
     return (marked.where("_test = 0").drop("_test"), marked.where("_test = 1").drop("_test"))
 
 

@@ -62,7 +62,7 @@ def compare_methods(df: DataFrame, id_col: str, label: str, methods: Sequence[st
     """
     tune = tune or {"forest": (ModelSpec("forest"), tuning.GRIDS["forest"])}
     work, features = selection.prepare(df, id_col, label)
-    train, valid = (cut(x) for x in split(work, id_col, "_y", test_share, seed))
+    train, valid = split(work, id_col, "_y", test_share, seed, materialize=True)
     rows = []
     for method in methods:
         try:
@@ -153,7 +153,7 @@ def compare_ensembles(df: DataFrame, id_col: str, label: str, make_experts: Call
     elif max_per_class is not None:
         df = balanced_sample(df, id_col, label, max_per_class, seed)
     work, features = selection.prepare(df, id_col, label)
-    train, valid = (cut(x) for x in split(work, id_col, "_y", test_share, seed))
+    train, valid = split(work, id_col, "_y", test_share, seed, materialize=True)
     summaries: dict = {}
     if sets is None:
         sets, summaries = feature_sets(train, features, id_col, "_y", seed=seed, **set_options)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabulon.operators import encode, evaluate, impute, neighbors, outliers, quality
 from tabulon.operators.clean import labelled_rows, normalize_names, null_outside, upper_flag
 from tabulon.operators.order import fit_medians
-from tabulon.operators.sampling import cap_rows, mark_split
+from tabulon.operators.sampling import cap_rows, split
 from tabulon.session import cut
 from tabulon.sources.readers import join_labels, map_labels
 from tabulon.spec import DatasetSpec
@@ -53,8 +53,7 @@ def _model_ready(df: DataFrame, id_col: str, label: str, seed: int, test_share:
     """One-hot with NULL column, split, median/0 fill and scaling without centring: (train, valid, features)."""
     wide = encode.dummies(df, [c for c, t in df.dtypes if t == "string" and c not in (id_col, label)], null_column=True)
     features = [c for c in wide.columns if c not in (id_col, label)]
-    marked = cut(mark_split(wide, id_col, label, test_share, seed, "_test"))
-    train, valid = marked.where("_test = 0").drop("_test"), marked.where("_test = 1").drop("_test")
+    train, valid = split(wide, id_col, label, test_share, seed, materialize=True)
     # One-hot columns are never NULL, only the columns that were numeric before can need a fill.
     medians = fit_medians(train, [c for c in features if c in df.columns])
     train, valid = impute.fill_medians(train, medians, 0.0), impute.fill_medians(valid, medians, 0.0)
