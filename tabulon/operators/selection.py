@@ -48,6 +48,36 @@ class Scorer(Protocol):
     def __call__(self, subsets: Sequence[Sequence[str]]) -> list[float]: ...
 
 
+def _subset_sums(gaps: list[np.ndarray], sets: list[list[int]]):
+    """Sum of the gap matrices of every subset.
+
+    The subsets of a search step share all columns but one, so the shared part is added
+    once: a common base when growing, running sums from both ends when shrinking.
+    """
+    zero = np.zeros_like(gaps[0])
+    common = sorted(set.intersection(*map(set, sets)))
+    union = sorted(set.union(*map(set, sets)))
+    if all(len(s) <= len(common) + 1 for s in sets):
+        base = sum((gaps[j] for j in common), zero)
+        for s in sets:
+            extra = [j for j in s if j not in common]
+            yield base + gaps[extra[0]] if extra else base
+    elif all(len(s) == len(union) - 1 for s in sets):
+        after = [zero]
+        for j in reversed(union):
+            after.append(gaps[j] + after[-1])
+        after.reverse()
+        before, sums = zero, {}
+        for at, j in enumerate(union):
+            sums[j] = before + after[at + 1]
+            before = before + gaps[j]
+        for s in sets:
+            yield sums[(set(union) - set(s)).pop()]
+    else:
+        for s in sets:
+            yield sum((gaps[j] for j in s), zero)
+
+
 class KnnScorer:
     """Holdout accuracy (equal to f1_micro) of a k-nearest-neighbour vote.
 
@@ -76,6 +106,8 @@ class KnnScorer:
         self.evaluated += len(sets)
         k, width = self.k, len(self.features)
         n_t, n_v = -(-self.n_train // self.train_block), -(-self.n_valid // self.valid_block)
+        # A small validation set still gets a block per core, but none under 32 rows.
+        n_v = max(n_v, min(self.valid.sparkSession.sparkContext.defaultParallelism, -(-self.n_valid // 32)))
 
         def every(n):
             return F.explode(F.sequence(F.lit(0), F.lit(max(0, n - 1))))
@@ -95,13 +127,10 @@ class KnnScorer:
                 right = right.sort_values("neighbor_id", kind="stable")
                 q, b = np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy())
                 ids, y, asks = right["neighbor_id"].to_numpy(), right["y"].to_numpy(), left["query_id"].to_numpy()
-                step = max(1, 8_000_000 // (len(b) * width))
+                step = max(1, 6_000_000 // (len(b) * width))
                 for s in range(0, len(q), step):
                     gaps = [(q[s:s + step, j:j + 1] - b[None, :, j]) ** 2 for j in range(width)]
-                    for n, cols in enumerate(sets):
-                        d = np.zeros((len(q[s:s + step]), len(b)))
-                        for j in cols:
-                            d = d + gaps[j]
+                    for n, d in enumerate(_subset_sums(gaps, sets)):
                         i, j = neighbors.k_smallest(d, k)
                         out.append(pd.DataFrame({"subset": n, "query_id": asks[s:s + step][i], "neighbor_id": ids[j],
                                                  "psum": d[i, j], "label": y[j]}))
