@@ -1,12 +1,16 @@
 """The queries of this subpackage and their SQL twins."""
 from __future__ import annotations
 
-from tabulon.llm import linededup
+from tabulon.llm import chat, decontam, linededup
 
 QUERIES = {
+    "op2_chat_rotation": chat.op2_chat_rotation,
+    "op3_decontamination": decontam.op3_decontamination,
     "op9_line_dedup": linededup.op9_line_dedup,
 }
 
 SQL = {
+    "op2_chat_rotation": chat.SQL,
+    "op3_decontamination": decontam.SQL,
     "op9_line_dedup": linededup.SQL,
 }
