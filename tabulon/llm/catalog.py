@@ -1,15 +1,17 @@
 """The queries of this subpackage and their SQL twins."""
 from __future__ import annotations
 
-from tabulon.llm import chat, decontam, linededup
+from tabulon.llm import chat, decontam, linededup, topk
 
 QUERIES = {
+    "op1_top_k": topk.op1_top_k,
     "op2_chat_rotation": chat.op2_chat_rotation,
     "op3_decontamination": decontam.op3_decontamination,
     "op9_line_dedup": linededup.op9_line_dedup,
 }
 
 SQL = {
+    "op1_top_k": topk.SQL,
     "op2_chat_rotation": chat.SQL,
     "op3_decontamination": decontam.SQL,
     "op9_line_dedup": linededup.SQL,
