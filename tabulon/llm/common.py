@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: lineage ends here, any executor can read it."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
