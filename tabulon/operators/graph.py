@@ -5,34 +5,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabulon.session import cut
 
-DRIVER_EDGES = 200_000
 
-
-def components(edges: DataFrame, driver_edges: int = DRIVER_EDGES) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest id reachable from each node of the (u, v) edges.
 
-    Up to ``driver_edges`` edges are joined on the driver; beyond that alternating
-    large-star and small-star rounds contract the graph on the executors.
+    Alternating large-star and small-star rounds contract the graph on the executors; ids of any orderable type.
     """
     both = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct()
     both = cut(both)
-    spark = edges.sparkSession
-    head = both.limit(driver_edges + 1).collect()
-    if len(head) <= driver_edges:
-        parent: dict = {}
-
-        def find(x):
-            parent.setdefault(x, x)
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-        for u, v in head:
-            a, b = find(u), find(v)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-        return spark.createDataFrame([(n, find(n)) for n in parent], "node bigint, root bigint")
-
     state, seen = both, None
     while True:
         state = cut(_star(_star(state, large=True), large=False))
