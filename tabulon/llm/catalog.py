@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL twins."""
 from __future__ import annotations
 
-from tabulon.llm import bytebpe, chat, decontam, linededup, mainpart, tokenfile, topk
+from tabulon.llm import bytebpe, chat, decontam, linededup, mainpart, simjoin, tokenfile, topk
 
 QUERIES = {
     "op1_top_k": topk.op1_top_k,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_main_text": mainpart.op7_main_text,
     "op8_token_file": tokenfile.op8_token_file,
     "op9_line_dedup": linededup.op9_line_dedup,
+    "op10_jaccard_join": simjoin.op10_jaccard_join,
 }
 
 SQL = {
@@ -18,4 +19,5 @@ SQL = {
     "op2_chat_rotation": chat.SQL,
     "op3_decontamination": decontam.SQL,
     "op9_line_dedup": linededup.SQL,
+    "op10_jaccard_join": simjoin.SQL,
 }
