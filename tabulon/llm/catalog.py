@@ -1,12 +1,13 @@
 """The queries of this subpackage and their SQL twins."""
 from __future__ import annotations
 
-from tabulon.llm import bytebpe, chat, decontam, linededup, mainpart, simjoin, tokenfile, topk, toxicity
+from tabulon.llm import bytebpe, chat, decontam, linededup, mainpart, resample, simjoin, tokenfile, topk, toxicity
 
 QUERIES = {
     "op1_top_k": topk.op1_top_k,
     "op2_chat_rotation": chat.op2_chat_rotation,
     "op3_decontamination": decontam.op3_decontamination,
+    "op4_importance_resampling": resample.op4_importance_resampling,
     "op5_byte_bpe": bytebpe.op5_byte_bpe,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_main_text": mainpart.op7_main_text,
