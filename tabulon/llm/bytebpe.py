@@ -92,7 +92,7 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.words(t) for t in texts]
         wanted = set().union(*cut)
-        new = wanted - self.known.keys()
+        new = {w for w in wanted if w not in self.known}
         if len(self.known) + len(new) > WORDS_KEPT:
             self.known.clear()
             new = wanted

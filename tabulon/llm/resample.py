@@ -40,7 +40,7 @@ class Grams:
         known = self.known
         if len(known) > WORDS_KEPT:
             known.clear()
-        for w in set(words) - known.keys():
+        for w in {w for w in words if w not in known}:
             known[w] = xxhash.xxh64_intdigest(w)
         h = np.array([known[w] for w in words], np.uint64)
         pairs = h[:-1] * _M1 + h[1:]
