@@ -1,8 +1,8 @@
 """Main text of HTML pages by the line-block distribution.
 
 Markup is stripped to lines, one per block element. Elements that are no article text by their kind, role or class (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) leave a gap of ``WINDOW`` empty lines. If
-the page has an ``article`` (or else a ``main``) element with text, lines outside count as empty; without one, link text
+headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) leave a gap of ``WINDOW`` empty lines,
+unless they stand between blocks of one article or of one parent element. If the page has an ``article`` (or else a ``main``) element with text, lines outside count as empty; without one, link text
 does not count. The text lengths are summed over sliding windows of ``WINDOW`` lines. The distribution surges where a
 sum reaches ``SURGE`` characters (or the page's largest sum, if that is less) and dives where it is zero; the lines of a
 rise are kept from its foot to the dive.
@@ -44,6 +44,9 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "breadcrumbs pagination pager search toolbar widget skip".split())
 COMMENTS = frozenset("comment comments commentlist disqus reply replies".split())
 CONTAINERS = frozenset(("html", "body", "main", "article"))
+#: Elements whose children count as blocks of one parent.
+PARENTS = frozenset("body main article section div td blockquote".split())
+GAP = ("", 0, 0, False, False, -1)
 
 
 def _skips(tag: str, attributes: str) -> bool:
@@ -57,18 +60,19 @@ def _skips(tag: str, attributes: str) -> bool:
     return not words.isdisjoint(COMMENTS if tag in CONTAINERS else MARKS)
 
 
-def lines_of(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """(text, length, length without links, inside an article, inside main) per block; a skipped element is empty lines."""
+def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
+    """(text, length, length without links, inside an article, inside main, parent) per block; a skipped element is a ``GAP``."""
     lines, buffer, linked = [], [], 0
     at, n = 0, len(page)
     article = main = links = 0
     skipping, depth = "", 0
+    parents, born = [("", 0)], 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(buffer).split())
         if text:
-            lines.append((text, len(text), max(0, len(text) - linked), article > 0, main > 0))
+            lines.append((text, len(text), max(0, len(text) - linked), article > 0, main > 0, parents[-1][1]))
         buffer.clear()
         linked = 0
 
@@ -79,7 +83,6 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if links:
             linked += len(" ".join(text.split()))
 
-    gap = [("", 0, 0, False, False)] * WINDOW
     while at < n:
         m = _TAG.search(page, at)
         text = page[at:m.start()] if m else page[at:]
@@ -103,7 +106,7 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool]]:
                 continue
         if not end and _skips(tag, m.group(3) or ""):
             close()
-            lines.extend(gap)
+            lines.append(GAP)
             if tag in RAW:
                 found = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
                 at = found.end() if found else n
@@ -115,6 +118,13 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool]]:
         elif tag in BLOCKS:
             close()
             links = 0 if tag not in ("li",) else links
+        if tag in PARENTS:
+            if not end:
+                born += 1
+                parents.append((tag, born))
+            elif any(name == tag for name, _ in parents):
+                while parents.pop()[0] != tag:
+                    pass
         step = -1 if end else 1
         if tag == "article":
             article = max(0, article + step)
@@ -126,8 +136,23 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool]]:
     return lines
 
 
+def _spaced(lines: list) -> list:
+    """Gaps as ``WINDOW`` empty lines each; none between lines of one article, of main or of one parent."""
+    out, gap = [], False
+    for line in lines:
+        if line is GAP:
+            gap = True
+            continue
+        last = out[-1] if out else GAP
+        if gap and not (last[5] == line[5] or last[3] and line[3] or last[4] and line[4]):
+            out += [GAP] * WINDOW
+        gap = False
+        out.append(line)
+    return out
+
+
 def main_text(page: str) -> str:
-    lines = lines_of(page)
+    lines = _spaced(lines_of(page))
     inside = next((k for k in (3, 4) if any(x[1] and x[k] for x in lines)), None)
     lengths = [(x[1] if x[inside] else 0) if inside else x[2] for x in lines]
     sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lines))]
@@ -135,7 +160,8 @@ def main_text(page: str) -> str:
     kept, rise, rose = [], [], False
     for i, total in enumerate([*sums, 0]):
         if total:
-            rise.append(i)
+            if rise or lengths[i]:  # a rise begins with its first text
+                rise.append(i)
             rose = rose or total >= surge
         else:
             if rose:
