@@ -72,7 +72,7 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
         nonlocal linked
         text = " ".join("".join(buffer).split())
         if text:
-            lines.append((text, len(text), max(0, len(text) - linked), article > 0, main > 0, parents[-1][1]))
+            lines.append((text, len(text), len(text) if not linked else max(0, len(text.replace(" ", "")) - linked), article > 0, main > 0, parents[-1][1]))
         buffer.clear()
         linked = 0
 
@@ -81,7 +81,7 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
         text = references.unescape(text)
         buffer.append(text)
         if links:
-            linked += len(" ".join(text.split()))
+            linked += len("".join(text.split()))
 
     while at < n:
         m = _TAG.search(page, at)
