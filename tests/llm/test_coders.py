@@ -141,7 +141,7 @@ def test_main_text_edges(spark):
 
 def test_main_text_without_an_article_element():
     body = "<p>" + "a sentence of the story " * 8 + "</p>"
-    page = f'<div><a href="/">Home</a> <a href="/n">News</a></div>{body}<p>To.</p>{body}<div class="sidebar">{body}</div><p id="comments">{body}'
+    page = f'<div><a href="/">Home</a> <a href="/n">News</a></div>{body}<p>To.</p>{body}<div class="sidebar">{body}</div><section id="comments">{body}'
     assert mainpart.main_text(page).split("\n") == [body[3:-4].strip(), "To.", body[3:-4].strip()]
 
 
