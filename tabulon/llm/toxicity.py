@@ -34,8 +34,8 @@ from tabulon.llm.common import free_name, stored, table
 
 ORDER, BUCKETS, BACKOFF = 4, 1 << 20, math.log(0.4)
 TRAIN_ROWS = 20_000
-#: Least number of toxic documents with a lexicon entry, standard errors by which its rate must exceed, least log ratio.
-LEAST_DOCS, ERRORS, LEAST_RATIO = 5, 4.0, 1.0
+#: Least number of toxic documents with a lexicon entry, least evidence (minus the log of the binomial tail's bound), least log ratio.
+LEAST_DOCS, EVIDENCE, LEAST_RATIO = 5, 10.0, 1.0
 PREFIXES = range(4, 9)
 #: Tokens whose readings a task keeps; repetitions of one token in a document that count.
 TOKENS_KEPT, REPEATS = 300_000, 20
@@ -316,7 +316,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         return model
     whole, t = t.loc[""], t.drop("")
     ratio = np.log((t.d1 + 0.5) / (whole.d1 + 1)) - np.log((t.d0 + 0.5) / (whole.d0 + 1))
-    sure = ratio - ERRORS * np.sqrt(1 / (t.d1 + 0.5) + 1 / (t.d0 + 0.5)) > 0 if len(t) else ratio > 0
+    n, share = t.d1 + t.d0, whole.d1 / max(1, whole.d1 + whole.d0)
+    with np.errstate(divide="ignore", invalid="ignore"):  # n * KL(rate among its documents || share of toxic documents)
+        sure = t.d1 * np.log(t.d1 / n / share) + np.where(t.d0 > 0, t.d0 * np.log(t.d0 / n / (1 - share)), 0) >= EVIDENCE
     weight = np.log((t.n1 + 0.5) / (whole.n1 + 1)) - np.log((t.n0 + 0.5) / (whole.n0 + 1))
     good = sure & (ratio >= LEAST_RATIO) & (weight >= LEAST_RATIO)
     model.lexicon = weight[good].to_dict()
