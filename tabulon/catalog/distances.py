@@ -145,7 +145,7 @@ def relief_ranking(spark, d):
 
 
 @query("relief_sampled", f"""WITH {_RELIEF}, no AS (SELECT c_custkey AS id, row_number() OVER (ORDER BY c_custkey) AS no FROM customer),
-draws AS (SELECT id AS q FROM range(2000) t(range) JOIN no ON no.no = ('0x' || substr(md5(concat_ws(':', range::VARCHAR, '42')), 1, 8))::BIGINT % (SELECT count(*) FROM customer) + 1)
+draws AS (SELECT id AS q FROM range(2000) t(range) JOIN no ON no.no = ('0x' || substr(md5(concat_ws(':', range::VARCHAR, '42')), 1, 15))::BIGINT % (SELECT count(*) FROM customer) + 1)
 SELECT 'balance' AS feature, round(avg(mb - hb), 8) + 0.0 AS relief_weight, round(abs(avg(mb - hb)), 8) AS abs_relief_weight FROM ok JOIN draws USING (q)
 UNION ALL SELECT 'nation', round(avg(mn - hn), 8) + 0.0, round(abs(avg(mn - hn)), 8) FROM ok JOIN draws USING (q)""")
 def relief_sampled(spark, d):

@@ -222,7 +222,7 @@ def stratified_folds_shuffled(spark, d):
 
 
 @query("draws_with_replacement", """WITH n AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS no FROM events),
-t AS (SELECT range AS draw, ('0x' || substr(md5(concat_ws(':', range::VARCHAR, '42')), 1, 8))::BIGINT % (SELECT count(*) FROM events) + 1 AS no FROM range(2000))
+t AS (SELECT range AS draw, ('0x' || substr(md5(concat_ws(':', range::VARCHAR, '42')), 1, 15))::BIGINT % (SELECT count(*) FROM events) + 1 AS no FROM range(2000))
 SELECT draw, event_id FROM t JOIN n USING (no)""")
 def draws_with_replacement(spark, d):
     return sampling.draw_with_replacement(table(spark, d, "events").select("event_id"), "event_id", 2000).select(

@@ -19,7 +19,8 @@ from tabulon.operators.impute import fill_medians
 from tabulon.operators.order import fit_medians, fit_quantiles, number_rows
 from tabulon.session import cut
 
-DIRECT_PAIRS = 20_000_000
+#: Two boxes with up to so many pairs of points are compared point by point.
+POINT_PAIRS = 4096
 
 
 def k_distances(df: DataFrame, id_col: str, features: Sequence[str], k: int) -> DataFrame:
@@ -149,19 +150,21 @@ def _core_links(core, heads, near, width, eps2, side) -> DataFrame:
         found = sure if found is None else found.unionByName(sure)
         open_ = pairs.where("NOT sure").drop("sure").join(sure, ["cell_a", "cell_b"], "left_anti")
         open_ = cut(open_.select("cell_a", "cell_b", "sub_a", "sub_b", "m_a", "m_b"))
-        work = open_.agg(F.sum(F.col("m_a").cast("double") * F.col("m_b"))).first()[0] or 0.0
-        if not work:
+        if open_.isEmpty():
             break
 
         def keyed(at):
             return core.withColumn("sub", F.transform("x", lambda v: F.floor(v / F.lit(side / 2 ** at))))
-        if work <= DIRECT_PAIRS:
-            p = keyed(level)
-            left = p.select(F.col("cell").alias("cell_a"), F.col("sub").alias("sub_a"), "x")
-            right = p.select(F.col("cell").alias("cell_b"), F.col("sub").alias("sub_b"), F.col("x").alias("y"))
-            hit = (open_.join(left, ["cell_a", "sub_a"]).join(right, ["cell_b", "sub_b"])
-                   .where(_square(F.col("x"), F.col("y")) <= eps2).select("cell_a", "cell_b").distinct())
-            found = found.unionByName(hit)
+        # Boxes of few points are compared point by point, the others are halved.
+        few = F.col("m_a") * F.col("m_b") <= POINT_PAIRS
+        p = keyed(level)
+        left = p.select(F.col("cell").alias("cell_a"), F.col("sub").alias("sub_a"), "x")
+        right = p.select(F.col("cell").alias("cell_b"), F.col("sub").alias("sub_b"), F.col("x").alias("y"))
+        hit = cut(open_.where(few).join(left, ["cell_a", "sub_a"]).join(right, ["cell_b", "sub_b"])
+                  .where(_square(F.col("x"), F.col("y")) <= eps2).select("cell_a", "cell_b").distinct())
+        found = found.unionByName(hit)
+        open_ = cut(open_.where(~few).join(hit, ["cell_a", "cell_b"], "left_anti"))
+        if open_.isEmpty():
             break
         level += 1
         busy = open_.select(F.col("cell_a").alias("cell")).unionByName(

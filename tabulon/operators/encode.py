@@ -7,9 +7,7 @@ from typing import Iterable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabulon.operators.order import number_rows
-from tabulon.session import small_side
-
-MAX_CATEGORIES = 10_000  # a category becomes a column, so their number must stay a schema-sized one
+from tabulon.session import cut
 
 
 # ---- labels and indexes -------------------------------------------------------------------
@@ -25,18 +23,18 @@ def encode_label(df: DataFrame, label: str, name: str = "label_idx") -> DataFram
     """Numeric labels are cast to integer; others get the 0-based code of their sorted values."""
     if isinstance(df.schema[label].dataType, T.NumericType):
         return df.withColumn(name, F.col(label).cast("int"))
-    return df.join(small_side(value_index(df, label, 0, name)), label, "left")
+    return df.join(value_index(df, label, 0, name), label, "left")
 
 
 def decode_label(df: DataFrame, index: DataFrame, label: str, column: str, name: str) -> DataFrame:
     """Inverse of ``encode_label``: integer codes in ``column`` back to label values."""
     back = index.select(F.col("idx").alias(column), F.col(label).alias(name))
-    return df.join(small_side(back), column, "left")
+    return df.join(back, column, "left")
 
 
 def fit_geo_index(train: DataFrame, columns: Iterable[str]) -> dict[str, DataFrame]:
     """Per column a 1-based index of the values seen in training."""
-    return {c: small_side(value_index(train, c, 1, f"{c}_idx")) for c in columns}
+    return {c: value_index(train, c, 1, f"{c}_idx") for c in columns}
 
 
 def apply_geo_index(df: DataFrame, fitted: dict[str, DataFrame]) -> DataFrame:
@@ -61,11 +59,13 @@ class OneHot:
         return [f"{column}_{'nan' if v is None else v}" for v in self.categories[column]]
 
 
-def fit_one_hot(train: DataFrame, columns: Iterable[str], null_column: bool | None = None) -> OneHot:
+def fit_one_hot(train: DataFrame, columns: Iterable[str], null_column: bool | None = None,
+                max_categories: int = 10_000) -> OneHot:
     """Learn each column's categories in one job.
 
     ``null_column=None`` makes NULL a category only where training has it, True
-    always adds it, False never does.
+    always adds it, False never does. A category becomes a column, so a column with more
+    than ``max_categories`` of them is an error; ``geo_index`` suits it.
     """
     columns = [c for c in columns if c in train.columns]
     if not columns:
@@ -73,9 +73,11 @@ def fit_one_hot(train: DataFrame, columns: Iterable[str], null_column: bool | No
     cells = train.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("c")).select("c.*").distinct()
-    rows = cells.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories; use an index instead of one-hot columns")
+    cells = cut(cells)
+    many = [r["column"] for r in cells.groupBy("column").count().where(F.col("count") > max_categories).collect()]
+    if many:
+        raise ValueError(f"more than {max_categories} categories in {sorted(many)}; use an index instead of one-hot columns")
+    rows = cells.collect()  # at most max_categories a column
     found: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         found[r["column"]].append(r["value"])

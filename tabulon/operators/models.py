@@ -43,7 +43,9 @@ class Fitted:
 
 
 def _depth(v):
-    return MAX_DEPTH if v is None else min(int(v), MAX_DEPTH)
+    if v is not None and int(v) > MAX_DEPTH:
+        raise ValueError(f"tree depth {v} is more than {MAX_DEPTH}; None takes the largest")
+    return MAX_DEPTH if v is None else int(v)
 
 
 def _impurity(p):

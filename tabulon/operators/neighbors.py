@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tabulon.session import cut
 
 BLOCK_ROWS = 2048
-MAX_BOXES = 4096
-FEW_PAIRS = 256   # up to so many block pairs are all compared without looking for boxes to skip
-SAMPLE_ROWS = 40_000
+# Rows (about so many, drawn from every partition) on which the splits are fitted. Results do not depend on them: a box
+# that holds more rows than a block is cut into blocks.
+SAMPLE_ROWS = 200_000
+GROUPS_PER_TASK = 64
 
 
 # ---- k-d boxes ------------------------------------------------------------------------------
@@ -137,7 +138,8 @@ def _block_count(sizes: dict[int, int]):
 
 def partitions_for(spark, groups: int) -> int:
     """Shuffle partitions for so many compute-heavy groups."""
-    return max(1, min(2 * groups, max(4096, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(2 * groups, max(least, -(-groups // GROUPS_PER_TASK))))
 
 
 def _sizes(df: DataFrame) -> dict[int, int]:
@@ -162,7 +164,7 @@ def _compare(asks: DataFrame, refs: DataFrame, ask_sizes: dict, ref_sizes: dict,
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = {"query_id": [], "neighbor_id": [], "psum": [], **{c: [] for c in payload}}
         if not len(left) or not len(right):
-            return pd.DataFrame(empty)
+            return pd.DataFrame(empty, dtype=object)
         right = right.sort_values("neighbor_id", kind="stable")
         q, b = _matrix(left["x"], width), _matrix(right["x"], width)
         out = []
@@ -219,17 +221,10 @@ def nearest(queries: DataFrame, refs: DataFrame, features: Sequence[str], k: int
 
 def _nearest_distinct(q: DataFrame, r: DataFrame, k: int, power: float, width: int, payload: list[str]) -> DataFrame:
     types = {f.name: f.dataType for f in [*r.schema, *q.schema]}
-    n, n_q = r.count(), q.count()
-
-    leaves = min(MAX_BOXES, max(1, n // BLOCK_ROWS))
-    if leaves <= 4 or -(-n // BLOCK_ROWS) * -(-n_q // BLOCK_ROWS) <= FEW_PAIRS:
-        r0, q0 = r.withColumn("leaf", F.lit(0)), q.withColumn("leaf", F.lit(0))
-        near = _compare(q0, r0, {0: n_q}, {0: n}, k, power, width, payload, types)
-        return _keep_best(near, k)
-
-    share = min(1.0, 1.2 * SAMPLE_ROWS / n)
+    n = r.count()
+    share = min(1.0, SAMPLE_ROWS / max(n, 1))
     sample = r.select("x") if share >= 1.0 else r.sample(share, seed=7).select("x")
-    boxes = _Boxes(_matrix(sample.limit(SAMPLE_ROWS).toPandas()["x"], width), leaves)
+    boxes = _Boxes(_matrix(sample.toPandas()["x"], width), max(1, n // BLOCK_ROWS))
 
     def place(id_name, cols):
         schema = T.StructType([*[T.StructField(c, types[c]) for c in cols], T.StructField("leaf", T.IntegerType())])
@@ -267,6 +262,8 @@ def _nearest_distinct(q: DataFrame, r: DataFrame, k: int, power: float, width: i
             i, b = boxes.near(_matrix(pdf["x"], width), limit, power)
             other = b != pdf["home"].to_numpy()[i]
             i, b = i[other], b[other]
+            if not len(i):  # an empty list column has no Arrow form
+                continue
             yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[i], "x": pdf["x"].to_numpy()[i],
                                 "leaf": b.astype("int32")})
     more = cut(asked.mapInPandas(visit, schema))

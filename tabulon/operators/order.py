@@ -7,7 +7,7 @@ from typing import Iterable, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabulon.session import cut, small_side
+from tabulon.session import cut
 
 # Above this many values per group the built-in percentile (buffers in one task per group) is not used.
 GROUP_LIMIT = 4_000_000
@@ -112,15 +112,11 @@ def fit_medians(df: DataFrame, columns: Iterable[str]) -> dict[str, float | None
     return {c: q[0] for c, q in fit_quantiles(df, columns, [0.5]).items()}
 
 
-def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_no",
-                small: int = 100_000) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_no") -> DataFrame:
     """1-based row number over the whole frame in a total order.
 
-    A small frame uses a plain window. Otherwise the range-sorted frame is
-    materialised and every partition's offset is added to its own positions.
+    The range-sorted frame is materialised and every partition's offset is added to its own positions.
     """
-    if df.count() <= small:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     placed = cut(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
     part, pos = F.shiftright("_m", 33), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = sorted(placed.groupBy(part.alias("p")).count().collect())
@@ -158,7 +154,7 @@ def _ranged(df: DataFrame, bucket: Column, order: Sequence[str], by: list[str],
         sizes = sizes.withColumn("_v", first).withColumn("_edge", ~first.eqNullSafe(last))
         extra = ["_v", "_edge"]
     keys = [*by, "_b"]
-    right = small_side(sizes.select(*[F.col(c).alias(f"_r_{c}") for c in keys], "_before", total, *extra))
+    right = cut(sizes.select(*[F.col(c).alias(f"_r_{c}") for c in keys], "_before", total, *extra))  # read by two branches
     same = F.lit(True)
     for c in keys:
         same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))

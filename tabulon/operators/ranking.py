@@ -11,7 +11,7 @@ from tabulon.operators import neighbors
 from tabulon.operators.clean import (candidate_features, feature_kinds, few_valued, require_class_size,
                                      require_no_nulls)
 from tabulon.operators.encode import apply_scaler, dummies, encode_label, fit_minmax
-from tabulon.operators.order import number_rows, top_n
+from tabulon.operators.order import top_n
 from tabulon.operators.sampling import draw_with_replacement
 from tabulon.session import cut
 
@@ -89,35 +89,15 @@ def rank_information_gain(df: DataFrame, label: str, exclude: Iterable[str] = ()
 
 # ---- correlation ------------------------------------------------------------------------------------
 
-WIDE = 3  # above this many columns the pair statistics come from block products
-
-
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every pair i < j: (i, j, feature_1, feature_2, corr).
 
-    One pass over the data in either form; a constant column gives NULL.
+    Co-moments of all pairs as matrix products per Arrow batch, added up by pair; a constant
+    column (relative variance below 1e-12) gives NULL.
     """
     columns = list(columns)
     if len(columns) < 2:
         raise ValueError("at least two numeric features are needed")
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    if len(columns) <= WIDE:
-        aggs = []
-        for i, j in pairs:
-            x, y = F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            den = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-            aggs.append(F.try_divide(F.covar_pop(x, y), den).alias(f"p{i}_{j}"))
-        one = df.agg(*aggs)
-        return one.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("feature_1"),
-                     F.lit(columns[j]).alias("feature_2"), F.col(f"p{i}_{j}").alias("corr")) for i, j in pairs
-        ])).alias("r")).select("r.*")
-    return _block_correlations(df, columns)
-
-
-def _block_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Co-moments of all pairs as matrix products per Arrow batch, added up by pair."""
     p = len(columns)
     means = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     shift = np.array([means[f"m{i}"] or 0.0 for i in range(p)])
@@ -236,23 +216,19 @@ def relief(df: DataFrame, id_col: str, label: str, exclude: Iterable[str] = (),
         F.first("times").alias("times"), F.min(F.when(F.col("hit"), F.col("s"))).alias("h"),
         F.min(F.when(~F.col("hit"), F.col("s"))).alias("m")).where("h IS NOT NULL AND m IS NOT NULL")
     total = first.agg(F.sum("times").alias("n_valid"), *[
-        F.sum(F.col("times") * (F.col(f"m.g{i}") - F.col(f"h.g{i}"))).alias(f"w{i}") for i in range(len(features))])
-    ranking = total.select("n_valid", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.try_divide(F.col(f"w{i}"), F.col("n_valid")).alias("relief_weight"))
-        for i, c in enumerate(features)])).alias("r")).select(
-        "r.feature", "r.relief_weight", F.abs("r.relief_weight").alias("abs_relief_weight"))
-    summary = total.select(F.lit(n).cast("long").alias("n_samples"), F.lit(len(features)).alias("n_features"),
-                           F.lit(n if n_iterations is None else n_iterations).cast("long").alias("n_draws"),
-                           F.coalesce("n_valid", F.lit(0)).cast("long").alias("n_valid"), F.lit(k).alias("k"))
+        F.sum(F.col("times") * (F.col(f"m.g{i}") - F.col(f"h.g{i}"))).alias(f"w{i}") for i in range(len(features))]).first()
+    n_valid = total["n_valid"]
+    if not n_valid:
+        raise ValueError("no draw has both a hit and a miss among its neighbours")
+    spark = df.sparkSession  # one row of sums gives both results
+    ranking = spark.createDataFrame([(c, total[f"w{i}"] / n_valid, abs(total[f"w{i}"] / n_valid)) for i, c in enumerate(features)],
+                                    "feature string, relief_weight double, abs_relief_weight double")
+    draws = n if n_iterations is None else n_iterations
+    summary = spark.createDataFrame([(n, len(features), draws, n_valid, k)],
+                                    "n_samples bigint, n_features int, n_draws bigint, n_valid bigint, k int")
     return {"ranking": ranking.orderBy(F.col("relief_weight").desc(), "feature"), "summary": summary}
 
 
 def head(ranking: DataFrame, score: str, n: int, name: str = "feature") -> DataFrame:
     """Top n of a ranking; ``name`` breaks ties."""
     return top_n(ranking, n, F.col(score).desc_nulls_last(), name)
-
-
-def with_rank(ranking: DataFrame, score: str, name: str = "feature") -> DataFrame:
-    """Rank column 1..n over a ranking table (one row per feature)."""
-    return number_rows(ranking, [F.col(score).desc_nulls_last(), F.col(name)], "rank")
-

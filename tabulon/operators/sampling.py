@@ -114,7 +114,7 @@ def draw_with_replacement(df: DataFrame, id_col: str, m: int, seed: int = 42) ->
     n = numbered.count()
     draws = df.sparkSession.range(m).select(
         F.col("id").alias("draw"),
-        (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)))), 1, 8), 16, 10)
+        (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)))), 1, 15), 16, 10)
          .cast("long") % F.lit(n) + 1).alias("_no"))
     return draws.join(numbered, "_no").drop("_no")
 

@@ -19,7 +19,7 @@ METHODS = ("pca", "lasso", "correlation", "relief", "information_gain", "forward
 
 
 def select_by(method: str, train: DataFrame, features: Sequence[str], id_col: str, label: str, max_features: int = 15,
-              max_rows: int | None = 5000, seed: int = 42, patience: int = 5, relief_draws: int = 5000) -> list[str]:
+              max_rows: int | None = None, seed: int = 42, patience: int = 5, relief_draws: int = 5000) -> list[str]:
     """Features one method chooses on the training rows (PCA has its own path)."""
     features = list(features)
     n = min(max_features, len(features))
@@ -53,12 +53,13 @@ def select_by(method: str, train: DataFrame, features: Sequence[str], id_col: st
 
 def compare_methods(df: DataFrame, id_col: str, label: str, methods: Sequence[str] = METHODS,
                     tune: dict[str, tuple[ModelSpec, dict]] | None = None, max_features: int = 15,
-                    max_rows: int | None = 5000, test_share: float = 0.2, folds: int = 5, seed: int = 42,
+                    max_rows: int | None = None, test_share: float = 0.2, folds: int = 5, seed: int = 42,
                     **options) -> DataFrame:
     """Leaderboard of the methods: each chooses features, which are scored by tuned models.
 
-    ``tune`` maps an algorithm name to its model and grid. A method that fails is logged
-    and left out.
+    ``tune`` maps an algorithm name to its model and grid. A method that fails is logged and
+    has a row with its ``error`` and without scores. ``max_rows`` caps the rows that the
+    wrapper searches compare (None: all).
     """
     tune = tune or {"forest": (ModelSpec("forest"), tuning.GRIDS["forest"])}
     work, features = selection.prepare(df, id_col, label)
@@ -81,17 +82,18 @@ def compare_methods(df: DataFrame, id_col: str, label: str, methods: Sequence[st
                        for spec, grid in tune.values()]
             top = max(results, key=lambda r: r["f1_micro_val"])
             rows.append((method, top["algorithm"], len(chosen), ", ".join(chosen), top["f1_micro_cv"],
-                         top["f1_micro_val"], top["f1_macro_val"], top["accuracy_val"]))
-        except Exception:
+                         top["f1_micro_val"], top["f1_macro_val"], top["accuracy_val"], None))
+        except Exception as e:
             log.exception("feature-selection method %s failed", method)
+            rows.append((method, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
     table = df.sparkSession.createDataFrame(rows, (
         "model string, algorithm string, n_features int, features string, f1_micro_cv double, f1_micro double, "
-        "f1_macro double, accuracy double"))
+        "f1_macro double, accuracy double, error string"))
     return evaluate.leaderboard(table)
 
 
 def feature_sets(train: DataFrame, features: Sequence[str], id_col: str, label: str, top_k: int = 25,
-                 stored: dict[str, list[str]] | None = None, relief_draws: int = 2000, max_rows: int | None = 1200,
+                 stored: dict[str, list[str]] | None = None, relief_draws: int = 2000, max_rows: int | None = None,
                  patience: int = 3, sbs_min_features: int = 20, sbs_max_steps: int = 12,
                  seed: int = 42) -> tuple[dict[str, list[str]], dict[str, dict]]:
     """Named feature lists for the experts, and summaries of the two searches.
@@ -123,25 +125,28 @@ def feature_sets(train: DataFrame, features: Sequence[str], id_col: str, label:
 
 
 def stock_experts(sets: dict[str, list[str]]) -> list[Expert]:
-    """The twelve experts of the ensemble benchmark."""
+    """The twelve experts of the ensemble benchmark.
+
+    Names and parameters are fixed values: stored parameters are looked up by these names.
+    """
     knn = ModelSpec("knn", {"n_neighbors": 15, "weights": "distance"}, scale=True)
     tree = ModelSpec("tree", {"criterion": "entropy", "max_depth": 15, "min_samples_leaf": 8})
     ada = ModelSpec("adaboost", {"max_depth": 2, "min_samples_leaf": 8, "n_estimators": 120, "learning_rate": 0.5})
     forest = ModelSpec("forest", {"n_estimators": 250, "max_depth": None, "min_samples_leaf": 2})
     table = [
-        ("knn_lasso", knn, "lasso_top"), ("knn_relief", knn, "relief_top"), ("decision_tree_max_min", tree, "max_min"),
-        ("decision_tree_best_first", tree, "best_first"), ("adaboost_lasso", ada, "lasso_top"),
+        ("knn_lasso_top25", knn, "lasso_top"), ("knn_relief_top25", knn, "relief_top"), ("decision_tree_max_min", tree, "max_min"),
+        ("decision_tree_best_first", tree, "best_first"), ("adaboost_lasso_top25", ada, "lasso_top"),
         ("adaboost_best_first", ada, "best_first"), ("knn_sbs", knn, "sbs"), ("random_forest_full", forest, "full"),
-        ("random_forest_information_gain", forest, "information_gain_top"),
-        ("gradient_boosting_lasso", ModelSpec("boosting", {"learning_rate": 0.08, "max_iter": 180}), "lasso_top"),
-        ("gradient_boosting_full", ModelSpec("boosting", {"learning_rate": 0.06, "max_iter": 180}), "full"),
-        ("logistic_lasso", ModelSpec("logistic", {"C": 1.0}, scale=True), "lasso_top"),
+        ("random_forest_information_gain_top25", forest, "information_gain_top"),
+        ("hist_gradient_boosting_lasso_top25", ModelSpec("boosting", {"learning_rate": 0.08, "max_iter": 180}), "lasso_top"),
+        ("hist_gradient_boosting_full", ModelSpec("boosting", {"learning_rate": 0.06, "max_iter": 180}), "full"),
+        ("logistic_lasso_top25", ModelSpec("logistic", {"C": 1.0}, scale=True), "lasso_top"),
     ]
     return [Expert(n, s, tuple(sets[f])) for n, s, f in table]
 
 
 def compare_ensembles(df: DataFrame, id_col: str, label: str, make_experts: Callable[[dict], list[Expert]] = stock_experts,
-                      max_per_class: int | None = 5000, n_samples: int | None = None, test_share: float = 0.2,
+                      max_per_class: int | None = None, n_samples: int | None = None, test_share: float = 0.2,
                       top_k: int = 4, stacking: bool = True, tuned: dict[str, dict] | None = None, seed: int = 42,
                       sets: dict[str, list[str]] | None = None, **set_options) -> dict[str, DataFrame]:
     """Single experts, five rules, stacking, top-k and diverse-k ensembles: leaderboard and reports.

@@ -71,7 +71,7 @@ def knn_accuracy(df: DataFrame, id_col: str, label: str, k: int = 5, test_share:
 
 
 def compare_imputations(train: DataFrame, labels: DataFrame, column: str, id_col: str, label: str,
-                        strategies=("mean", "median", "linear", "knn"), max_rows: int | None = 20_000, k: int = 5,
+                        strategies=("mean", "median", "linear", "knn"), max_rows: int | None = None, k: int = 5,
                         test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """(strategy, accuracy, n_rows, n_features, missing_after) of each strategy, best first.
 
@@ -100,7 +100,7 @@ def choose_imputation(train: DataFrame, labels: DataFrame, columns, id_col: str,
 
 
 def compare_multipliers(train: DataFrame, labels: DataFrame, columns, id_col: str, label: str,
-                        ks=(1.5, 2.0, 2.5, 3.0, 4.0), max_rows: int | None = 25_000, seed: int = 42) -> DataFrame:
+                        ks=(1.5, 2.0, 2.5, 3.0, 4.0), max_rows: int | None = None, seed: int = 42) -> DataFrame:
     """(k, n_outliers, accuracy, f1_micro): effect of the IQR multiplier on a kNN holdout score."""
     stats = outliers.sweep(train, columns, ks).collect()
     rows = []
@@ -121,7 +121,7 @@ def best_multiplier(results: DataFrame) -> float:
 
 
 def preprocess(train: DataFrame, labels: DataFrame, test: DataFrame, spec: DatasetSpec, strategy: str = "auto",
-               k: float = 3.0, max_rows: int | None = 20_000, seed: int = 42) -> Preprocessed:
+               k: float = 3.0, max_rows: int | None = None, seed: int = 42) -> Preprocessed:
     """Quality reports, flag, outliers, imputation, validation, scaling, one-hot and label join.
 
     Everything is fitted on train. ``strategy`` is a menu code, a name, or "auto" for the

@@ -1,11 +1,13 @@
 """Session and lineage helpers shared by the operators."""
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+#: Checkpoints of sessions with one process.
+LOCAL_CHECKPOINTS = "/tmp/tabulon-checkpoints"
+
+
 def local_session(cpus: int | str = "*", app: str = "tabulon", partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     spark = (
@@ -15,6 +17,7 @@ def local_session(cpus: int | str = "*", app: str = "tabulon", partitions: int =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", LOCAL_CHECKPOINTS)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
@@ -25,25 +28,15 @@ def local_session(cpus: int | str = "*", app: str = "tabulon", partitions: int =
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    local session that names none gets a temporary folder.
+    The folder is the one the session names in ``spark.checkpoint.dir``; ``local_session`` sets one.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and sc.master.startswith("local["):
+            folder = LOCAL_CHECKPOINTS  # driver and executors are one process
         if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="tabulon-checkpoint-")
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
-
-
-def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """A lookup table of a join, broadcast only if its counted rows are within the limit.
-
-    A larger one is joined by shuffle, where AQE splits hot keys. Meant for narrow tables.
-    """
-    table = cut(df)
-    return F.broadcast(table) if table.count() <= max_rows else table

@@ -92,15 +92,14 @@ def test_lasso_equals_coordinate_descent(data):
     assert info["alpha"] > 0 and len(info["path"]) == 100 and set(info["selected"]) >= {"a", "b"}
 
 
-def test_correlation_paths_agree(data, monkeypatch):
+def test_correlations_equal_numpy(data):
     frame = data.withColumn("k", F.lit(1.0)).withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a")))
     cols = [*NAMES, "k"]
-    wide = {(r[2], r[3]): r[4] for r in ranking.correlations(frame, cols).collect()}
-    monkeypatch.setattr(ranking, "WIDE", 99)
-    narrow = {(r[2], r[3]): r[4] for r in ranking.correlations(frame, cols).collect()}
-    assert wide.keys() == narrow.keys()
-    for key, v in narrow.items():
-        assert (v is None) == (wide[key] is None) and (v is None or abs(v - wide[key]) < 1e-9)
+    got = {(r.feature_1, r.feature_2): r["corr"] for r in ranking.correlations(frame, cols).collect()}
+    want = frame.select(*cols).toPandas().corr()
+    assert len(got) == len(cols) * (len(cols) - 1) // 2
+    for (x, y), v in got.items():
+        assert v is None if "k" in (x, y) else abs(v - want.loc[x, y]) < 1e-9
 
 
 def test_information_gain_bounds(data):
