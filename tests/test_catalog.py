@@ -5,7 +5,7 @@ from compare import compare, duck
 from tabulon.catalog import ENTRIES
 
 WITH_SQL = sorted(n for n, (_, sql) in ENTRIES.items() if sql)
-# The slower model comparisons run in test_models on purpose-made frames.
+# Fits are tested on purpose-made frames in test_learning; a few of their queries run here.
 ROWS_ONLY = ["bidirectional_selection", "lasso_selection", "lasso_cross_validated", "pca_loadings", "pca_full_run",
              "preprocessing_run", "decision_tree"]
 
