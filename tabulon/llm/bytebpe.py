@@ -1,7 +1,7 @@
 """Byte-level BPE by recursive DuckDB queries inside the tasks of a partition.
 
 Texts are cut by the tokenizer's pattern; each match is encoded separately. A task keeps the ids of words it has seen
-(up to ``WORDS_KEPT``) and hands the new matches, ``PIECES`` at a time, to one recursive query: token-position rows join
+(twice ``WORDS_KEPT`` at most) and hands the new matches, ``PIECES`` at a time, to one recursive query: token-position rows join
 the merge table, each step contracts the leftmost minimum-rank pair of each match, matches without a mergeable pair leave
 the recursion. Decoding joins ids with the vocabulary and aggregates bytes in the order of positions.
 
@@ -15,30 +15,32 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabulon.llm.common import free_name, table
 
-WORDS_KEPT, PIECES = 200_000, 40_000
-#: Ids decoded by one query.
-IDS_AT_ONCE = 1_000_000
+WORDS_KEPT, PIECES = 150_000, 40_000
+#: Bytes of texts or ids that go to one query (a longer text goes alone).
+BYTES_AT_ONCE = 4_000_000
 _U32 = np.dtype("<u4")
 
 _ENCODE = """
 WITH RECURSIVE s AS (
-  SELECT w, p, t, 0 AS step FROM start
+  SELECT w, p::INTEGER AS p, t, 0 AS step FROM start
   UNION ALL
   SELECT w, p, t, step FROM (
-    WITH n AS (SELECT w, p, t, step, lead(t) OVER x AS next_t, lag(p) OVER x AS last_p FROM s WINDOW x AS (PARTITION BY w ORDER BY p)),
-    m AS (SELECT n.*, g.rank FROM n LEFT JOIN merges g ON g.l = n.t AND g.r = n.next_t),
-    best AS (SELECT w, min((rank::BIGINT << 40) + p) AS k FROM m WHERE rank IS NOT NULL GROUP BY w)
-    SELECT m.w, m.p, CASE WHEN m.p = (k & 1099511627775) THEN (k >> 40)::INTEGER ELSE m.t END AS t, step + 1 AS step
-    FROM m JOIN best USING (w) WHERE last_p IS DISTINCT FROM (k & 1099511627775)))
-SELECT w, list(t ORDER BY p) AS ids
-FROM (SELECT w, p, t, step, max(step) OVER (PARTITION BY w) AS last FROM s) WHERE step = last GROUP BY w"""
+    WITH best AS (SELECT a.w, min((g.rank::BIGINT << 40) + a.p) AS k FROM s a JOIN s b ON b.w = a.w AND b.p = a.p + 1
+                  JOIN merges g ON g.l = a.t AND g.r = b.t GROUP BY a.w)
+    SELECT s.w, (CASE WHEN s.p > place THEN s.p - 1 ELSE s.p END)::INTEGER AS p, CASE WHEN s.p = place THEN rank ELSE s.t END AS t,
+           step + 1 AS step
+    FROM s JOIN (SELECT w, (k & 1099511627775)::INTEGER AS place, (k >> 40)::INTEGER AS rank FROM best) USING (w)
+    WHERE s.p <> place + 1))
+SELECT w, t FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step) ORDER BY w, p"""
 
 _DECODE = "SELECT d, list(b ORDER BY p) AS parts FROM ids JOIN vocabulary USING (t) GROUP BY d"
 
@@ -61,12 +63,14 @@ class Bpe:
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         cuts = np.array([(ranks[k[:i]], ranks[k[i:]], r) for k, r in ranks.items() for i in range(1, len(k))
                          if k[:i] in ranks and k[i:] in ranks], np.int32).reshape(-1, 3)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         self.db.register("cuts", pa.table({"l": cuts[:, 0], "r": cuts[:, 1], "rank": cuts[:, 2]}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM cuts")
         self.db.register("tokens", pa.table({"t": pa.array(ranks.values(), pa.int32()), "b": pa.array(ranks.keys(), pa.binary())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM tokens")
+        # Two generations of known words: those of the older one that are seen again move to the younger.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pieces(self, matches: list[str]) -> dict[str, bytes]:
         """Ids of pattern matches, as little-endian 32-bit integers."""
@@ -77,8 +81,9 @@ class Bpe:
             word = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
             place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             self.db.register("start", pa.table({"w": word, "p": place, "t": self.byte[np.frombuffer(b"".join(part), np.uint8)]}))
-            for w, ids in self.db.execute(_ENCODE).fetchall():
-                out[matches[k + w]] = np.array(ids, _U32).tobytes()
+            found = self.db.sql(_ENCODE).to_arrow_table()
+            ids, ends = found.column("t").to_numpy().astype(_U32).tobytes(), np.cumsum(np.bincount(found.column("w").to_numpy())) * 4
+            out.update(zip(matches[k:k + PIECES], (ids[a:b] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()))))
         return out
 
     def words(self, text: str) -> list[str]:
@@ -92,11 +97,11 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.words(t) for t in texts]
         wanted = set().union(*cut)
-        new = {w for w in wanted if w not in self.known}
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = wanted
-        found = {w: self.find(w) for w in new}
+        if len(self.known) > WORDS_KEPT:
+            self.older, self.known = self.known, {}
+        again = {w for w in wanted if w not in self.known and w in self.older}
+        self.known.update((w, self.older[w]) for w in again)
+        found = {w: self.find(w) for w in wanted if w not in self.known}
         ids = self.pieces(list(set().union(*found.values())))
         for w, matches in found.items():
             self.known[w] = b"".join(map(ids.__getitem__, matches))
@@ -127,40 +132,55 @@ def _groups(sizes: list[int], most: int) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def _added(df: DataFrame, name: str, read: str, work) -> DataFrame:
-    """``df`` with a binary column ``name`` (replaced if there), which ``work(bpe, values)`` makes from column ``read``."""
-    kept = df.drop(name)
+@lru_cache(maxsize=2)
+def _bpe(path: str, pattern: str) -> Bpe:
+    """One coder for all tasks of a Python worker."""
+    return Bpe(path, pattern)
+
+
+def _added(df: DataFrame, names: list[str], read: str, work) -> DataFrame:
+    """``df`` with binary columns ``names`` (replaced if there); ``work(values)`` makes them from slices of column ``read``."""
+    kept = df.drop(*names)
     given = free_name(df, "_given")
-    source = kept.withColumn(given, df[read]) if read == name else kept.withColumn(given, F.col(read))
+    source = kept.withColumn(given, df[read])
     place = len(source.columns) - 1
-    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.BinaryType())])
+    schema = T.StructType([*kept.schema.fields, *(T.StructField(n, T.BinaryType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = work()
-        for b in batches:
-            values = b.column(place).to_pylist()
-            done = [x for s in _groups([len(v or "") for v in values], 4 * IDS_AT_ONCE) for x in make(values[s])]
-            yield pa.RecordBatch.from_arrays([*b.columns[:place], pa.array(done, pa.binary())], [*b.schema.names[:place], name])
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column(place)), 0).to_pylist()
+            for s in _groups(sizes, BYTES_AT_ONCE):
+                b = whole.slice(s.start, s.stop - s.start)
+                done = [pa.array(x, pa.binary()) for x in work(b.column(place).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*b.columns[:place], *done], [*b.schema.names[:place], *names])
 
     return source.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text as little-endian 32-bit integers (binary)."""
-    return _added(docs, ids, text, lambda: (lambda bpe: lambda v: bpe.encode([x or "" for x in v]))(Bpe(path, pattern)))
+    return _added(docs, [ids], text, lambda v: [_bpe(path, pattern).encode([x or "" for x in v])])
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` with the bytes of each id list (binary)."""
-    return _added(docs, decoded, ids, lambda: (lambda bpe: lambda v: bpe.decode([x or b"" for x in v]))(Bpe(path, pattern)))
+    return _added(docs, [decoded], ids, lambda v: [_bpe(path, pattern).decode([x or b"" for x in v])])
+
+
+def encode_decode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of each whole text and the bytes that these ids decode to, by one Python worker a task."""
+    def work(values):
+        coded = _bpe(path, pattern).encode([x or "" for x in values])
+        return [coded, _bpe(path, pattern).decode(coded)]
+    return _added(docs, [ids, decoded], text, work)
 
 
 def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row."""
     import public_tokenizers
     path, pattern = public_tokenizers.path(file), public_tokenizers.PATTERN
-    coded = encode(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), path, pattern).drop("text")
-    both = decode(coded, path, pattern)
+    given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    both = encode_decode(given, path, pattern).drop("text")
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
