@@ -194,13 +194,14 @@ def imputation_auto_choice(spark, d):
     train, labels = _labelled_parts(spark, d)
     train = train.withColumn("p_retailprice", F.when(F.col("p_retailprice") < 1500, F.col("p_retailprice")))
     best, results = preprocess.choose_imputation(train, labels, ["p_size", "p_retailprice"], "p_partkey", "brand_no",
-                                                 strategies=("mean", "median"), max_rows=None)
+                                                 max_rows=None)
     return out(evaluate.strategy_summary(results).withColumn("is_best", F.col("strategy") == best))
 
 
 @query("multiplier_comparison")
 def multiplier_comparison(spark, d):
     c = table(spark, d, "customer")
-    return out(preprocess.compare_multipliers(
+    results = preprocess.compare_multipliers(
         c.select("c_custkey", "c_acctbal", "c_nationkey"), c.select("c_custkey", "c_mktsegment"), ["c_acctbal"],
-        "c_custkey", "c_mktsegment", max_rows=None))
+        "c_custkey", "c_mktsegment")
+    return out(results.withColumn("is_best", F.col("k") == preprocess.best_multiplier(results)))

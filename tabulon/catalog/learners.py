@@ -11,7 +11,7 @@ from tabulon.operators.sampling import split
 from tabulon.plans import benchmarks, preprocess
 from tabulon.spec import DatasetSpec
 
-_DIMS = 6
+_DIMS = 64
 _FEATURES = [f"e{i}" for i in range(_DIMS)]
 
 

@@ -152,7 +152,7 @@ def lasso_cross_validated(spark, d):
 
 # ---- PCA --------------------------------------------------------------------------------------------------
 
-def _embedding_columns(spark, d, dims=16):
+def _embedding_columns(spark, d, dims=64):
     return table(spark, d, "embeddings").select(
         "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
 
@@ -173,7 +173,7 @@ def pca_loadings(spark, d):
 
 @query("pca_full_run")
 def pca_full_run(spark, d):
-    e = _embedding_columns(spark, d, 8)
+    e = _embedding_columns(spark, d)
     train, test = split(e, "vec_id", "label", 0.2)
     done = pca.run_pca(train, test, ["vec_id"], "label")
     return out(done["train_with_label"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulon.catalog.base import HOMES, PARTS, homes, longs, out, parts, query, table
-from tabulon.operators import clean, ensemble, evaluate, impute, order, outliers, pca, ranking, sampling, selection
+from tabulon.operators import clean, ensemble, evaluate, impute, order, outliers, pca, quality, ranking, sampling, selection
 from tabulon.operators.encode import encode_label
 
 # ---- outliers --------------------------------------------------------------------------------------------
@@ -21,6 +21,18 @@ def iqr_outlier_report(spark, d):
     return outliers.iqr_report(table(spark, d, "events"), ["value"], k=3.0)
 
 
+@query("quality_checks", f"""WITH {_IQR.format(c='value', t='events', k=3.0)},
+d AS (SELECT count(*) - count(DISTINCT user_id) AS n_duplicates FROM events)
+SELECT 'value' AS "column", (SELECT n_duplicates FROM d) AS n_duplicates, round_even(lo, 2) AS lower_bound, round_even(hi, 2) AS upper_bound,
+ (SELECT count(*) FROM events WHERE value < lo OR value > hi) AS n_outliers FROM b""")
+def quality_checks(spark, d):
+    """The quality driver: normalised names, later occurrences of a key and the outlier report."""
+    raw = table(spark, d, "events").select(F.col("user_id").alias("User Id"), F.col("value").alias(" Value "))
+    _, keys, report = quality.run_checks(raw, "user_id", ["value"])
+    return report.withColumn("n_duplicates", F.lit(keys.first()["n_duplicates"])).select(
+        "column", "n_duplicates", "lower_bound", "upper_bound", "n_outliers")
+
+
 @query("iqr_floored_bounds", f"""WITH {_IQR.format(c='c_acctbal', t='customer', k=1.5)}
 SELECT 'c_acctbal' AS "column", round(q1, 6) AS q1, round(q3, 6) AS q3, round(iqr, 6) AS iqr, round(lo, 6) AS lower_bound, round(hi, 6) AS upper_bound,
  (SELECT count(*) FROM customer WHERE c_acctbal < lo OR c_acctbal > hi) AS n_outliers,
@@ -347,7 +359,7 @@ def correlation_with_nulls(spark, d):
     return out(ranking.correlations(p, ["p_size", "p_retailprice", "constant"]).where("corr IS NOT NULL").select("corr"))
 
 
-_EMB = 20
+_EMB = 64
 
 
 @query("wide_correlations", f"""WITH e AS (SELECT vec_id, i, embedding[i]::DOUBLE AS v FROM embeddings, range(1, {_EMB + 1}) t(i))
@@ -357,10 +369,10 @@ def wide_correlations(spark, d):
     return out(ranking.correlations(e, e.columns).select("feature_1", "feature_2", "corr"))
 
 
-_MM = [f"e{i}" for i in range(8)]
+_MM = [f"e{i}" for i in range(_EMB)]
 
 
-@query("max_min_selection", f"""WITH RECURSIVE base AS (SELECT {', '.join(f'embedding[{i + 1}]::DOUBLE AS e{i}' for i in range(8))}, label AS y FROM embeddings),
+@query("max_min_selection", f"""WITH RECURSIVE base AS (SELECT {', '.join(f'embedding[{i + 1}]::DOUBLE AS e{i}' for i in range(_EMB))}, label AS y FROM embeddings),
 pairs AS ({_corr_pairs([*_MM, 'y'], 'base')}),
 m AS (SELECT feature_1 AS f, feature_2 AS g, coalesce(abs(corr), 0) AS v FROM pairs UNION ALL SELECT feature_2, feature_1, coalesce(abs(corr), 0) FROM pairs),
 rel AS (SELECT f, v AS rel FROM m WHERE g = 'y'),
@@ -375,7 +387,7 @@ pick AS (
 SELECT step::BIGINT AS step, selected_feature, round(relevance, 6) AS relevance, round(redundancy, 6) AS redundancy, round(score, 6) AS score FROM pick""")
 def max_min_selection(spark, d):
     e = table(spark, d, "embeddings").select(
-        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)], "label")
+        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(_EMB)], "label")
     return out(selection.max_min(e, "label", _MM)[0])
 
 
@@ -570,14 +582,17 @@ def expert_diversity(spark, d):
 @query("aggregation_rule_scores", f"""WITH {_PROFILE}, s AS (
  SELECT 'mes_mean' AS model, id, cls, avg(proba) AS score FROM profile GROUP BY ALL UNION ALL
  SELECT 'mes_weighted_mean', id, cls, sum(weight * proba) / sum(weight) FROM profile JOIN w USING (expert) GROUP BY ALL UNION ALL
- SELECT 'mes_product', id, cls, product(least(greatest(proba, 1e-12), 1)) FROM profile GROUP BY ALL),
+ SELECT 'mes_product', id, cls, product(least(greatest(proba, 1e-12), 1)) FROM profile GROUP BY ALL UNION ALL
+ SELECT 'mes_median', id, cls, median(proba) FROM profile GROUP BY ALL UNION ALL
+ SELECT 'mes_majority_vote', id, cls, coalesce(v, 0) FROM (SELECT DISTINCT id, cls FROM profile)
+  LEFT JOIN (SELECT id, prediction AS cls, sum(weight) AS v FROM pred JOIN w USING (expert) GROUP BY ALL) USING (id, cls)),
 g AS (SELECT model, id, cls AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY model, id ORDER BY round(score, 12) DESC, cls) AS r FROM s) WHERE r = 1),
 j AS (SELECT model, status, prediction FROM g JOIN homes USING (id)),
 cells AS (SELECT model, cls, count(*) FILTER (status = cls) AS t, count(*) FILTER (prediction = cls) AS p, count(*) FILTER (status = cls AND prediction = cls) AS tp FROM j, (VALUES ('F'), ('O'), ('P')) c(cls) GROUP BY ALL)
 SELECT model, round(sum(tp)::DOUBLE / sum(t), 6) AS f1_micro, round(avg(2.0::DOUBLE * tp / (p + t)), 6) AS f1_macro, round(sum(tp)::DOUBLE / sum(t), 6) AS accuracy FROM cells GROUP BY 1""")
 def aggregation_rule_scores(spark, d):
     p, truth = _profile(spark, d)
-    return out(ensemble.score_rules(p, truth, _W, rules=("mean", "weighted_mean", "product")))
+    return out(ensemble.score_rules(p, truth, _W))
 
 
 @query("diverse_expert_choice", _SCORED + f""", {_PAIRS}, pp AS (SELECT expert_a AS a, expert_b AS b, (n10 + n01)::DOUBLE / (n11 + n00 + n10 + n01) AS dis, n00::DOUBLE / (n11 + n00 + n10 + n01) AS dbl FROM cnt
