@@ -27,7 +27,7 @@ SELECT 'value' AS "column", (SELECT n_duplicates FROM d) AS n_duplicates, round_
  (SELECT count(*) FROM events WHERE value < lo OR value > hi) AS n_outliers FROM b""")
 def quality_checks(spark, d):
     """The quality driver: normalised names, later occurrences of a key and the outlier report."""
-    raw = table(spark, d, "events").select(F.col("user_id").alias("User Id"), F.col("value").alias(" Value "))
+    raw = table(spark, d, "events").select(F.col("user_id").alias(" USER_ID"), F.col("value").alias(" Value "))
     _, keys, report = quality.run_checks(raw, "user_id", ["value"])
     return report.withColumn("n_duplicates", F.lit(keys.first()["n_duplicates"])).select(
         "column", "n_duplicates", "lower_bound", "upper_bound", "n_outliers")
