@@ -27,7 +27,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabulon.llm.common import free_name, stored, table
@@ -38,21 +37,49 @@ TRAIN_ROWS = 20_000
 LEAST_DOCS, EVIDENCE, LEAST_RATIO = 5, 10.0, 1.0
 PREFIXES = range(4, 9)
 #: Tokens whose readings a task keeps; repetitions of one token in a document that count.
-TOKENS_KEPT, REPEATS = 300_000, 20
+TOKENS_KEPT, REPEATS = 200_000, 20
 #: Letters that a character can stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
         "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "§": "s",
         "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ο": "o", "ѕ": "s", "ԁ": "d"}
 _GAPS = frozenset(".-_*·'`~,:;/\\^​‌‍⁠­")
 _WORD = re.compile(r"[^\W\d_]+")
-_EDGE = re.compile(r"^[^\w@$€£(|*]+|[^\w@$€£*]+$")
+#: What is cut off a token's ends: marks, but no letter-like sign that stands alone or twice.
+_EDGE = re.compile(r"^(?:[^\w@$€£]|([@$€£])\1{2,})+|(?:[^\w@$€£]|([@$€£])\2{2,})+$")
 _SPACED = re.compile(r"(?<!\S)(?:[\w@$!] ){2,}[\w@$!](?!\S)")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
-def _slot(s: str) -> int:
-    return xxhash.xxh32_intdigest(s) & (BUCKETS - 1)
+_M1, _M2, _64 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
+
+
+def _slot(gram: str) -> int:
+    """Counter of an n-gram; ``_add_grams`` computes the same for arrays."""
+    h = 0
+    for c in gram:
+        h = (h * _M1 + ord(c) + 1) & _64
+    return (((h ^ (h >> 32)) * _M2) & _64) >> 44
+
+
+def _add_grams(total: np.ndarray, words: Counter) -> None:
+    """Add the n-grams of orders 0 to ``ORDER`` of words (with both ends marked) to the counters."""
+    if not words:
+        return
+    codes = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    n = np.fromiter(words.values(), np.int64, len(words))
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    weight = np.repeat(n, lengths)
+    total[_slot("")] += int((n * (lengths - 1)).sum())
+    total[_slot("^")] += int(n.sum())
+    for k in range(ORDER):  # grams of k + 1 characters that end at a character after the first
+        ends = np.flatnonzero(place >= max(k, 1))
+        h = np.zeros(len(ends), np.uint64)
+        for j in range(k, -1, -1):
+            h = h * np.uint64(_M1) + codes[ends - j]
+        slots = ((h ^ (h >> np.uint64(32))) * np.uint64(_M2)) >> np.uint64(44)
+        total += np.bincount(slots.astype(np.int64), weight[ends], BUCKETS).astype(np.int64)
 
 
 class LanguageModel:
@@ -79,16 +106,6 @@ class LanguageModel:
             self.kept[key] = found
         return found
 
-    @staticmethod
-    def grams(word: str) -> Iterator[str]:
-        s = "^" + word + "$"
-        for i in range(1, len(s)):
-            yield ""
-            for k in range(ORDER):
-                if i - k >= 0:
-                    yield s[i - k:i + 1]
-        yield "^"
-
 
 def readings(token: str) -> list[list[tuple[str, float]]]:
     """The lattice of a token: for each character or run the strings it can stand for, with their costs."""
@@ -178,16 +195,25 @@ class Model:
     lexicon: dict[str, float] = field(default_factory=dict)
     other: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    scorer: Scorer | None = None  # one for all tasks of a Python worker, which holds one copy of a broadcast model
 
 
 class Scorer:
-    """Features and scores of texts under a model."""
+    """Features and scores of texts under a model; what it knows of tokens is kept in two generations."""
 
     def __init__(self, model: Model):
-        self.model, self.read, self.known = model, Reader(model.counts), {}
+        self.model, self.read, self.known, self.older = model, Reader(model.counts), {}, {}
+
+    @staticmethod
+    def of(model: Model) -> Scorer:
+        if model.scorer is None:
+            model.scorer = Scorer(model)
+        return model.scorer
 
     def token(self, token: str) -> tuple[int, float, int]:
         found = self.known.get(token)
+        if found is None and token in self.older:
+            found = self.known[token] = self.older[token]
         if found is None:
             plain, restored = self.read(token)
             lexicon, total, hits = self.model.lexicon, 0.0, 0
@@ -195,7 +221,7 @@ class Scorer:
             for best in [*(weight([w]) for w in plain), weight(restored)]:  # of several readings the worst counts
                 total, hits = total + best, hits + (best > 0)
             if len(self.known) > TOKENS_KEPT:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             found = self.known[token] = (len(plain), total, hits)
         return found
 
@@ -225,14 +251,12 @@ def count_characters(docs: DataFrame, text: str = "text") -> np.ndarray:
         total = np.zeros(BUCKETS, np.int64)
 
         def add(words: Counter) -> None:
-            grams: defaultdict[str, int] = defaultdict(int)
+            plain: Counter = Counter()
             for token, n in words.items():
                 word = token.strip(".,;:!?\"'()")
                 if word.isalpha():
-                    for g in LanguageModel.grams(word):
-                        grams[g] += n
-            for g, n in grams.items():
-                total[_slot(g)] += n
+                    plain[word] += n
+            _add_grams(total, plain)
         words: Counter = Counter()
         for b in batches:
             for x in b.column(0).to_pylist():
@@ -330,7 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     shared = sc.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer.of(shared.value)
         for b in batches:
             f = np.array([scorer.features(x) for x in b.column("text").to_pylist()]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([*(pa.array(f[:, k]) for k in range(4)), b.column("toxic")], ["a", "b", "c", "d", "toxic"])
@@ -370,7 +394,7 @@ def _mapped(docs: DataFrame, text: str, name: str, kind: T.DataType, arrow: pa.D
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the toxicity of each whole text, from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return _mapped(docs, text, name, T.DoubleType(), pa.float64(), lambda: Scorer(shared.value).score)
+    return _mapped(docs, text, name, T.DoubleType(), pa.float64(), lambda: Scorer.of(shared.value).score)
 
 
 def restore(docs: DataFrame, model: Model, text: str = "text", name: str = "restored") -> DataFrame:
