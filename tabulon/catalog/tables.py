@@ -55,17 +55,16 @@ def preprocessed_sink(spark, d):
 SELECT p_type AS feature_set, unnest(range(1, len(brands) + 1)) AS rank, unnest(brands) AS feature FROM a""")
 def feature_sets_long(spark, d):
     rows = table(spark, d, "part").select("p_type", "p_brand").distinct().groupBy("p_type").agg(
-        F.array_sort(F.collect_set("p_brand")).alias("b")).collect()
-    return longs(writers.feature_set_table(spark, {r["p_type"]: r["b"] for r in rows}))
+        F.array_sort(F.collect_set("p_brand")).alias("features"))
+    return longs(writers.feature_set_table(spark, rows.withColumnRenamed("p_type", "feature_set")))
 
 
 @query("best_params_store", """SELECT p_type AS expert, max(p_size)::BIGINT AS max_depth FROM part GROUP BY 1""")
 def best_params_store(spark, d):
-    rows = table(spark, d, "part").groupBy("p_type").agg(F.max("p_size").alias("m")).collect()
+    best = table(spark, d, "part").groupBy(F.col("p_type").alias("expert")).agg(F.max("p_size").alias("max_depth"))
     path = scratch(spark, "params")
-    writers.write_params(spark, {r["p_type"]: {"max_depth": r["m"]} for r in rows}, path)
-    got = readers.read_params(spark, path)
-    return spark.createDataFrame([(k, v["max_depth"]) for k, v in got.items()], "expert string, max_depth bigint")
+    writers.write_params(spark, best.select("expert", F.to_json(F.struct("max_depth")).alias("params")), path)
+    return readers.params_table(spark, path).select("expert", F.from_json("params", "max_depth bigint")["max_depth"].alias("max_depth"))
 
 
 # ---- projections and filters ------------------------------------------------------------------------

@@ -10,8 +10,11 @@ from tabulon.spec import DatasetSpec
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    try:
+        spark.read.format("binaryFile").load(path).schema  # the path is looked up, no file is read
+    except AnalysisException:
+        return False
+    return True
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -95,10 +98,28 @@ def read_feature_list(spark: SparkSession, path: str, column: str, limit: int |
     return [r[0] for r in rows]
 
 
+def params_table(spark: SparkSession, path: str) -> DataFrame:
+    """(expert, params): stored parameters, one JSON object per expert, as text."""
+    return spark.read.schema("expert string, params string").json(path)
+
+
 def read_params(spark: SparkSession, path: str) -> dict[str, dict]:
-    """Best parameters by expert name, as ``write_params`` stores them; {} if absent."""
+    """Best parameters by expert name; {} if absent.
+
+    Reads rows of ``write_params`` and a single ``{expert: {param: value}}`` document.
+    """
     if not exists(spark, path):
         return {}
     import json
-    return {r["expert"]: json.loads(r["params"]) for r in spark.read.schema(
-        "expert string, params string").json(path).collect()}
+    # One row per expert, or one small document.
+    texts = [r[0] for r in spark.read.text(path, wholetext=True).collect()]
+    out: dict[str, dict] = {}
+    for text in texts:
+        try:
+            document = json.loads(text)
+            rows = [document] if set(document) == {"expert", "params"} else []
+            out |= {} if rows else document
+        except json.JSONDecodeError:
+            rows = [json.loads(line) for line in text.splitlines() if line.strip()]
+        out |= {r["expert"]: json.loads(r["params"]) for r in rows}
+    return out

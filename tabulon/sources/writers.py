@@ -37,10 +37,11 @@ def write_summary(spark: SparkSession, summary: dict, path: str) -> None:
         "overwrite").text(path)
 
 
-def feature_set_table(spark: SparkSession, sets: dict[str, list[str]]) -> DataFrame:
-    """(feature_set, rank, feature) in long form."""
+def feature_set_table(spark: SparkSession, sets: dict[str, list[str]] | DataFrame) -> DataFrame:
+    """(feature_set, rank, feature) in long form, from lists by name or a frame (feature_set, features)."""
     from pyspark.sql import functions as F
-    wide = spark.createDataFrame([(n, list(f)) for n, f in sets.items()], "feature_set string, features array<string>")
+    wide = sets if isinstance(sets, DataFrame) else spark.createDataFrame(
+        [(n, list(f)) for n, f in sets.items()], "feature_set string, features array<string>")
     return wide.select("feature_set", F.posexplode("features").alias("pos", "feature")).select(
         "feature_set", (F.col("pos") + 1).alias("rank"), "feature")
 
@@ -51,6 +52,9 @@ def write_feature_sets(spark: SparkSession, sets: dict[str, list[str]], summarie
         write_summary(spark, {"method": method, **values}, f"{folder}/summary_{method}.json")
 
 
-def write_params(spark: SparkSession, params: dict[str, dict], path: str) -> None:
-    rows = [(e, json.dumps(p)) for e, p in sorted(params.items())]
-    spark.createDataFrame(rows, "expert string, params string").coalesce(1).write.mode("overwrite").json(path)
+def write_params(spark: SparkSession, params: dict[str, dict] | DataFrame, path: str) -> None:
+    """Parameters by expert name, from a dictionary or a frame (expert, params as JSON text)."""
+    if not isinstance(params, DataFrame):
+        rows = [(e, json.dumps(p)) for e, p in sorted(params.items())]
+        params = spark.createDataFrame(rows, "expert string, params string").coalesce(1)
+    params.write.mode("overwrite").json(path)
