@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tabulon.catalog.base import homes, longs, out, query, table
 from tabulon.operators import evaluate, pca, selection
-from tabulon.operators.encode import apply_scaler, fit_standard
 from tabulon.operators.models import ModelSpec
 from tabulon.operators.sampling import split
 
@@ -177,6 +176,3 @@ def pca_full_run(spark, d):
     train, test = split(e, "vec_id", "label", 0.2)
     done = pca.run_pca(train, test, ["vec_id"], "label")
     return out(done["train_with_label"])
-
-
-__all__ = ["apply_scaler", "fit_standard"]

@@ -4,8 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulon.catalog.base import HOMES, PARTS, homes, longs, out, parts, query, table
-from tabulon.operators import clean, ensemble, evaluate, impute, order, outliers, pca, quality, ranking, sampling, selection
-from tabulon.operators.encode import encode_label
+from tabulon.operators import ensemble, evaluate, impute, order, outliers, pca, quality, ranking, sampling, selection
 
 # ---- outliers --------------------------------------------------------------------------------------------
 
@@ -605,6 +604,3 @@ def diverse_expert_choice(spark, d):
     p, truth = _profile(spark, d)
     pairs = ensemble.diversity(ensemble.expert_predictions(p), truth, _EXPERTS)
     return out(ensemble.diverse_experts(ensemble.score_experts(p, truth), pairs, 2))
-
-
-__all__ = ["clean", "encode_label"]

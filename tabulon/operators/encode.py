@@ -44,10 +44,6 @@ def apply_geo_index(df: DataFrame, fitted: dict[str, DataFrame]) -> DataFrame:
     return df
 
 
-def geo_sizes(fitted: dict[str, DataFrame]) -> dict[str, int]:
-    return {c: index.count() for c, index in fitted.items()}
-
-
 # ---- one-hot -------------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tabulon.operators import evaluate, models, neighbors
+from tabulon.operators import models, neighbors
 from tabulon.operators.clean import candidate_features, feature_kinds, require_no_nulls
 from tabulon.operators.encode import apply_scaler, dummies, encode_label, fit_standard
 from tabulon.operators.moments import centred, cross_products, means
@@ -216,10 +216,6 @@ class Search:
         names = [c.strip().split(" ")[0] for c in schema.split(",")]
         return spark.createDataFrame([tuple(h.get(c) for c in names) for h in self.history], schema)
 
-    def selected_frame(self, spark) -> DataFrame:
-        return spark.createDataFrame([(i + 1, c) for i, c in enumerate(self.selected)],
-                                     "selected_feature_order int, selected_feature string")
-
 
 def _best(scores: list[float]) -> int:
     """Position of the first maximum."""
@@ -538,4 +534,4 @@ def outer_holdout(df: DataFrame, features: Sequence[str], id_col: str, label: st
 
 __all__ = ["prepare", "holdout", "KnnScorer", "ModelScorer", "CrossValidatedScorer", "Search", "forward", "backward",
            "bidirectional", "best_first", "max_min", "lasso", "choose_alpha", "monotonicity", "compare_to_full",
-           "outer_holdout", "evaluate"]
+           "outer_holdout"]

@@ -6,7 +6,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabulon.operators import ensemble, evaluate, models, pca, ranking, selection, tuning
+from tabulon.operators import ensemble, evaluate, pca, ranking, selection, tuning
 from tabulon.operators.ensemble import Expert
 from tabulon.operators.models import ModelSpec
 from tabulon.operators.sampling import balanced_sample, split, stratified_sample
@@ -186,4 +186,4 @@ def compare_ensembles(df: DataFrame, id_col: str, label: str, make_experts: Call
             "profile": profile, "truth": truth, "sets": sets, "summaries": summaries}
 
 
-__all__ = ["METHODS", "select_by", "compare_methods", "feature_sets", "stock_experts", "compare_ensembles", "models"]
+__all__ = ["METHODS", "select_by", "compare_methods", "feature_sets", "stock_experts", "compare_ensembles"]
