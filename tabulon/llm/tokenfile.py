@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,63 +28,93 @@ from tabulon.llm.common import shared_folder, spread, stored, table
 SCALE = 20
 LOW = np.uint64(1 << 31)
 LANES, STEPS, BLOCK = 256, 128, 1 << 16
-#: Distinct words whose ids a task keeps at once.
+#: Distinct words whose ids a worker keeps in each of two generations.
 WORDS_KEPT = 300_000
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+#: Characters that Python takes for white space and the vocabulary does not.
+_ODD = re.compile("[\x1c-\x1f]")
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
 
+def packed_type(path: str) -> str:
+    """The type in which ids pass between tasks: 16 bits if the vocabulary fits."""
+    from tokenizers import Tokenizer
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 class WordIds:
     """Ids of texts by the tokenizers library, which sees each distinct word once.
 
-    The vocabulary drops white space before it merges, so that words between white space are encoded independently.
+    The vocabulary drops white space before it merges, so that words between white space are encoded independently. New
+    words go to the library many at a time, with a mark of their own between them, and are cut apart at its id.
     """
+    MARK, TOGETHER = "\x01", 2000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.type = np.dtype(packed_type(path))
+        self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        # Two generations of known words: those of the older one that are seen again move to the younger.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.type) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str]) -> None:
+        plain = [w for w in words if self.MARK not in w] if len(self.mark) == 1 else []
+        groups = [plain[k:k + self.TOGETHER] for k in range(0, len(plain), self.TOGETHER)]
+        for group, ids in zip(groups, self._ids([f" {self.MARK} ".join(g) for g in groups])):
+            cuts = np.flatnonzero(ids == self.mark[0])
+            data, size = ids.tobytes(), self.type.itemsize
+            starts, ends = np.r_[0, cuts + 1] * size, np.r_[cuts, len(ids)] * size
+            self.known.update(zip(group, (data[a:b] for a, b in zip(starts.tolist(), ends.tolist())), strict=True))
+        rest = [w for w in words if w not in self.known]
+        self.known.update(zip(rest, (x.tobytes() for x in self._ids(rest))))
 
     def __call__(self, texts: list[str], end: int) -> list[bytes]:
-        """Little-endian 32-bit ids of each text and the end id."""
-        last, out = np.array([end], _U32).tobytes(), []
-        for text in texts:
-            words = _SPACE.split(text)
-            new = [w for w in set(words) if w not in self.known]
-            if new:
-                if len(self.known) + len(new) > WORDS_KEPT:
-                    self.known.clear()
-                    new = list(set(words))
-                for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                    self.known[w] = np.array(e.ids, _U32).tobytes()
-            out.append(b"".join(map(self.known.__getitem__, words)) + last)
-        return out
+        """Packed ids of each text and the end id."""
+        cut = [_SPACE.split(t) if _ODD.search(t) else t.split() for t in texts]
+        if len(self.known) > WORDS_KEPT:
+            self.older, self.known = self.known, {}
+        wanted = {w for w in set().union(*cut) if w not in self.known}
+        again = {w: self.older[w] for w in wanted if w in self.older}
+        self.known.update(again)
+        self.learn([w for w in wanted if w not in again])
+        last = np.array([end], self.type).tobytes()
+        return [b"".join(map(self.known.__getitem__, c)) + last for c in cut]
+
+
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    """One encoder for all tasks of a Python worker."""
+    return WordIds(path)
 
 
 def token_ids(docs: DataFrame, path: str, end: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, tie, ids): the ids of each whole text as little-endian 32-bit integers, with the end id."""
+    """(doc_id, tie, ids): the ids of each whole text with the end id, as little-endian integers of ``packed_type``."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(path)
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
-                done = pa.array(ids(b.column("text").to_pylist(), end), pa.binary())
+                done = pa.array(_word_ids(path)(b.column("text").to_pylist(), end), pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), done], ["doc_id", "tie", "ids"])
 
     kind = d.schema["doc_id"].dataType.simpleString()
     return d.mapInArrow(run, f"doc_id {kind}, tie long, ids binary")
 
 
-def frequencies(ids: DataFrame) -> np.ndarray:
+def frequencies(ids: DataFrame, packed: str) -> np.ndarray:
     """Counts of all ids scaled to sum to 2**SCALE, at least 1 for each id that occurs."""
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
             for x in b["ids"]:
-                c = np.bincount(np.frombuffer(x, _U32))
+                c = np.bincount(np.frombuffer(x, packed))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[:len(c)] += c
@@ -157,15 +188,14 @@ class Coder:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-def write(ids: DataFrame, folder: str, partitions: int | None = None) -> None:
-    """Write (doc_id, tie, ids) rows as a token file. The order is by ranges of ids: no task holds more than a range."""
+def write(ids: DataFrame, folder: str, packed: str, partitions: int | None = None) -> None:
+    """Write (doc_id, tie, ids) rows, ids of type ``packed``, as a token file. The order is by ranges of ids: no task holds more than a range."""
     spark = ids.sparkSession
-    freq = frequencies(ids)
+    freq = frequencies(ids, packed)
     spark.createDataFrame([(SCALE, bytearray(freq.astype(_U32).tobytes()), zlib.crc32(freq.astype(_U32).tobytes()))],
                           "scale int, frequencies binary, crc32 long").write.parquet(f"{folder}/table")
     shared = spark.sparkContext.broadcast(freq)  # at most 4 bytes per symbol of the vocabulary
-    kind = ids.schema["doc_id"].dataType.simpleString()
-
+    kind, width = ids.schema["doc_id"].dataType.simpleString(), np.dtype(packed).itemsize
     schema = (f"part int, first long, n_ids long, states binary, places binary, words binary, crc32 long, "
               f"doc_ids array<{kind}>, lengths array<long>")
 
@@ -174,20 +204,19 @@ def write(ids: DataFrame, folder: str, partitions: int | None = None) -> None:
         names, pieces = [], []
 
         def block(name_type):
-            data = b"".join(pieces)
-            symbols = np.frombuffer(data, _U32)
+            symbols = np.frombuffer(b"".join(pieces), packed).astype(_U32)
             states, places, words = coder.encode(symbols)
             return pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([len(symbols)], pa.int64()),
-                *(pa.array([x], pa.binary()) for x in (states, places, words)), pa.array([zlib.crc32(data)], pa.int64()),
-                pa.array([names], pa.list_(name_type)), pa.array([[len(x) // 4 for x in pieces]], pa.list_(pa.int64()))],
+                *(pa.array([x], pa.binary()) for x in (states, places, words)), pa.array([zlib.crc32(symbols.tobytes())], pa.int64()),
+                pa.array([names], pa.list_(name_type)), pa.array([[len(x) // width for x in pieces]], pa.list_(pa.int64()))],
                 ["part", "first", "n_ids", "states", "places", "words", "crc32", "doc_ids", "lengths"])
 
         for b in batches:
             for name, x in zip(b.column("doc_id").to_pylist(), b.column("ids")):
                 names.append(name)
                 pieces.append(x.as_py())
-                size += len(pieces[-1]) // 4
+                size += len(pieces[-1]) // width
                 if size >= BLOCK:
                     yield block(b.column("doc_id").type)
                     first, size, names, pieces = first + size, 0, [], []
@@ -231,8 +260,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_file(spark, folder):
     import public_tokenizers
-    ids = stored(token_ids(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1), "token-ids")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = stored(token_ids(table(spark, folder, "documents"), path, 1), "token-ids")
     file = shared_folder(spark, "token-file")
-    write(ids, file)
+    write(ids, file, packed_type(path))
     wide = read(spark, file)
     return wide.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

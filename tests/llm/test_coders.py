@@ -10,7 +10,7 @@ import public_tokenizers as P
 from tabulon.llm import bytebpe, common, mainpart, tokenfile, topk
 
 TEXTS = ["", None, "The 'll cat's naïve  café\n\n  x", " lead", "trail ", "a\tb\r\n", "漢字 😀   nb", "éé é", "123 4567 $$ !!",
-         "<|endoftext|> ok", "x" * 700, " " * 50, "word " * 30_000, "same", "same", "İΣß ǅ"]
+         "<|endoftext|> ok", "mark \x01 a\x01b \x1c \x1fc", "x" * 700, " " * 50, "word " * 30_000, "same", "same", "İΣß ǅ"]
 SCHEMA = "doc_id long, text string, ids string, _given int, tie string, Decoded string"
 
 
@@ -78,14 +78,14 @@ def test_token_file_edges(spark):
     ids = [7, None, 7, 3, 3, -5, *range(100, 100 + len(TEXTS) - 6)]
     df, path = frame(spark, TEXTS, ids), P.path("word_bpe_49k.json")
     file = common.shared_folder(spark, "test-file")
-    tokenfile.write(tokenfile.token_ids(df, path, 1), file, 4)
+    tokenfile.write(tokenfile.token_ids(df, path, 1), file, "<u2", 4)
     got = [(r.doc_id, r.start, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in tokenfile.read(spark, file).orderBy("start").collect()]
     assert [g[0] for g in got] == sorted(ids, key=lambda i: (i is not None, i or 0))
     assert [g[1] for g in got] == np.cumsum([0] + [len(g[2]) for g in got[:-1]]).tolist()
     codes = expected_file(list(zip(ids, TEXTS)))
     assert sorted((repr(g[0]), g[2]) for g in got) == sorted((repr(i), codes[t]) for i, t in zip(ids, TEXTS))
     empty = common.shared_folder(spark, "test-file")
-    tokenfile.write(tokenfile.token_ids(frame(spark, []), path, 1), empty)
+    tokenfile.write(tokenfile.token_ids(frame(spark, []), path, 1), empty, "<u2")
     assert tokenfile.read(spark, empty).count() == 0
 
 
@@ -109,7 +109,7 @@ def test_range_coder_blocks_and_checkpoints():
 
 def test_a_damaged_block_is_noticed(spark):
     file = common.shared_folder(spark, "test-file")
-    tokenfile.write(tokenfile.token_ids(frame(spark), P.path("word_bpe_49k.json"), 1), file, 2)
+    tokenfile.write(tokenfile.token_ids(frame(spark), P.path("word_bpe_49k.json"), 1), file, "<u2", 2)
     blocks = spark.read.parquet(f"{file}/blocks").withColumn("crc32", F.col("crc32") + 1)
     bad = common.shared_folder(spark, "test-file")
     blocks.write.parquet(f"{bad}/blocks")
