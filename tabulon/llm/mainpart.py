@@ -2,7 +2,9 @@
 
 Markup is stripped to lines, one per block element. Elements that are no article text by their kind, role or class (menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) leave a gap of ``WINDOW`` empty lines,
-unless they stand between blocks of one article or of one parent element. If the page has an ``article`` (or else a ``main``) element with text, lines outside count as empty; without one, link text
+unless they stand between blocks of one article or of one parent element. A class that only contains such a word
+("content-sidebar-wrap") can be that of a wrapper: its element stays if it holds more than half of the page's text (and of the
+text in ``article`` or ``main`` elements, if there are any); what a class has or has not ("has-sidebar", "comments-open") is no mark. If the page has an ``article`` (or else a ``main``) element with text, lines outside count as empty; without one, link text
 does not count. The text lengths are summed over sliding windows of ``WINDOW`` lines. The distribution surges where a
 sum reaches ``SURGE`` characters (or the page's largest sum, if that is less) and dives where it is zero; the lines of a
 rise are kept from its foot to the dive.
@@ -29,6 +31,7 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
+_TOKENS = re.compile(r"[^\s\"']+")
 #: Elements whose end only their own end tag marks.
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 SKIPPED = RAW | frozenset("head nav header footer aside form menu noscript template svg canvas iframe object select button "
@@ -43,36 +46,55 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "commentlist disqus reply replies related recommended recommendations share sharing social breadcrumb "
                   "breadcrumbs pagination pager search toolbar widget skip".split())
 COMMENTS = frozenset("comment comments commentlist disqus reply replies".split())
+#: Words before or after a mark by which a class tells what the page has or shows.
+BEFORE = frozenset("has no not with without hide show".split())
+AFTER = frozenset("open closed on off enabled disabled none".split())
 CONTAINERS = frozenset(("html", "body", "main", "article"))
 #: Elements whose children count as blocks of one parent.
 PARENTS = frozenset("body main article section div td blockquote".split())
-GAP = ("", 0, 0, False, False, -1)
+#: Elements that can be wrappers of the whole page.
+WRAPPERS = PARENTS | {"table", "center"}
+GAP = ("", 0, 0, False, False, -1, 0)
 
 
-def _skips(tag: str, attributes: str) -> bool:
+def _skips(tag: str, attributes: str) -> int:
+    """0: the element stays; 1: it may be a wrapper, what it holds decides; 2: it is skipped."""
     if tag in SKIPPED:
-        return True
-    if not attributes or attributes.isspace():
-        return False
-    if tag not in ("html", "body") and _HIDDEN.search(attributes):
-        return True
-    words = {w.lower() for _, v in _NAMES.findall(attributes) for w in _WORDS.findall(v)}
-    return not words.isdisjoint(COMMENTS if tag in CONTAINERS else MARKS)
+        return 2
+    if tag in ("html", "body") or not attributes or attributes.isspace():
+        return 0
+    if _HIDDEN.search(attributes):
+        return 2
+    marks, found = COMMENTS if tag in CONTAINERS else MARKS, 0
+    for _, value in _NAMES.findall(attributes):
+        for token in _TOKENS.findall(value):
+            words = [w.lower() for w in _WORDS.findall(token)]
+            marked = [w in marks for w in words]
+            if not any(marked):
+                continue
+            first = marked.index(True)
+            if not BEFORE.isdisjoint(words[:first]) or not AFTER.isdisjoint(words[first:]):
+                continue
+            if all(marked) or words[0] in COMMENTS or words[-1] in COMMENTS or tag not in WRAPPERS:
+                return 2
+            found = 1
+    return found
 
 
-def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
-    """(text, length, length without links, inside an article, inside main, parent) per block; a skipped element is a ``GAP``."""
+def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int, int]]:
+    """(text, length, length without links, inside an article, inside main, parent, wrapper) per block; a skipped element is a ``GAP``."""
     lines, buffer, linked = [], [], 0
+    outer, named = [0], set()  # the wrapper around each wrapper; tags of wrappers besides ``PARENTS``
     at, n = 0, len(page)
     article = main = links = 0
     skipping, depth = "", 0
-    parents, born = [("", 0)], 0
+    parents, born = [("", 0, 0)], 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(buffer).split())
         if text:
-            lines.append((text, len(text), len(text) if not linked else max(0, len(text.replace(" ", "")) - linked), article > 0, main > 0, parents[-1][1]))
+            lines.append((text, len(text), len(text) if not linked else max(0, len(text.replace(" ", "")) - linked), article > 0, main > 0, *parents[-1][1:]))
         buffer.clear()
         linked = 0
 
@@ -104,7 +126,8 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
             skipping, depth = "", 0
             if own_end:
                 continue
-        if not end and _skips(tag, m.group(3) or ""):
+        skips = 0 if end else _skips(tag, m.group(3) or "")
+        if skips == 2:
             close()
             lines.append(GAP)
             if tag in RAW:
@@ -118,11 +141,15 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
         elif tag in BLOCKS:
             close()
             links = 0 if tag not in ("li",) else links
-        if tag in PARENTS:
+        if skips and tag not in PARENTS:
+            named.add(tag)
+        if tag in PARENTS or tag in named:
             if not end:
                 born += 1
-                parents.append((tag, born))
-            elif any(name == tag for name, _ in parents):
+                if skips:
+                    outer.append(parents[-1][2])
+                parents.append((tag, born, len(outer) - 1 if skips else parents[-1][2]))
+            elif any(x[0] == tag for x in parents):
                 while parents.pop()[0] != tag:
                     pass
         step = -1 if end else 1
@@ -133,7 +160,23 @@ def lines_of(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
         elif tag == "a":
             links = 0 if end else 1
     close()
-    return lines
+    return _without(lines, outer) if len(outer) > 1 else lines
+
+
+def _without(lines: list, outer: list[int]) -> list:
+    """Lines of a wrapper with half of the text or less are gaps."""
+    held = next((k for k in (3, 4) if any(x[1] and x[k] for x in lines)), None)
+    text, own = [0] * len(outer), [0] * len(outer)
+    for x in lines:
+        text[x[6]] += x[2]
+        own[x[6]] += x[1] if held and x[held] else 0
+    for k in range(len(outer) - 1, 0, -1):
+        text[outer[k]] += text[k]
+        own[outer[k]] += own[k]
+    stays = [True]
+    for k in range(1, len(outer)):
+        stays.append(stays[outer[k]] and 2 * text[k] > text[0] and (not held or 2 * own[k] > own[0]))
+    return [x if stays[x[6]] else GAP for x in lines]
 
 
 def _spaced(lines: list) -> list:

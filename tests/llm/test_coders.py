@@ -145,6 +145,24 @@ def test_main_text_without_an_article_element():
     assert mainpart.main_text(page).split("\n") == [body[3:-4].strip(), "To.", body[3:-4].strip()]
 
 
+@pytest.mark.parametrize("open_, close", [
+    ("<div class='content-sidebar-wrap'>", "</div>"), ("<div class='page has-sidebar'>", "</div>"), ("<section class='post no-comments'>", "</section>"),
+    ("<div id='x' class='site-header-fixed layout'><div class='content-sidebar-wrap'>", "</div></div>"),
+    ("<article class='post comments-open'>", "</article>"), ("<main class='with-comments'>", "</main>"),
+    ("<table class='menu-left-layout'><tr><td>", "</td></tr></table>"), ("<body class='comments-page'>", "</body>")])
+def test_main_text_inside_wrapper_classes(open_, close):
+    body = "<p>" + "a sentence of the story " * 8 + "</p>"
+    page = (f"<div class='top-menu'><p>{'short words ' * 9}</p></div>{open_}<h1>Head</h1>{body}<div class='sidebar-primary'><p>{'side words ' * 9}</p></div>"
+            f"<div class='widget'>{body}</div>{body}<div class='comment-list'>{body * 9}</div>{close}")
+    assert mainpart.main_text(page).split("\n") == ["Head", body[3:-4].strip(), body[3:-4].strip()]
+
+
+def test_a_marked_element_beside_an_article_is_no_wrapper():
+    long = "<p>" + "we use cookies on this site " * 30 + "</p>"
+    page = f"<div class='cookie-notice-text'>{long}</div><article><p>{'a story ' * 20}</p></article>"
+    assert mainpart.main_text(page) == ("a story " * 20).strip()
+
+
 def test_main_text_of_pages(spark, folder):
     import html
     import re
