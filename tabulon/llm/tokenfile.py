@@ -8,7 +8,8 @@ the documents. Parts are consecutive ranges of the order of documents; ``first``
 
 Documents are in ascending order of id (nulls first), those of equal id by the hash of their text. Defined cases: a null
 or empty text has only the end id; repeated rows are kept; texts of any length are coded whole, a long one is a block of
-its own; an empty table gives a file without blocks. Other columns are not read.
+its own; an empty table gives a file without blocks; an added token of the vocabulary ("<|endoftext|>") that stands in a text
+is that token if ``added`` is set, as in the library's plain call and in op8, else plain text. Other columns are not read.
 """
 from __future__ import annotations
 
@@ -46,14 +47,19 @@ class WordIds:
     """Ids of texts by the tokenizers library, which sees each distinct word once.
 
     The vocabulary drops white space before it merges, so that words between white space are encoded independently. New
-    words go to the library many at a time, with a mark of their own between them, and are cut apart at its id.
+    words go to the library many at a time, with a mark of their own between them, and are cut apart at its id. Texts
+    with added tokens go to the library as they stand; their words with such a token are known as None.
     """
     MARK, TOGETHER = "\x01", 2000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder() if added else {}
+        self.added = np.array(sorted(tokens), np.int64)
+        #: An added token with white space inside is in no word.
+        self.whole = any(len(_SPACE.split(t.content)) > 1 for t in tokens.values())
         self.type = np.dtype(packed_type(path))
         self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
         # Two generations of known words: those of the older one that are seen again move to the younger.
@@ -71,8 +77,11 @@ class WordIds:
             data, size = ids.tobytes(), self.type.itemsize
             starts, ends = np.r_[0, cuts + 1] * size, np.r_[cuts, len(ids)] * size
             self.known.update(zip(group, (data[a:b] for a, b in zip(starts.tolist(), ends.tolist())), strict=True))
+            if len(self.added):
+                places = np.flatnonzero(np.isin(ids, self.added))
+                self.known.update((group[k], None) for k in np.searchsorted(cuts, places).tolist())
         rest = [w for w in words if w not in self.known]
-        self.known.update(zip(rest, (x.tobytes() for x in self._ids(rest))))
+        self.known.update(zip(rest, (None if np.isin(x, self.added).any() else x.tobytes() for x in self._ids(rest))))
 
     def __call__(self, texts: list[str], end: int) -> list[bytes]:
         """Packed ids of each text and the end id."""
@@ -84,16 +93,17 @@ class WordIds:
         self.known.update(again)
         self.learn([w for w in wanted if w not in again])
         last = np.array([end], self.type).tobytes()
-        return [b"".join(map(self.known.__getitem__, c)) + last for c in cut]
+        parts = [list(map(self.known.__getitem__, c)) for c in cut]
+        return [(self._ids([t])[0].tobytes() if self.whole or None in p else b"".join(p)) + last for t, p in zip(texts, parts)]
 
 
 @lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
+def _word_ids(path: str, added: bool) -> WordIds:
     """One encoder for all tasks of a Python worker."""
-    return WordIds(path)
+    return WordIds(path, added)
 
 
-def token_ids(docs: DataFrame, path: str, end: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_ids(docs: DataFrame, path: str, end: int, doc_id: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """(doc_id, tie, ids): the ids of each whole text with the end id, as little-endian integers of ``packed_type``."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -101,7 +111,7 @@ def token_ids(docs: DataFrame, path: str, end: int, doc_id: str = "doc_id", text
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
-                done = pa.array(_word_ids(path)(b.column("text").to_pylist(), end), pa.binary())
+                done = pa.array(_word_ids(path, added)(b.column("text").to_pylist(), end), pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), done], ["doc_id", "tie", "ids"])
 
     kind = d.schema["doc_id"].dataType.simpleString()
@@ -261,7 +271,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 def op8_token_file(spark, folder):
     import public_tokenizers
     path = public_tokenizers.path("word_bpe_49k.json")
-    ids = stored(token_ids(table(spark, folder, "documents"), path, 1), "token-ids")
+    ids = stored(token_ids(table(spark, folder, "documents"), path, 1, added=True), "token-ids")
     file = shared_folder(spark, "token-file")
     write(ids, file, packed_type(path))
     wide = read(spark, file)

@@ -89,6 +89,26 @@ def test_token_file_edges(spark):
     assert tokenfile.read(spark, empty).count() == 0
 
 
+def test_token_file_with_added_tokens(spark, tmp_path, monkeypatch):
+    """The ids of op8 are those of the library's plain call."""
+    from tokenizers import Tokenizer
+    path = P.path("word_bpe_49k.json")
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y <|startoftext|><|startoftext|> z", "<|ENDOFTEXT|> <|endoftext |>", "<|endoftext|>", "a b x y z", "\x01 <|endoftext|> \x01", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plain, want, start = Tokenizer.from_file(path), [], 0
+    for i, t in enumerate(texts):
+        ids = plain.encode(t or "", add_special_tokens=False).ids + [1]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in tokenfile.op8_token_file(spark, str(tmp_path)).collect()) == want
+    monkeypatch.setattr(tokenfile.WordIds, "TOGETHER", 2)
+    coder = tokenfile.WordIds(path, True)
+    for _ in range(2):
+        assert [np.frombuffer(x, coder.type).tolist() for x in coder([t or "" for t in texts], 1)] == [
+            plain.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
 def test_range_coder_blocks_and_checkpoints():
     rng = np.random.default_rng(1)
     x = (rng.zipf(1.3, 100_000) % 3000).astype(np.uint32)
