@@ -8,10 +8,12 @@ item stands for one value of the document throughout. An item leaks into a docum
 least ``MIN_SHARE`` of the item's windows, or ``ENOUGH`` of them.
 
 A name is a capitalised word after a lower-case letter, digit, comma or semicolon and one space; a unit is a word of
-``UNITS`` after a number. Windows with more than half placeholders match too much and are left out on both sides.
+``UNITS`` after a number. The templates of windows with more than half placeholders match too much: such a window is exact,
+it matches with the values as they stand only. An item also leaks if its template and exact windows together reach the
+limits, taken of all its windows. An item of fewer than ``WINDOW`` words is one exact window of its whole length, in short
+documents too.
 
-Defined cases: a null or empty text has no windows; texts of fewer than ``WINDOW`` words (documents or items) match
-nothing; a passage repeated in a document has an alignment for each place, the best one counts; rows with the same id and
+Defined cases: a null or empty text has no windows; a passage repeated in a document has an alignment for each place, the best one counts; rows with the same id and
 text are one document, rows with the same id and different texts are told apart; null ids are ids like any other; empty
 tables give no matches. Other columns are not read; ``remove_contaminated`` passes them through.
 """
@@ -53,16 +55,25 @@ def raw_words(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, r"[\x{e000}-\x{e002}]", " "), F.lit(_RAW), F.lit(0))
 
 
-def _windows(words: str) -> Column:
-    """Hashes of the windows of an array column; null for a window that is mostly placeholders."""
+def _windows(lengths: list[int], exact: bool = True) -> Column:
+    """(position, exact, key) of the windows of the columns ``w`` and ``r``, and of those of some shorter lengths."""
     def hashed(i):
-        w = F.slice(F.col(words), i + 1, WINDOW)
-        return F.when(F.size(F.filter(w, lambda x: x >= "\ue000")) <= WINDOW // 2, F.xxhash64(w))
-    return F.transform(F.sequence(F.lit(0), F.size(words) - WINDOW), hashed)
+        w = F.slice("w", i + 1, WINDOW)
+        mostly = F.size(F.filter(w, lambda x: x >= "\ue000")) > WINDOW // 2
+        raw = F.xxhash64(F.lit(WINDOW), F.slice("r", i + 1, WINDOW)) if exact else F.lit(None).cast("long")
+        return F.struct(i.alias("position"), mostly.alias("exact"), F.when(mostly, raw).otherwise(F.xxhash64(w)).alias("key"))
 
+    def short(n):
+        return lambda i: F.struct(i.alias("position"), F.lit(True).alias("exact"), F.xxhash64(F.lit(n), F.slice("r", i + 1, n)).alias("key"))
 
-def _positions(rows: DataFrame, keep: list[str], words: str, position: str) -> DataFrame:
-    return (rows.where(F.size(words) >= WINDOW).select(*keep, F.posexplode(_windows(words)).alias(position, "key"))
+    def spots(n, window):
+        return F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), window)).otherwise(F.array())
+    return F.concat(spots(WINDOW, hashed), *[spots(n, short(n)) for n in lengths]) if lengths else spots(WINDOW, hashed)
+
+
+def _positions(rows: DataFrame, keep: list[str], windows: Column, position: str) -> DataFrame:
+    return (rows.select(*keep, F.explode(windows).alias("x"))
+            .select(*keep, F.col("x.position").alias(position), F.col("x.exact").alias("exact"), F.col("x.key").alias("key"))
             .where("key IS NOT NULL"))
 
 
@@ -70,22 +81,42 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
           item_text: str = "text") -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, item_windows): the items that leak into each document.
 
-    ``n_windows`` is that of the best consistent alignment, ``text_key`` the hash of the document's text.
+    ``n_windows`` is that of the best consistent alignment, ``text_key`` the hash of the document's text. Both numbers are
+    those of the template windows where these suffice, else of all windows.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.struct(F.col(item_id).alias("id"), F.xxhash64(item_text).alias("key")).alias("item"),
                              template_words(F.col(item_text)).alias("w"), raw_words(F.col(item_text)).alias("r"))
-    of_items = stored(_positions(items, ["item"], "w", "j").distinct(), "benchmark-windows")
-    known = of_items.select("key", "item", "j")
-    if of_items.count() <= BROADCAST_WINDOWS:
+    n_words = F.size("w")
+    whole = items.where((n_words > 0) & (n_words < WINDOW))
+    of_items = stored(_positions(items.where(n_words >= WINDOW), ["item"], _windows([]), "j").withColumn("n", F.lit(WINDOW)).unionByName(
+        whole.select("item", F.lit(0).alias("j"), F.lit(True).alias("exact"), F.xxhash64(n_words, "r").alias("key"), n_words.alias("n")))
+        .distinct(), "benchmark-windows")
+    known = of_items.select("key", "item", "j", "exact")
+    # At most ``WINDOW`` lengths.
+    kinds = of_items.groupBy("exact", "n").agg(F.count("*").alias("rows")).collect()
+    lengths, exact = sorted(x.n for x in kinds if x.n < WINDOW), any(x.exact and x.n == WINDOW for x in kinds)
+    if sum(x.rows for x in kinds) <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
     d = docs.select(F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("key")).alias("doc"), F.col(text).alias("text"))
-    hits = (_positions(d.select("doc", template_words(F.col("text")).alias("w")), ["doc"], "w", "i").join(known, "key")
+    cut = d.select("doc", template_words(F.col("text")).alias("w"), "text").where(n_words >= min([*lengths, WINDOW]))
+    # The values of a document only where an exact window can be.
+    slotted = F.size(F.filter("w", lambda x: x >= "\ue000")) > WINDOW // 2
+    values = raw_words(F.col("text")) if lengths else F.when(slotted, raw_words(F.col("text")))
+    cut = cut.withColumn("r", values) if lengths or exact else cut
+    hits = (_positions(cut, ["doc"], _windows(lengths, exact), "i").join(known, ["key", "exact"])
             .groupBy("doc", "item", (F.col("i") - F.col("j")).alias("diagonal"))
-            .agg(F.collect_set("j").alias("js")))  # at most the windows of one item
+            .agg(F.collect_set(F.when(~F.col("exact"), F.col("j"))).alias("js"), F.collect_set("j").alias("all_js")))  # at most the windows of one item
     hits = stored(hits, "window-hits")
-    sizes = of_items.groupBy("item").agg(F.count_distinct("j").alias("item_windows"))
-    enough = hits.join(sizes, "item").where((F.size("js") >= ENOUGH) | (F.size("js") >= MIN_SHARE * F.col("item_windows")))
+    sizes = of_items.groupBy("item").agg(F.count_distinct(F.when(~F.col("exact"), F.col("j"))).alias("item_windows"),
+                                         F.count_distinct("j").alias("all_windows"))
+
+    def reached(js, of):
+        return (F.size(js) >= ENOUGH) | ((F.size(js) > 0) & (F.size(js) >= MIN_SHARE * F.col(of)))
+    enough = (hits.join(sizes, "item").withColumn("template", reached("js", "item_windows"))
+              .where(F.col("template") | reached("all_js", "all_windows"))
+              .select("doc", "item", "diagonal", "template", F.when(F.col("template"), F.col("js")).otherwise(F.col("all_js")).alias("js"),
+                      F.when(F.col("template"), F.col("item_windows")).otherwise(F.col("all_windows")).alias("item_windows")))
     # Slots of the matches only: template words that are placeholders, as the item and as the document have them.
     there = items.join(enough.select("item").distinct(), "item", "left_semi").dropDuplicates(["item"])
     texts = d.join(enough.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]).select(
@@ -97,9 +128,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     slots = F.array_distinct(slots)
     joined = enough.join(there, "item").join(texts, "doc").withColumn("slots", slots)
     good = joined.where(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["v"]))))
-    return (good.groupBy("doc", "item").agg(F.max(F.size("js")).cast("long").alias("n_windows"), F.first("item_windows").alias("item_windows"))
+    best = F.max(F.struct("template", F.size("js").cast("long").alias("n"), "item_windows"))
+    return (good.groupBy("doc", "item").agg(best.alias("best"))
             .select(F.col("doc.id").alias("doc_id"), F.col("doc.key").alias("text_key"), F.col("item.id").alias("item_id"),
-                    "n_windows", "item_windows"))
+                    F.col("best.n").alias("n_windows"), F.col("best.item_windows").alias("item_windows")))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -96,6 +96,24 @@ def test_decontamination(spark):
     assert decontam.leaks(d.limit(0), b).count() == 0 and decontam.leaks(d, b.limit(0)).count() == 0
 
 
+def test_decontamination_of_numbers_and_short_items(spark, monkeypatch):
+    """Items whose windows are mostly placeholders, or shorter than a window, are found as they stand."""
+    sums = "Calculate 12 + 7 * 3 - 5 / 2 + 8 * 14 - 6 and 9"
+    mixed = "Add up these numbers that stand in the list below please 4 8 15 16 23 42 99 108 7 31"
+    fill = " ".join(f"filler{'abcdefghij'[i % 10]} word" for i in range(40))
+    docs = [(1, f"{fill} {sums} {fill}"), (2, f"{fill} {sums.replace('7', '8')} {fill}"), (3, "Ask: what is love today?"), (4, "what is 2"),
+            (5, f"{fill} list below please 4 8 15 16 23 42 99 108 7 31 {fill}"), (6, f"{fill} {mixed.replace('42', '43')}"), (7, fill), (8, None), (9, "is love"),
+            (10, f"{fill} list below please 5 8 15 16 24 42 98 108 7 31 {fill}"), (11, "Love is what"), (12, f"{fill} {sums.replace(' and 9', '')}")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(1, sums), (2, "What is love"), (3, "what is love"), (4, mixed), (5, None), (6, "")], "item_id long, text string")
+    want = [(1, 1), (3, 3), (5, 4), (6, 4), (12, 1)]
+    assert rows(decontam.leaks(d, b), "doc_id", "item_id") == sorted(want, key=repr)
+    assert rows(decontam.leaks(d, b.where("item_id = 4")), "doc_id", "item_id") == [(5, 4), (6, 4)]
+    assert rows(decontam.remove_contaminated(d, b), "doc_id") == sorted([(i,) for i in (2, 4, 7, 8, 9, 10, 11)], key=repr)
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    assert rows(decontam.leaks(d, b), "doc_id", "item_id") == sorted(want, key=repr)
+
+
 def test_windows_by_shuffle_give_the_same(spark, folder, monkeypatch):
     first = rows(decontam.op3_decontamination(spark, folder), "doc_id", "item_id", "n_windows")
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
