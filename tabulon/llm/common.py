@@ -2,8 +2,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tabulon.session import cut
 
@@ -46,3 +50,40 @@ def whole_text(text: str) -> Column:
 def row_hash(df: DataFrame) -> Column:
     """A 64-bit hash of a row that a repeated task computes again alike; map columns do not take part."""
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
+def prefix_sums(df: DataFrame, order: list[str | Column], sums: dict[str, str], xors: dict[str, str] | None = None) -> DataFrame:
+    """``df`` with, for each name of ``sums`` and ``xors``, the sum (exclusive or) of that column over all rows before.
+
+    The columns are non-null longs. Rows are range-sorted by ``order`` and run through within their range; one row per range
+    gives what stands before it. ``df`` is read twice (sample and sort), so it should be cheap. Rows that are equal in
+    ``order`` follow one another in any order.
+    """
+    xors = xors or {}
+    spark, kinds = df.sparkSession, {n: np.add for n in sums} | {n: np.bitwise_xor for n in xors}
+    columns, names = sums | xors, df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, carry = TaskContext.get().partitionId(), dict.fromkeys(columns, np.int64(0))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            arrays = [*b.columns, pa.array(np.full(b.num_rows, part, np.int64))]
+            for n, c in columns.items():
+                x = b.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                upto = kinds[n](kinds[n].accumulate(x), carry[n])
+                arrays.append(pa.array(kinds[n](upto, -x if kinds[n] is np.add else x)))
+                carry[n] = upto[-1]
+            yield pa.RecordBatch.from_arrays(arrays, [*names, "_part", *columns])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "_part long", *(f"`{n}` long" for n in columns)])
+    placed = stored(df.repartitionByRange(spread(spark), *order).sortWithinPartitions(*order).mapInArrow(run, schema), "prefix")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()],
+                                         *[F.bit_xor(c).alias(f"_{n}") for n, c in xors.items()])
+    # One row per range.
+    offsets = totals.select("_part", *[F.coalesce((F.sum if n in sums else F.bit_xor)(f"_{n}").over(before), F.lit(0).cast("long"))
+                                       .alias(f"_{n}") for n in columns])
+    joined = placed.join(F.broadcast(offsets), "_part")
+    return joined.select(*names, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in sums],
+                         *[F.col(n).bitwiseXOR(F.col(f"_{n}")).alias(n) for n in xors])
