@@ -1,14 +1,15 @@
 """Toxicity of noisy text: deobfuscation by a noisy channel, then a score of the restored words.
 
-A character language model (orders 1 to ``ORDER``, hashed into ``BUCKETS`` counters, stupid back-off) is counted over the
-words of all documents. A suspicious token (leetspeak or look-alike characters, separators between its letters, a letter three
+A character language model (orders 1 to ``ORDER``, stupid back-off) is counted over the words of all documents. Its table has
+one entry for each n-gram that occurs (16 bytes: a 64-bit hash and the count), so it grows with the corpus. A suspicious token (leetspeak or look-alike characters, separators between its letters, a letter three
 times or more in a row, single letters in a row) spans a lattice of readings: each character may stand for some
 letters, for nothing, or a run for one or two letters. Viterbi search over the last ``ORDER`` - 1 letters finds the best
 restored word, which joins the words as they stand.
 
 Words are scored by a lexicon learned from labelled documents: prefixes of 4 to 8 letters and whole words that toxic
 documents hold significantly more often. A document's features are the log likelihood ratio of its words (those
-outside the lexicon included, so that length counts) and the mean and sum of its hits; logistic regression makes the score.
+outside the lexicon included, so that length counts) and the mean and sum of its hits, where a token that a document repeats
+counts at most ``REPEATS`` times; logistic regression makes the score.
 Labels are read from at most about ``TRAIN_ROWS`` labelled documents, chosen by a hash of their id; the language model
 and the scores cover all documents.
 
@@ -31,13 +32,17 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabulon.llm.common import free_name, stored, table
 
-ORDER, BUCKETS, BACKOFF = 4, 1 << 20, math.log(0.4)
+ORDER, BACKOFF = 4, math.log(0.4)
 TRAIN_ROWS = 20_000
 #: Least number of toxic documents with a lexicon entry, least evidence (minus the log of the binomial tail's bound), least log ratio.
 LEAST_DOCS, EVIDENCE, LEAST_RATIO = 5, 10.0, 1.0
 PREFIXES = range(4, 9)
-#: Tokens whose readings a task keeps; repetitions of one token in a document that count.
-TOKENS_KEPT, REPEATS = 200_000, 20
+#: Tokens whose readings a worker keeps in each of two generations, the longest of them; n-grams whose scores it keeps.
+TOKENS_KEPT, LONGEST_KEPT, GRAMS_KEPT = 80_000, 100, 200_000
+#: Texts that a worker holds as strings at once.
+ROWS_AT_ONCE = 500
+#: Repetitions of one token in a document that count.
+REPEATS = 20
 #: Letters that a character can stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
         "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "§": "s",
@@ -54,54 +59,60 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _M1, _M2, _64 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 
 
-def _slot(gram: str) -> int:
-    """Counter of an n-gram; ``_add_grams`` computes the same for arrays."""
+def _hash(gram: str) -> int:
+    """Hash of an n-gram; ``_grams`` computes the same for arrays."""
     h = 0
     for c in gram:
         h = (h * _M1 + ord(c) + 1) & _64
-    return (((h ^ (h >> 32)) * _M2) & _64) >> 44
+    return ((h ^ (h >> 32)) * _M2) & _64
 
 
-def _add_grams(total: np.ndarray, words: Counter) -> None:
-    """Add the n-grams of orders 0 to ``ORDER`` of words (with both ends marked) to the counters."""
-    if not words:
-        return
+def _summed(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(hashes, return_inverse=True)
+    return keys, np.bincount(place, n, len(keys)).astype(np.int64)
+
+
+def _grams(words: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the n-grams of orders 0 to ``ORDER`` of words (with both ends marked)."""
     codes = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
     n = np.fromiter(words.values(), np.int64, len(words))
     place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     weight = np.repeat(n, lengths)
-    total[_slot("")] += int((n * (lengths - 1)).sum())
-    total[_slot("^")] += int(n.sum())
+    found = [(np.array([_hash(""), _hash("^")], np.uint64), np.array([(n * (lengths - 1)).sum(), n.sum()]))]
     for k in range(ORDER):  # grams of k + 1 characters that end at a character after the first
         ends = np.flatnonzero(place >= max(k, 1))
         h = np.zeros(len(ends), np.uint64)
         for j in range(k, -1, -1):
             h = h * np.uint64(_M1) + codes[ends - j]
-        slots = ((h ^ (h >> np.uint64(32))) * np.uint64(_M2)) >> np.uint64(44)
-        total += np.bincount(slots.astype(np.int64), weight[ends], BUCKETS).astype(np.int64)
+        found.append(_summed((h ^ (h >> np.uint64(32))) * np.uint64(_M2), weight[ends]))
+    return _summed(*map(np.concatenate, zip(*found)))
 
 
 class LanguageModel:
-    """Back-off scores of characters from hashed n-gram counts."""
+    """Back-off scores of characters from n-gram counts, given as ascending hashes and their counts."""
 
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts
+    def __init__(self, counts: tuple[np.ndarray, np.ndarray]):
+        self.hashes, self.counts = counts
         self.kept: dict[str, float] = {}
 
+    def count(self, gram: str) -> int:
+        h = np.uint64(_hash(gram))
+        k = self.hashes.searchsorted(h)
+        return int(self.counts[k]) if k < len(self.hashes) and self.hashes[k] == h else 0
+
     def score(self, context: str, c: str) -> float:
         key = context + c
         found = self.kept.get(key)
         if found is None:
             penalty, found = 0.0, -20.0
             for k in range(len(context) + 1):
-                n = self.counts[_slot(context[k:] + c)]
+                n = self.count(context[k:] + c)
                 if n > 0:
-                    base = self.counts[_slot(context[k:])] if context[k:] else self.counts[_slot("")]
-                    found = penalty + math.log(n / max(base, n))
+                    found = penalty + math.log(n / max(self.count(context[k:]), n))
                     break
                 penalty += BACKOFF
-            if len(self.kept) > 1_000_000:
+            if len(self.kept) > GRAMS_KEPT:
                 self.kept.clear()
             self.kept[key] = found
         return found
@@ -110,10 +121,10 @@ class LanguageModel:
 def readings(token: str) -> list[list[tuple[str, float]]]:
     """The lattice of a token: for each character or run the strings it can stand for, with their costs."""
     out, i = [], 0
-    masked = token.count("*") <= max(1, len(token) // 3) and "**" not in token
+    masked = token.count("*") <= max(1, len(token) // 2)  # each of the signs can hide a letter
     while i < len(token):
         c, j = token[i], i + 1
-        while j < len(token) and token[j] == c:
+        while j < len(token) and token[j] == c and not (c == "*" and masked):
             j += 1
         letters = LEET.get(c) or (c if c.isalpha() else "")
         options = []
@@ -171,7 +182,7 @@ def tokens_of(text: str) -> Counter:
 class Reader:
     """Words of tokens: as they stand, and restored where a token is suspicious."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: tuple[np.ndarray, np.ndarray]):
         self.model = LanguageModel(counts)
 
     def __call__(self, token: str) -> tuple[list[str], list[str]]:
@@ -191,7 +202,7 @@ def entries_of(word: str) -> list[str]:
 
 @dataclass
 class Model:
-    counts: np.ndarray
+    counts: tuple[np.ndarray, np.ndarray]
     lexicon: dict[str, float] = field(default_factory=dict)
     other: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
@@ -222,7 +233,9 @@ class Scorer:
                 total, hits = total + best, hits + (best > 0)
             if len(self.known) > TOKENS_KEPT:
                 self.older, self.known = self.known, {}
-            found = self.known[token] = (len(plain), total, hits)
+            found = (len(plain), total, hits)
+            if len(token) <= LONGEST_KEPT:
+                self.known[token] = found
         return found
 
     def features(self, text: str) -> list[float]:
@@ -245,34 +258,38 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def count_characters(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The hashed n-gram counts of the words of all documents; at most ``BUCKETS`` numbers reach the driver."""
+def _texts(b: pa.RecordBatch, column: int) -> Iterator[str]:
+    for k in range(0, b.num_rows, ROWS_AT_ONCE):
+        yield from b.column(column).slice(k, ROWS_AT_ONCE).to_pylist()
+
+
+def count_characters(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """(ascending hashes, counts) of the n-grams of the words of all documents; 16 bytes per n-gram reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-        def add(words: Counter) -> None:
+        def added(words: Counter) -> tuple[np.ndarray, np.ndarray]:
             plain: Counter = Counter()
             for token, n in words.items():
                 word = token.strip(".,;:!?\"'()")
                 if word.isalpha():
                     plain[word] += n
-            _add_grams(total, plain)
+            return _summed(*map(np.concatenate, zip(total, _grams(plain)))) if plain else total
         words: Counter = Counter()
         for b in batches:
-            for x in b.column(0).to_pylist():
+            for x in _texts(b, 0):
                 if x:
                     words.update(x.lower().split())
-                    if len(words) > TOKENS_KEPT:
-                        add(words)
+                    if len(words) > 2 * TOKENS_KEPT:
+                        total = added(words)
                         words.clear()
-        add(words)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["slot", "n"])
+        seen, n = added(words)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n)], ["gram", "n"])
 
-    found = docs.select(text).mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[found["slot"]] = found["n"]
-    return counts
+    found = docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    hashes = found["gram"].to_numpy(np.int64).view(np.uint64)
+    order = hashes.argsort()
+    return hashes[order], found["n"].to_numpy(np.int64)[order]
 
 
 def _train_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, limit: int) -> tuple[DataFrame, dict[int, int]]:
@@ -297,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         model.weights = np.array([0, 0, 0, 30.0 if share else -30.0])
         return model
     sc = docs.sparkSession.sparkContext
-    counts = sc.broadcast(model.counts)  # 8 * BUCKETS bytes
+    counts = sc.broadcast(model.counts)
 
     def tallies(wanted):
         """Per entry: toxic and other documents with it, its capped numbers there, as rows of one task each."""
@@ -313,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                     for token, n in tokens_of(text).items():
                         if token not in known:
                             if len(known) > TOKENS_KEPT:
-                                known.clear()
+                                known.clear()  # a token is read again when it comes again
                             plain, restored = read(token)
                             known[token] = len(plain), [e for w in plain + restored for e in entries_of(w)
                                                         if wanted is None or e in wanted.value]
@@ -334,7 +351,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     # Entries of enough toxic documents; their number is bounded by the words of the training rows.
     frequent = {r["entry"] for r in tallies(None).where(F.col("d1") >= LEAST_DOCS).select("entry").collect()}
-    t = tallies(sc.broadcast(frequent)).toPandas().set_index("entry")
+    wanted = sc.broadcast(frequent)
+    t = tallies(wanted).toPandas().set_index("entry")
+    wanted.destroy()
+    counts.destroy()
     if "" not in t.index:
         model.weights = np.array([0, 0, 0, -30.0])
         return model
@@ -356,11 +376,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer.of(shared.value)
         for b in batches:
-            f = np.array([scorer.features(x) for x in b.column("text").to_pylist()]).reshape(-1, 4)
+            f = np.array([scorer.features(x) for x in _texts(b, 0)]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([*(pa.array(f[:, k]) for k in range(4)), b.column("toxic")], ["a", "b", "c", "d", "toxic"])
 
     # About ``limit`` rows of five numbers.
     data = rows.mapInArrow(features, "a double, b double, c double, d double, toxic int").toPandas()
+    shared.destroy()
     model.weights = _logistic(data[["a", "b", "c", "d"]].to_numpy(), data["toxic"].to_numpy())
     return model
 
@@ -385,7 +406,7 @@ def _mapped(docs: DataFrame, text: str, name: str, kind: T.DataType, arrow: pa.D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for b in batches:
-            done = [work(x or "") for x in b.column(place).to_pylist()]
+            done = [work(x or "") for x in _texts(b, place)]
             yield pa.RecordBatch.from_arrays([*b.columns[:place], pa.array(done, arrow)], [*b.schema.names[:place], name])
 
     return source.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, kind)]))

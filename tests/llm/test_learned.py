@@ -2,6 +2,7 @@
 import math
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -75,7 +76,6 @@ def test_without_labels_of_both_kinds(spark):
 
 def test_viterbi_finds_the_best_reading(model):
     """Against all readings of short tokens."""
-    from itertools import product
     lm = toxicity.LanguageModel(model.counts)
 
     def value(word):
@@ -135,3 +135,24 @@ def test_resampling_edges(spark):
     for k in (1, 118, 119, 1999, 2000):
         value, above = resample.kth_largest(frame, "x", k)
         assert value == values[k - 1] and above == sum(v > value for v in values)
+
+
+def test_ngram_counts_are_exact(spark):
+    texts = ["Hello, hello world", "naïve ΑΒΓ abc abc1 don't", None, "", "x " * 5000, "zażółć gęślą jaźń"]
+    df = spark.createDataFrame([(t,) for t in texts * 3], "text string").repartition(4)
+    lm = toxicity.LanguageModel(toxicity.count_characters(df))
+    want = Counter()
+    for t in texts * 3:
+        for token in (t or "").lower().split():
+            word = token.strip(".,;:!?\"'()")
+            if word.isalpha():
+                marked = f"^{word}$"
+                want["^"] += 1
+                want[""] += len(word) + 1
+                for end in range(1, len(marked)):
+                    for n in range(1, toxicity.ORDER + 1):
+                        if end - n + 1 >= 0:
+                            want[marked[end - n + 1:end + 1]] += 1
+    assert {g: lm.count(g) for g in want} == dict(want) and len(lm.hashes) == len(want)
+    assert lm.count("qqq") == 0
+    assert "blick" in {"".join(x) for x in product(*[[o for o, _ in options] for options in toxicity.readings("bl**k")])}
