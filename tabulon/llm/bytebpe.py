@@ -29,22 +29,40 @@ WORDS_KEPT, PIECES = 150_000, 40_000
 BYTES_AT_ONCE = 4_000_000
 _U32 = np.dtype("<u4")
 
+#: Rows (word, position, token, next position, next token). ``best`` is each word's leftmost pair of least rank; the second token's
+#: row goes, and the rows before and at the pair take over its links.
 _ENCODE = """
 WITH RECURSIVE s AS (
-  SELECT w, p::INTEGER AS p, t, 0 AS step FROM start
+  SELECT w, p, t, p + 1 AS np, nt, 0 AS step FROM start
   UNION ALL
-  SELECT w, p, t, step FROM (
-    WITH best AS (SELECT a.w, min((g.rank::BIGINT << 40) + a.p) AS k FROM s a JOIN s b ON b.w = a.w AND b.p = a.p + 1
-                  JOIN merges g ON g.l = a.t AND g.r = b.t GROUP BY a.w)
-    SELECT s.w, (CASE WHEN s.p > place THEN s.p - 1 ELSE s.p END)::INTEGER AS p, CASE WHEN s.p = place THEN rank ELSE s.t END AS t,
-           step + 1 AS step
-    FROM s JOIN (SELECT w, (k & 1099511627775)::INTEGER AS place, (k >> 40)::INTEGER AS rank FROM best) USING (w)
-    WHERE s.p <> place + 1))
+  SELECT w, p, t, np, nt, step FROM (
+    WITH best AS (SELECT w, min((rank::BIGINT << 32) + p) AS k, arg_min(np, (rank::BIGINT << 32) + p) AS gone
+                  FROM s JOIN merges g ON g.l = s.t AND g.r = s.nt GROUP BY w),
+    pair AS (SELECT b.w, (k & 4294967295)::INTEGER AS place, (k >> 32)::INTEGER AS rank, gone, s.np AS far, s.nt AS beyond
+             FROM best b JOIN s ON s.w = b.w AND s.p = gone)
+    SELECT s.w, p, CASE WHEN p = place THEN rank ELSE t END AS t, CASE WHEN p = place THEN far ELSE np END AS np,
+           CASE WHEN p = place THEN beyond WHEN np = place THEN rank ELSE nt END AS nt, step + 1 AS step
+    FROM s JOIN pair ON s.w = pair.w WHERE p <> gone))
 SELECT w, t FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step) ORDER BY w, p"""
 
 _DECODE = "SELECT d, list(b ORDER BY p) AS parts FROM ids JOIN vocabulary USING (t) GROUP BY d"
 
 
+class Known:
+    """Ids of words in two generations: words of the older one that are seen again move to the younger."""
+
+    def __init__(self):
+        self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def missing(self, words: set[str]) -> list[str]:
+        if len(self.ids) > WORDS_KEPT:
+            self.older, self.ids = self.ids, {}
+        new = [w for w in words if w not in self.ids]
+        self.ids.update((w, self.older[w]) for w in new if w in self.older)
+        return [w for w in new if w not in self.older]
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
@@ -68,9 +86,8 @@ class Bpe:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM cuts")
         self.db.register("tokens", pa.table({"t": pa.array(ranks.values(), pa.int32()), "b": pa.array(ranks.keys(), pa.binary())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM tokens")
-        # Two generations of known words: those of the older one that are seen again move to the younger.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Words as they stand, and words that follow a space, which their keys leave out.
+        self.known = {"": Known(), " ": Known()}
 
     def pieces(self, matches: list[str]) -> dict[str, bytes]:
         """Ids of pattern matches, as little-endian 32-bit integers."""
@@ -79,44 +96,48 @@ class Bpe:
             part = [m.encode() for m in matches[k:k + PIECES]]
             lengths = np.array([len(x) for x in part])
             word = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
-            place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            self.db.register("start", pa.table({"w": word, "p": place, "t": self.byte[np.frombuffer(b"".join(part), np.uint8)]}))
+            place = (np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+            token = self.byte[np.frombuffer(b"".join(part), np.uint8)]
+            after = np.append(token[1:], np.int32(-1))
+            after[np.cumsum(lengths) - 1] = -1
+            self.db.register("start", pa.table({"w": word, "p": place, "t": token, "nt": after}))
             found = self.db.sql(_ENCODE).to_arrow_table()
             ids, ends = found.column("t").to_numpy().astype(_U32).tobytes(), np.cumsum(np.bincount(found.column("w").to_numpy())) * 4
             out.update(zip(matches[k:k + PIECES], (ids[a:b] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()))))
         return out
 
-    def words(self, text: str) -> list[str]:
-        if not text:
-            return []
+    def words(self, text: str) -> tuple[list[str], list[str]]:
+        """The words of a text: those as they stand, and after them those that follow a space each."""
         if self.odd(text):
-            return self.find(text)
+            return self.find(text), []
         head, *rest = text.split(" ")
-        return [head, *[" " + x for x in rest]]
+        return [head], rest
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.words(t) for t in texts]
-        wanted = set().union(*cut)
-        if len(self.known) > WORDS_KEPT:
-            self.older, self.known = self.known, {}
-        again = {w for w in wanted if w not in self.known and w in self.older}
-        self.known.update((w, self.older[w]) for w in again)
-        found = {w: self.find(w) for w in wanted if w not in self.known}
-        ids = self.pieces(list(set().union(*found.values())))
-        for w, matches in found.items():
-            self.known[w] = b"".join(map(ids.__getitem__, matches))
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        cut = dict(zip(self.known, zip(*map(self.words, texts))))
+        found = {before: {w: self.find(before + w) for w in known.missing(set().union(*cut[before]))} for before, known in self.known.items()}
+        ids = self.pieces(list(set().union(*(m for words in found.values() for m in words.values()))))
+        for before, words in found.items():
+            self.known[before].ids.update((w, b"".join(map(ids.__getitem__, matches))) for w, matches in words.items())
+        plain, spaced = (known.ids.__getitem__ for known in self.known.values())
+        return [b"".join(map(plain, a)) + b"".join(map(spaced, b)) for a, b in zip(*cut.values())]
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
         lengths = np.array([len(x) // 4 for x in coded], np.int64)
         ids = np.frombuffer(b"".join(coded), _U32).astype(np.int32)
+        out = [b""] * len(coded)
         if not len(ids):
-            return [b""] * len(coded)
+            return out
         place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.db.register("ids", pa.table({"d": np.repeat(np.arange(len(coded), dtype=np.int32), lengths), "p": place, "t": ids}))
-        out = [b""] * len(coded)
-        for d, parts in self.db.execute(_DECODE).fetchall():
-            out[d] = b"".join(parts)
+        for b in self.db.sql(_DECODE).to_arrow_table().to_batches():
+            # The bytes of a row's parts lie one after the other in the batch.
+            parts = b.column("parts")
+            _, ends, data = parts.values.buffers()
+            ends, at = np.frombuffer(ends, np.int32)[parts.values.offset:], parts.offsets.to_numpy()
+            data = memoryview(data)
+            for d, first, last in zip(b.column("d").to_pylist(), ends[at[:-1]].tolist(), ends[at[1:]].tolist()):
+                out[d] = bytes(data[first:last])
         return out
 
 
@@ -138,11 +159,12 @@ def _bpe(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
-def _added(df: DataFrame, names: list[str], read: str, work) -> DataFrame:
-    """``df`` with binary columns ``names`` (replaced if there); ``work(values)`` makes them from slices of column ``read``."""
-    kept = df.drop(*names)
+def _added(df: DataFrame, names: list[str], read: str, work, keep: bool = True) -> DataFrame:
+    """``df`` with binary columns ``names`` (replaced if there); ``work(values)`` makes them from slices of column ``read``, which
+    goes unless ``keep`` is set."""
+    kept = df.drop(*names, *([] if keep else [read]))
     given = free_name(df, "_given")
-    source = kept.withColumn(given, df[read])
+    source = df.withColumn(given, df[read]).select(*kept.columns, given)
     place = len(source.columns) - 1
     schema = T.StructType([*kept.schema.fields, *(T.StructField(n, T.BinaryType()) for n in names)])
 
@@ -167,12 +189,14 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", decoded:
     return _added(docs, [decoded], ids, lambda v: [_bpe(path, pattern).decode([x or b"" for x in v])])
 
 
-def encode_decode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``docs`` with the ids of each whole text and the bytes that these ids decode to, by one Python worker a task."""
+def encode_decode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+                  keep: bool = True) -> DataFrame:
+    """``docs`` with the ids of each whole text and the bytes that these ids decode to, by one Python worker a task; without the
+    texts unless ``keep`` is set."""
     def work(values):
         coded = _bpe(path, pattern).encode([x or "" for x in values])
         return [coded, _bpe(path, pattern).decode(coded)]
-    return _added(docs, [ids, decoded], text, work)
+    return _added(docs, [ids, decoded], text, work, keep)
 
 
 def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
@@ -180,7 +204,7 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file
     import public_tokenizers
     path, pattern = public_tokenizers.path(file), public_tokenizers.PATTERN
     given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    both = encode_decode(given, path, pattern).drop("text")
+    both = encode_decode(given, path, pattern, keep=False)
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
