@@ -7,8 +7,8 @@ template words are hash-joined with those of the benchmark items. The matches of
 item stands for one value of the document throughout. An item leaks into a document if a consistent alignment has at
 least ``MIN_SHARE`` of the item's windows, or ``ENOUGH`` of them.
 
-A name is a capitalised word after a lower-case letter, digit, comma or semicolon and one space; a unit is a word of
-``UNITS`` after a number. The templates of windows with more than half placeholders match too much: such a window is exact,
+A name is a row of capitalised words with single spaces between them, also at the start of a sentence; words of ``PLAIN`` are
+no names. A unit is a word of ``UNITS`` after a number. The templates of windows with more than half placeholders match too much: such a window is exact,
 it matches with the values as they stand only. An item also leaks if its template and exact windows together reach the
 limits, taken of all its windows. An item of fewer than ``WINDOW`` words is one exact window of its whole length, in short
 documents too.
@@ -26,8 +26,13 @@ from tabulon.llm.common import free_name, stored, table
 WINDOW = 8
 MIN_SHARE = 0.5
 ENOUGH = 6
-#: Benchmark windows up to this number (16 bytes each) are broadcast, more of them are joined by shuffle.
+#: Benchmark windows up to this number (about 60 bytes each) are broadcast, more of them are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
+#: Words that often begin a sentence or question and are no names (fixed values).
+PLAIN = ("A After Although An And As At Because Before But By Calculate Can Compute Consider Did Do Does Each Every Find First "
+         "For From Given Has Have He Her His How However I If In Is It Its Let Many Most My No Not Now Of On Once One Or Our She "
+         "Show Since So Solve Some Suppose That The Their Then There These They This Those To Today Two Under Was We Were What "
+         "When Where Which While Who Whose Why Will With Write You Your").split()
 #: Words that are units after a number.
 UNITS = ("mm cm dm m km inch inches foot feet ft yard yards mile miles mg g kg t gram grams kilogram kilograms ton tons "
          "pound pounds lb lbs ounce ounces oz ml cl l liter liters litre litres gallon gallons s sec second seconds min "
@@ -35,15 +40,16 @@ UNITS = ("mm cm dm m km inch inches foot feet ft yard yards mile miles mg g kg t
          "cent cents degree degrees meter meters metre metres kilometer kilometers kilometre kilometres kmh mph").split()
 
 _NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
-_NAME = r"(?<=[\p{Ll}\p{N},;] )\p{Lu}[\p{L}\p{M}]*"
+_CAPITAL = r"(?!(?:" + "|".join(PLAIN) + r")(?![\p{L}\p{M}]))\p{Lu}[\p{L}\p{M}]*"
+_NAME = r"(?=\p{Lu})(?<![\p{L}\p{M}])" + _CAPITAL + "(?: (?=\\p{Lu})" + _CAPITAL + ")*"
 _UNIT = r"(?<=\x{e000} ?)(?:" + "|".join(UNITS) + r")(?![\p{L}\p{M}])"
 _WORD = r"[\p{L}\p{M}]+|[\x{e000}-\x{e002}]"
-_RAW = r"[\p{L}\p{M}]+|" + _NUMBER
+_RAW = _NAME + r"|[\p{L}\p{M}]+|" + _NUMBER
 
 
 def template_words(text: Column) -> Column:
     """The template of a text: one entry per word or number, placeholders where slots are."""
-    t = F.regexp_replace(text, r"[\x{e000}-\x{e002}]", " ")
+    t = F.regexp_replace(text, r"[\x{e000}-\x{e003}]", " ")
     t = F.regexp_replace(t, _NAME, "\ue001")
     t = F.lower(F.regexp_replace(t, _NUMBER, "\ue000"))
     t = F.regexp_replace(t, _UNIT, "\ue002")
@@ -51,30 +57,31 @@ def template_words(text: Column) -> Column:
 
 
 def raw_words(text: Column) -> Column:
-    """The words and numbers of a text as they stand, place by place those of its template."""
-    return F.regexp_extract_all(F.regexp_replace(text, r"[\x{e000}-\x{e002}]", " "), F.lit(_RAW), F.lit(0))
+    """The words, names and numbers of a text as they stand, place by place those of its template."""
+    return F.regexp_extract_all(F.regexp_replace(text, r"[\x{e000}-\x{e003}]", " "), F.lit(_RAW), F.lit(0))
 
 
-def _windows(lengths: list[int], exact: bool = True) -> Column:
-    """(position, exact, key) of the windows of the columns ``w`` and ``r``, and of those of some shorter lengths."""
-    def hashed(i):
-        w = F.slice("w", i + 1, WINDOW)
-        mostly = F.size(F.filter(w, lambda x: x >= "\ue000")) > WINDOW // 2
-        raw = F.xxhash64(F.lit(WINDOW), F.slice("r", i + 1, WINDOW)) if exact else F.lit(None).cast("long")
-        return F.struct(i.alias("position"), mostly.alias("exact"), F.when(mostly, raw).otherwise(F.xxhash64(w)).alias("key"))
+def _positions(rows: DataFrame, keep: list[str], position: str, lengths: list[int] = [], exact: bool = True) -> DataFrame:
+    """(keep, position, exact, key) of the windows of the columns ``w`` and ``r``, and of those of some shorter lengths.
 
-    def short(n):
-        return lambda i: F.struct(i.alias("position"), F.lit(True).alias("exact"), F.xxhash64(F.lit(n), F.slice("r", i + 1, n)).alias("key"))
-
-    def spots(n, window):
-        return F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), window)).otherwise(F.array())
-    return F.concat(spots(WINDOW, hashed), *[spots(n, short(n)) for n in lengths]) if lengths else spots(WINDOW, hashed)
-
-
-def _positions(rows: DataFrame, keep: list[str], windows: Column, position: str) -> DataFrame:
-    return (rows.select(*keep, F.explode(windows).alias("x"))
-            .select(*keep, F.col("x.position").alias(position), F.col("x.exact").alias("exact"), F.col("x.key").alias("key"))
-            .where("key IS NOT NULL"))
+    Words stand beside those that follow them in shifted copies of the arrays, so that a window is a row of columns.
+    """
+    raw = exact or bool(lengths)
+    shifted = [F.slice(c, k + 1, F.greatest(F.size(c), F.lit(1))) for c in ["w"] + ["r"] * raw for k in range(WINDOW)]
+    source = rows.withColumn("r", F.coalesce("r", F.array().cast("array<string>"))) if raw else rows
+    cells = source.select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias(position, "z")).select(
+        *keep, position, *[F.col("z")[str(k)].alias(f"w{k}") for k in range(WINDOW)],
+        *[F.col("z")[str(WINDOW + k)].alias(f"r{k}") for k in range(WINDOW * raw)])
+    slots = sum(((F.col(f"w{k}") >= "\ue000").cast("int") for k in range(1, WINDOW)), (F.col("w0") >= "\ue000").cast("int"))
+    as_it_stands = F.xxhash64(F.lit(WINDOW), *[f"r{k}" for k in range(WINDOW)]) if exact else F.lit(None).cast("long")
+    full = cells.where(f"w{WINDOW - 1} IS NOT NULL").withColumn("exact", slots > WINDOW // 2).select(
+        *keep, position, "exact", F.when(F.col("exact"), as_it_stands).otherwise(F.xxhash64(*[f"w{k}" for k in range(WINDOW)])).alias("key"))
+    if not exact:
+        full = full.where("key IS NOT NULL")
+    for n in lengths:
+        full = full.unionByName(cells.where(f"w{n - 1} IS NOT NULL").select(
+            *keep, position, F.lit(True).alias("exact"), F.xxhash64(F.lit(n), *[f"r{k}" for k in range(n)]).alias("key")))
+    return full
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -89,7 +96,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
                              template_words(F.col(item_text)).alias("w"), raw_words(F.col(item_text)).alias("r"))
     n_words = F.size("w")
     whole = items.where((n_words > 0) & (n_words < WINDOW))
-    of_items = stored(_positions(items.where(n_words >= WINDOW), ["item"], _windows([]), "j").withColumn("n", F.lit(WINDOW)).unionByName(
+    of_items = stored(_positions(items.where(n_words >= WINDOW), ["item"], "j").withColumn("n", F.lit(WINDOW)).unionByName(
         whole.select("item", F.lit(0).alias("j"), F.lit(True).alias("exact"), F.xxhash64(n_words, "r").alias("key"), n_words.alias("n")))
         .distinct(), "benchmark-windows")
     known = of_items.select("key", "item", "j", "exact")
@@ -104,7 +111,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     slotted = F.size(F.filter("w", lambda x: x >= "\ue000")) > WINDOW // 2
     values = raw_words(F.col("text")) if lengths else F.when(slotted, raw_words(F.col("text")))
     cut = cut.withColumn("r", values) if lengths or exact else cut
-    hits = (_positions(cut, ["doc"], _windows(lengths, exact), "i").join(known, ["key", "exact"])
+    hits = (_positions(cut, ["doc"], "i", lengths, exact).join(known, ["key", "exact"])
             .groupBy("doc", "item", (F.col("i") - F.col("j")).alias("diagonal"))
             .agg(F.collect_set(F.when(~F.col("exact"), F.col("j"))).alias("js"), F.collect_set("j").alias("all_js")))  # at most the windows of one item
     hits = stored(hits, "window-hits")
@@ -147,16 +154,18 @@ def op3_decontamination(spark, folder):
         "doc_id", "item_id", "n_windows", "item_windows")
 
 
+_NAME_SQL = r"\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*"
+#: Marks the plain words; twice, because a match takes the place between two of them.
+_PLAIN_SQL = ("regexp_replace({}, '(^|[^\\p{{L}}\\p{{M}}\\x{{e003}}])(" + "|".join(PLAIN) + ")([^\\p{{L}}\\p{{M}}]|$)', '\\1\ue003\\2\\3', 'g')")
 SQL = f"""
 WITH texts AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION SELECT 'b', item_id, text FROM benchmark),
-cleaned AS (SELECT *, regexp_replace(text, '[\\x{{e000}}-\\x{{e002}}]', ' ', 'g') AS c FROM texts),
-named AS (SELECT *, regexp_replace(regexp_replace(c, '([\\p{{Ll}}\\p{{N}},;] )(\\p{{Lu}})', '\\1\ue003\\2', 'g'),
-                                  '\ue003[\\p{{L}}\\p{{M}}]+', '\ue001', 'g') AS t FROM cleaned),
+cleaned AS (SELECT side, id, text, {_PLAIN_SQL.format(_PLAIN_SQL.format("regexp_replace(text, '[\\x{e000}-\\x{e003}]', ' ', 'g')"))} AS c FROM texts),
+named AS (SELECT *, regexp_replace(c, '(^|[^\\p{{L}}\\p{{M}}\\x{{e003}}]){_NAME_SQL}', '\\1\ue001', 'g') AS t FROM cleaned),
 numbered AS (SELECT *, lower(regexp_replace(t, '\\p{{N}}+(?:[.,]\\p{{N}}+)*', '\ue000', 'g')) AS u FROM named),
 words AS (SELECT side, id, text,
     regexp_extract_all(regexp_replace(u || ' ', '(\ue000 ?)({"|".join(UNITS)})([^\\p{{L}}\\p{{M}}])', '\\1\ue002\\3', 'g'),
                        '[\\p{{L}}\\p{{M}}]+|[\\x{{e000}}-\\x{{e002}}]') AS w,
-    regexp_extract_all(c, '[\\p{{L}}\\p{{M}}]+|\\p{{N}}+(?:[.,]\\p{{N}}+)*') AS r FROM numbered),
+    regexp_extract_all(c, '\\x{{e003}}[\\p{{L}}\\p{{M}}]+|{_NAME_SQL}|[\\p{{L}}\\p{{M}}]+|\\p{{N}}+(?:[.,]\\p{{N}}+)*') AS r FROM numbered),
 spots AS (SELECT side, id, text, unnest(range(len(w) - {WINDOW} + 1)) AS i, w FROM words WHERE len(w) >= {WINDOW}),
 win AS (SELECT side, id, text, i, array_to_string(w[i + 1 : i + {WINDOW}], ' ') AS k FROM spots
         WHERE len(list_filter(w[i + 1 : i + {WINDOW}], lambda x: x >= '\ue000')) <= {WINDOW // 2}),

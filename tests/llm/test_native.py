@@ -118,3 +118,16 @@ def test_windows_by_shuffle_give_the_same(spark, folder, monkeypatch):
     first = rows(decontam.op3_decontamination(spark, folder), "doc_id", "item_id", "n_windows")
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     assert first and rows(decontam.op3_decontamination(spark, folder), "doc_id", "item_id", "n_windows") == first
+
+
+def test_names_at_sentence_starts_and_of_two_words(spark):
+    item = ("Tom has 12 apples and buys 5 more. Tom gives 3 apples to Anna Smith. How many apples does Tom have when Anna Smith eats "
+            "all that she got?")
+    fill = " ".join(f"filler{'abcdefghij'[i % 10]} word" for i in range(40))
+
+    def again(tom, anna, n="12"):
+        return f"{fill} {item.replace('Tom', tom).replace('Anna Smith', anna).replace('12', n)} {fill}"
+    docs = [(1, again("Bob", "Maria", "40")), (2, again("Jean Luc", "Zoë", "7")), (3, again("Bob", "Maria").replace("does Bob", "does Karl")),
+            (4, again("Tom", "Anna Smith")), (5, fill), (6, again("the man", "a woman"))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert rows(decontam.leaks(d, b), "doc_id") == [(1,), (2,), (4,)]
