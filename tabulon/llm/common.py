@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +17,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Folders made within each open ``scratch`` block, the innermost last.
+_made: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the session's shared checkpoint folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         cut(spark.range(1).toDF("x"))
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    for block in _made[-1:]:
+        block.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session has made in the shared checkpoint folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored within the block goes at its end: its results have to be written elsewhere by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            remove(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -27,6 +27,8 @@ from tabulon.llm.common import prefix_sums, stored, table
 
 ARITY, DEPTH = 8, 3
 BLOCK = ARITY ** DEPTH
+#: Places of one stretch in the join of rows and languages.
+STRETCH = 8 * BLOCK
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WITNESS = "array<struct<left: string, right: string>>"
@@ -223,7 +225,11 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     given = stored(leaves(docs, F.lit(False) if tampered is None else tampered), "merkle-leaves")
     placed = prefix_sums(given.withColumn("one", F.lit(1).cast("long")), ["key", F.col("doc_id").asc_nulls_first(), "leaf"], {"place": "one"})
     keys = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    nodes = placed.join(keys, "key").select("key", "n", (F.col("place") - F.col("first")).alias("position"),
+    # A language meets its rows stretch by stretch of places, so that a frequent one spreads.
+    stretch = F.floor(F.col("place") / STRETCH).alias("stretch")
+    parts = keys.select("key", "n", "first", F.explode(F.sequence(F.floor(F.col("first") / STRETCH), F.floor((F.col("first") + F.col("n") - 1) / STRETCH)))
+                        .alias("stretch"))
+    nodes = placed.withColumn("stretch", stretch).join(parts, ["key", "stretch"]).select("key", "n", (F.col("place") - F.col("first")).alias("position"),
                                             F.col("leaf").alias("digest"), "doc_id", "other")
     subroots, levels = build(nodes, ["doc_id", "other"], "merkle")
     subroots = stored(subroots, "merkle-subroots")

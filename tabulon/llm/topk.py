@@ -7,8 +7,8 @@ the list's current front an upper bound. Reading stops when at most ``few`` cand
 the k-th best lower bound; their final scores are resolved from the rest of the lists. The k best per block are merged.
 
 Vectors are integers floor(scale * x). Defined cases: null vectors, vectors with null or non-finite components and rows
-without id take no part; missing components of a shorter vector are 0; repeated rows count once; rows that share an id
-are not candidates of each other; ties go to the smaller id; fewer than k candidates give all of them; empty tables
+without id take no part; missing components of a shorter vector are 0; repeated rows are candidates each (equal ones are
+scored once), equal queries are asked once; rows that share an id are not candidates of each other; ties go to the smaller id; fewer than k candidates give all of them; empty tables
 give no rows. Other columns are not read.
 """
 from __future__ import annotations
@@ -80,8 +80,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_column: str = "vec_id", vec
     """(query_id, rank, vec_id, score): the k candidates of ``vectors`` with the highest score for each row of ``queries``."""
     def clean(df):
         return (df.where(F.col(id_column).isNotNull() & usable(F.col(vector)))
-                .select(F.col(id_column).cast("long").alias("id"), integers(F.col(vector), scale).alias("v")).distinct())
-    rows, asked = stored(clean(vectors), "topk-vectors"), stored(clean(queries), "topk-queries")
+                .select(F.col(id_column).cast("long").alias("id"), integers(F.col(vector), scale).alias("v"))
+                .groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies")))  # more cannot be among k
+    rows, asked = stored(clean(vectors), "topk-vectors"), stored(clean(queries).drop("copies"), "topk-queries")
     n, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
     m, query_width = asked.agg(F.count("*"), F.max(F.size("v"))).first()
     width = max(width or 0, query_width or 0)
@@ -95,7 +96,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_column: str = "vec_id", vec
         if not len(v) or not len(q):
             return pd.DataFrame({"query_id": [], "query_key": [], "vec_id": [], "score": []})
         ids, query_ids = v["id"].to_numpy(), q["id"].to_numpy()
-        a, b, score = best_of_block(_matrix(v["v"], width), ids, _matrix(q["v"], width), query_ids, k)
+        found = best_of_block(_matrix(v["v"], width), ids, _matrix(q["v"], width), query_ids, k)
+        a, b, score = (np.repeat(x, v["copies"].to_numpy()[found[1]]) for x in found)
         return pd.DataFrame({"query_id": query_ids[a], "query_key": q["key"].to_numpy()[a], "vec_id": ids[b],
                              "score": score.astype("int64")})
 
@@ -114,7 +116,7 @@ SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score, q.v AS asked
+      FROM (SELECT DISTINCT * FROM v) q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5"""

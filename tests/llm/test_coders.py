@@ -2,6 +2,7 @@
 import hashlib
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +228,13 @@ def test_top_k_stops_early():
     full = v @ q.T
     for i in range(4):
         assert sorted(s[a == i]) == sorted(full[:, i])[-5:]
+
+
+def test_repeated_rows_are_candidates_each(spark):
+    data = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.5, 0.0]), (2, [0.25, 9.0]), (3, [-1.0, 0.0])] + [(4, [0.125, 1.0])] * 9
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0")).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 128 * 256), (0, 2, 1, 128 * 256), (0, 3, 2, 64 * 256), (0, 4, 4, 32 * 256), (0, 5, 4, 32 * 256)]
+    con = duckdb.connect()
+    con.register("embeddings", df.toPandas())
+    assert sorted(con.execute(topk.SQL).fetchall()) == got
