@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulon.llm import bytebpe, decontam, linededup, simjoin, toxicity
-from tabulon.llm.common import stored, table
+from tabulon.llm.common import remove, scratch, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. Each stage's scratch tables go when its result is written, that goes when the next one is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_folder(spark, f"pipeline-{name}")
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.option("compression", "zstd").parquet(path)
+            schema = kept.schema
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.schema(schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
