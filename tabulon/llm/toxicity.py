@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -38,7 +39,9 @@ TRAIN_ROWS = 20_000
 LEAST_DOCS, EVIDENCE, LEAST_RATIO = 5, 10.0, 1.0
 PREFIXES = range(4, 9)
 #: Tokens whose readings a worker keeps in each of two generations, the longest of them; n-grams whose scores it keeps.
-TOKENS_KEPT, LONGEST_KEPT, GRAMS_KEPT = 80_000, 100, 200_000
+TOKENS_KEPT, LONGEST_KEPT, GRAMS_KEPT = 130_000, 100, 400_000
+#: Letters of a token that marks can hide.
+MASKED = 3
 #: Texts that a worker holds as strings at once.
 ROWS_AT_ONCE = 500
 #: Repetitions of one token in a document that count.
@@ -68,7 +71,7 @@ def _hash(gram: str) -> int:
 
 
 def _summed(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, place = np.unique(hashes, return_inverse=True)
+    place, keys = pd.factorize(hashes)
     return keys, np.bincount(place, n, len(keys)).astype(np.int64)
 
 
@@ -90,16 +93,14 @@ def _grams(words: Counter) -> tuple[np.ndarray, np.ndarray]:
 
 
 class LanguageModel:
-    """Back-off scores of characters from n-gram counts, given as ascending hashes and their counts."""
+    """Back-off scores of characters from n-gram counts, given as hashes and their counts."""
 
     def __init__(self, counts: tuple[np.ndarray, np.ndarray]):
-        self.hashes, self.counts = counts
+        self.counts = dict(zip(*(x.tolist() for x in counts)))
         self.kept: dict[str, float] = {}
 
     def count(self, gram: str) -> int:
-        h = np.uint64(_hash(gram))
-        k = self.hashes.searchsorted(h)
-        return int(self.counts[k]) if k < len(self.hashes) and self.hashes[k] == h else 0
+        return self.counts.get(_hash(gram), 0)
 
     def score(self, context: str, c: str) -> float:
         key = context + c
@@ -121,7 +122,7 @@ class LanguageModel:
 def readings(token: str) -> list[list[tuple[str, float]]]:
     """The lattice of a token: for each character or run the strings it can stand for, with their costs."""
     out, i = [], 0
-    masked = token.count("*") <= max(1, len(token) // 2)  # each of the signs can hide a letter
+    masked = token.count("*") <= min(MASKED, max(1, len(token) // 2))  # each of the signs can hide a letter
     while i < len(token):
         c, j = token[i], i + 1
         while j < len(token) and token[j] == c and not (c == "*" and masked):
@@ -264,7 +265,7 @@ def _texts(b: pa.RecordBatch, column: int) -> Iterator[str]:
 
 
 def count_characters(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """(ascending hashes, counts) of the n-grams of the words of all documents; 16 bytes per n-gram reach the driver."""
+    """(hashes, counts) of the n-grams of the words of all documents; 16 bytes per n-gram reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
@@ -287,9 +288,7 @@ def count_characters(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, n
         yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n)], ["gram", "n"])
 
     found = docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
-    hashes = found["gram"].to_numpy(np.int64).view(np.uint64)
-    order = hashes.argsort()
-    return hashes[order], found["n"].to_numpy(np.int64)[order]
+    return found["gram"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
 
 
 def _train_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, limit: int) -> tuple[DataFrame, dict[int, int]]:

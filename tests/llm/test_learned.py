@@ -153,6 +153,6 @@ def test_ngram_counts_are_exact(spark):
                     for n in range(1, toxicity.ORDER + 1):
                         if end - n + 1 >= 0:
                             want[marked[end - n + 1:end + 1]] += 1
-    assert {g: lm.count(g) for g in want} == dict(want) and len(lm.hashes) == len(want)
+    assert {g: lm.count(g) for g in want} == dict(want) and len(lm.counts) == len(want)
     assert lm.count("qqq") == 0
     assert "blick" in {"".join(x) for x in product(*[[o for o, _ in options] for options in toxicity.readings("bl**k")])}
