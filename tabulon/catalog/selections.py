@@ -8,13 +8,13 @@ from tabulon.operators import evaluate, pca, selection
 from tabulon.operators.models import ModelSpec
 from tabulon.operators.sampling import split
 
-_DIMS = 4
+_DIMS = 64
 _FEATURES = [f"e{i}" for i in range(_DIMS)]
 
 
-def _vectors(spark, d, dims=_DIMS):
+def _vectors(spark, d):
     return table(spark, d, "embeddings").select(
-        "vec_id", F.col("label").alias("_y"), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
+        "vec_id", F.col("label").alias("_y"), *[F.col("embedding")[i].cast("double").alias(f) for i, f in enumerate(_FEATURES)])
 
 
 def _scorer(spark, d, scale=False):
@@ -22,55 +22,36 @@ def _scorer(spark, d, scale=False):
     return selection.KnnScorer(train, valid, _FEATURES, "vec_id", scale=scale)
 
 
-# Holdout accuracy of every non-empty subset, by bit mask.
-_SCORES = f"""e AS (SELECT vec_id AS id, label AS y, {', '.join(f'embedding[{i + 1}]::DOUBLE AS e{i}' for i in range(_DIMS))},
+# Holdout accuracy of the first m features, for every m.
+@query("subset_scores", f"""WITH e AS (SELECT vec_id AS id, label AS y, embedding::DOUBLE[] AS x,
  row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws(':', vec_id::VARCHAR, '42')), vec_id) AS rn, count(*) OVER (PARTITION BY label) AS n FROM embeddings),
-pr AS (SELECT q.id, q.y AS truth, r.id AS r, r.y, {', '.join(f'(q.e{i} - r.e{i}) * (q.e{i} - r.e{i}) AS g{i}' for i in range(_DIMS))} FROM e q, e r WHERE q.rn <= round_even(q.n * 0.2, 0) AND r.rn > round_even(r.n * 0.2, 0)),
-dist AS (SELECT m, id, truth, r, y, {' + '.join(f'((m >> {i}) & 1) * g{i}' for i in range(_DIMS))} AS s FROM pr, range(1, {2 ** _DIMS}) t(m)),
+gaps AS (SELECT q.id, q.y AS truth, r.id AS r, r.y, m, (q.x[m] - r.x[m]) * (q.x[m] - r.x[m]) AS g
+ FROM e q JOIN e r ON q.rn <= round_even(q.n * 0.2, 0) AND r.rn > round_even(r.n * 0.2, 0), range(1, {_DIMS + 1}) t(m)),
+dist AS (SELECT m, id, truth, r, y, sum(g) OVER (PARTITION BY id, r ORDER BY m) AS s FROM gaps),
 nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY m, id ORDER BY s, r) AS rank FROM dist) WHERE rank <= 5),
 v AS (SELECT m, id, truth, y, sum(CASE WHEN z THEN (s = 0)::INT::DOUBLE ELSE 1 / sqrt(s) END) AS w FROM (SELECT *, min(s) OVER (PARTITION BY m, id) = 0 AS z FROM nn) GROUP BY ALL),
-pk AS (SELECT m, id, truth, y, row_number() OVER (PARTITION BY m, id ORDER BY w DESC, y) AS o FROM (SELECT m, id, truth, y, round(w / sum(w) OVER (PARTITION BY m, id), 12) AS w FROM v)),
-scores AS MATERIALIZED (SELECT m, count(*) FILTER (truth = y)::DOUBLE / count(*) AS score, {' + '.join(f'((m >> {i}) & 1)' for i in range(_DIMS))} AS size FROM pk WHERE o = 1 GROUP BY m)"""
-_BITS = f"(VALUES {', '.join(f'({i}, {1 << i})' for i in range(_DIMS))}) b(i, bit)"
-
-
-@query("subset_scores", f"WITH {_SCORES} SELECT m AS subset, round(score, 6) AS score FROM scores")
+pk AS (SELECT m, id, truth, y, row_number() OVER (PARTITION BY m, id ORDER BY w DESC, y) AS o FROM (SELECT m, id, truth, y, round(w / sum(w) OVER (PARTITION BY m, id), 12) AS w FROM v))
+SELECT m AS subset, round(count(*) FILTER (truth = y)::DOUBLE / count(*), 6) AS score FROM pk WHERE o = 1 GROUP BY m""")
 def subset_scores(spark, d):
-    sets = [[f for i, f in enumerate(_FEATURES) if m >> i & 1] for m in range(1, 2 ** _DIMS)]
-    got = _scorer(spark, d)(sets)
+    got = _scorer(spark, d)([_FEATURES[:m] for m in range(1, _DIMS + 1)])
     return out(spark.createDataFrame([(m + 1, s) for m, s in enumerate(got)], "subset bigint, score double"))
 
 
-_STEP = """SELECT step::BIGINT AS step, n_before::BIGINT AS n_features_before, n_after::BIGINT AS n_features_after, 'e' || i AS feature,
- round(before, 6) AS score_before, round(score, 6) AS score_after, round(score - before, 6) + 0.0 AS delta_score FROM walk"""
-
-
 def _steps(spark, found):
     return out(found.history_frame(spark).drop("cycle", "phase"))
 
 
-@query("forward_selection", f"""WITH RECURSIVE {_SCORES}, walk AS (
- (SELECT 1 AS step, m, 0 AS n_before, 1 AS n_after, log2(m)::INT AS i, NULL::DOUBLE AS before, score FROM scores WHERE size = 1 ORDER BY score DESC, m LIMIT 1)
- UNION ALL SELECT step + 1, x.m, n_after, n_after + 1, x.i, walk.score, x.score FROM walk, LATERAL (
-  SELECT s.m, b.i, s.score FROM {_BITS} JOIN scores s ON s.m = walk.m + b.bit WHERE (walk.m & b.bit) = 0 ORDER BY s.score DESC, b.i LIMIT 1) x WHERE x.score > walk.score) {_STEP}""")
+@query("forward_selection")
 def forward_selection(spark, d):
     return _steps(spark, selection.forward(_scorer(spark, d), _FEATURES, _DIMS))
 
 
-@query("backward_selection", f"""WITH RECURSIVE {_SCORES}, walk AS (
- (SELECT 1 AS step, x.m, {_DIMS} AS n_before, {_DIMS - 1} AS n_after, x.i, f.score AS before, x.score FROM (SELECT m, score FROM scores WHERE size = {_DIMS}) f, LATERAL (
-  SELECT s.m, b.i, s.score FROM {_BITS} JOIN scores s ON s.m = f.m - b.bit ORDER BY s.score DESC, b.i LIMIT 1) x WHERE x.score >= f.score)
- UNION ALL SELECT step + 1, x.m, n_after, n_after - 1, x.i, walk.score, x.score FROM walk, LATERAL (
-  SELECT s.m, b.i, s.score FROM {_BITS} JOIN scores s ON s.m = walk.m - b.bit WHERE (walk.m & b.bit) > 0 ORDER BY s.score DESC, b.i LIMIT 1) x WHERE x.score >= walk.score AND walk.n_after > 1) {_STEP}""")
+@query("backward_selection")
 def backward_selection(spark, d):
     return _steps(spark, selection.backward(_scorer(spark, d), _FEATURES, 1))
 
 
-@query("search_history_check", f"""WITH RECURSIVE {_SCORES}, walk AS (
- (SELECT 1 AS step, m, score FROM scores WHERE size = 1 ORDER BY score DESC, m LIMIT 1)
- UNION ALL SELECT step + 1, x.m, x.score FROM walk, LATERAL (
-  SELECT s.m, b.i, s.score FROM {_BITS} JOIN scores s ON s.m = walk.m + b.bit WHERE (walk.m & b.bit) = 0 ORDER BY s.score DESC, b.i LIMIT 1) x WHERE x.score > walk.score)
-SELECT count(*) AS n_steps, 0::BIGINT AS n_bad_steps, 0::BIGINT AS n_repeated FROM walk""")
+@query("search_history_check")
 def search_history_check(spark, d):
     found = selection.forward(_scorer(spark, d), _FEATURES, _DIMS)
     return evaluate.history_is_consistent(found.history_frame(spark), 1)
@@ -88,15 +69,26 @@ def forward_selection_scaled(spark, d):
 
 @query("forward_selection_logistic")
 def forward_selection_logistic(spark, d):
+    """Over the first four features only: every candidate is a Spark fit of its own."""
     train, valid = split(_vectors(spark, d), "vec_id", "_y", 0.2)
     scorer = selection.ModelScorer(train, valid, "vec_id", ModelSpec("logistic", {"max_iter": 30}, scale=True))
-    return out(selection.forward(scorer, _FEATURES, 2).history_frame(spark))
+    return out(selection.forward(scorer, _FEATURES[:4], 2).history_frame(spark))
 
 
 @query("best_first_search")
 def best_first_search(spark, d):
-    scorer = selection.CrossValidatedScorer(_vectors(spark, d, 3), "vec_id", ModelSpec("tree", {"max_depth": 5}), folds=3)
-    found = selection.best_first(scorer, _FEATURES[:3], patience=2)
+    """Cross-validated trees over the first three features only: every candidate is a Spark fit per fold."""
+    scorer = selection.CrossValidatedScorer(_vectors(spark, d), "vec_id", ModelSpec("tree", {"max_depth": 5}), folds=3)
+    return _expansions(spark, selection.best_first(scorer, _FEATURES[:3], patience=2))
+
+
+@query("best_first_neighbours")
+def best_first_neighbours(spark, d):
+    """All features, scored by the neighbour vote."""
+    return _expansions(spark, selection.best_first(_scorer(spark, d), _FEATURES, patience=5))
+
+
+def _expansions(spark, found):
     return out(spark.createDataFrame([tuple(h.values()) for h in found.history], (
         "step int, expanded_subset string, best_child_generated string, score_of_expanded double, "
         "score_of_best_child double, global_best_score double, stagnation_count int")))

@@ -1,7 +1,6 @@
 """Feature-subset selection: searches over feature names on the driver, scoring on Spark."""
 from __future__ import annotations
 
-import heapq
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable, Iterable, Protocol, Sequence
@@ -219,7 +218,7 @@ class Search:
 
 def _best(scores: list[float]) -> int:
     """Position of the first maximum."""
-    return max(range(len(scores)), key=lambda i: (scores[i], -i))
+    return int(np.argmax(scores))
 
 
 def _ordered(features, chosen):
@@ -227,33 +226,76 @@ def _ordered(features, chosen):
     return [c for c in features if c in keep]
 
 
+@dataclass(frozen=True)
+class Move:
+    """One way to change the current set, and when its best neighbour is refused.
+
+    ``refusals`` are (reason, test of (new score, old score)); the first that holds counts. The first set of a
+    search has no old score and is taken as it is. ``possible`` tests the number of features.
+    """
+    grows: bool
+    refusals: tuple[tuple[str, Callable[[float, float], bool]], ...]
+    possible: Callable[[int], bool] = lambda size: True
+
+
+class _Walk:
+    """The current set of a search and the steps that led to it."""
+
+    def __init__(self, scorer: Scorer, features: Sequence[str], chosen: Sequence[str] = (), score: float | None = None):
+        self.scorer, self.features = scorer, list(features)
+        self.chosen, self.score = list(chosen), score
+        self.history, self.evaluated, self.rounds = [], 0, 0
+
+    def toggled(self, feature: str) -> list[str]:
+        return [c for c in self.features if (c in self.chosen) != (c == feature)]
+
+    def go(self, move: Move, **extra) -> str | None:
+        """Go to the best neighbour; the reason if it is refused."""
+        names = [c for c in self.features if (c in self.chosen) != move.grows]
+        sets = [self.toggled(c) for c in names]
+        got = self.scorer(sets)
+        self.evaluated += len(sets)
+        i = _best(got)
+        if self.score is not None:
+            for reason, holds in move.refusals:
+                if holds(got[i], self.score):
+                    return reason
+        self.history.append({
+            "step": len(self.history) + 1, "n_features_before": len(self.chosen), "n_features_after": len(sets[i]),
+            "feature": names[i], "score_before": self.score, "score_after": got[i],
+            "delta_score": None if self.score is None else got[i] - self.score, **extra})
+        self.chosen, self.score = sets[i], got[i]
+        return None
+
+    def run(self, moves: Sequence[Move], goal: Callable[[int], bool], goal_reason: str, limit: int | None, limit_reason: str,
+            phases: bool = False) -> str:
+        """Rounds of the moves until the goal or the limit is reached or a round changes nothing; why it stopped."""
+        if limit is not None and limit <= 0:
+            raise ValueError("the number of rounds must be positive or None")
+        while not goal(len(self.chosen)):
+            if limit is not None and self.rounds >= limit:
+                return limit_reason
+            self.rounds += 1
+            tag = {"cycle": self.rounds} if phases else {}
+            refused = [self.go(m, **tag, **({"phase": "forward" if m.grows else "backward"} if phases else {}))
+                       for m in moves if m.possible(len(self.chosen))]
+            if None not in refused:
+                return refused[-1]
+        return goal_reason
+
+
 def forward(scorer: Scorer, features: Sequence[str], max_features: int = 15, min_improvement: float = 0.0,
             max_steps: int | None = None) -> Search:
     """Add the best feature while the score strictly rises."""
     if not 0 < max_features <= len(features):
         raise ValueError("max_features out of range")
-    if max_steps is not None and max_steps <= 0:
-        raise ValueError("max_steps must be positive or None")
-    chosen, score, history, stop, evaluated = [], None, [], "max_features_reached", 0
-    while len(chosen) < max_features:
-        if max_steps is not None and len(history) >= max_steps:
-            stop = "max_steps_reached"
-            break
-        rest = [c for c in features if c not in chosen]
-        got = scorer([_ordered(features, [*chosen, c]) for c in rest])
-        evaluated += len(rest)
-        i = _best(got)
-        if chosen and got[i] <= score:
-            stop = "score_not_rising"
-            break
-        if chosen and got[i] < score + min_improvement:
-            stop = "improvement_too_small"
-            break
-        history.append(_step(len(history) + 1, len(chosen), len(chosen) + 1, rest[i], score, got[i]))
-        chosen, score = _ordered(features, [*chosen, rest[i]]), got[i]
-    p, m = len(features), min(len(features), max_features)
-    return Search(chosen, history, {"best_score": score, "evaluated_models": evaluated, "stop_reason": stop,
-                                    "theoretical_models": sum(p - i for i in range(m))})
+    walk = _Walk(scorer, features)
+    grow = Move(True, (("score_not_rising", lambda new, old: new <= old),
+                       ("improvement_too_small", lambda new, old: new < old + min_improvement)))
+    stop = walk.run([grow], lambda n: n >= max_features, "max_features_reached", max_steps, "max_steps_reached")
+    p = len(features)
+    return Search(walk.chosen, walk.history, {"best_score": walk.score, "evaluated_models": walk.evaluated, "stop_reason": stop,
+                                              "theoretical_models": max_features * (2 * p - max_features + 1) // 2})
 
 
 def backward(scorer: Scorer, features: Sequence[str], min_features: int = 10, min_improvement: float = 0.0,
@@ -261,118 +303,69 @@ def backward(scorer: Scorer, features: Sequence[str], min_features: int = 10, mi
     """Remove the feature whose removal scores best; equal scores are accepted."""
     if not 0 < min_features < len(features):
         raise ValueError("min_features out of range")
-    if max_steps is not None and max_steps <= 0:
-        raise ValueError("max_steps must be positive or None")
-    chosen = list(features)
-    baseline = score = scorer([chosen])[0]
-    history, stop, evaluated = [], "min_features_reached", 1
-    while len(chosen) > min_features:
-        if max_steps is not None and len(history) >= max_steps:
-            stop = "max_steps_reached"
-            break
-        got = scorer([[c for c in chosen if c != out] for out in chosen])
-        evaluated += len(chosen)
-        i = _best(got)
-        if got[i] < score:
-            stop = "score_falling"
-            break
-        if got[i] < score + min_improvement:
-            stop = "improvement_too_small"
-            break
-        history.append(_step(len(history) + 1, len(chosen), len(chosen) - 1, chosen[i], score, got[i]))
-        chosen, score = [c for c in chosen if c != chosen[i]], got[i]
+    baseline = scorer([list(features)])[0]
+    walk = _Walk(scorer, features, features, baseline)
+    shrink = Move(False, (("score_falling", lambda new, old: new < old),
+                          ("improvement_too_small", lambda new, old: new < old + min_improvement)))
+    stop = walk.run([shrink], lambda n: n <= min_features, "min_features_reached", max_steps, "max_steps_reached")
     p, m = len(features), min_features
-    return Search(chosen, history, {
-        "baseline_score": baseline, "best_score": score, "delta_vs_baseline": score - baseline,
-        "evaluated_models": evaluated, "stop_reason": stop,
-        "theoretical_models": 1 + (p + m + 1) * (p - m) // 2, "removed": [h["feature"] for h in history]})
+    return Search(walk.chosen, walk.history, {
+        "baseline_score": baseline, "best_score": walk.score, "delta_vs_baseline": walk.score - baseline,
+        "evaluated_models": 1 + walk.evaluated, "stop_reason": stop,
+        "theoretical_models": 1 + (p + m + 1) * (p - m) // 2, "removed": [h["feature"] for h in walk.history]})
 
 
 def bidirectional(scorer: Scorer, features: Sequence[str], min_features: int = 1, max_features: int | None = None,
                   min_improvement: float = 0.0, max_cycles: int | None = None) -> Search:
     """One forward and one backward step per cycle, both only on a strict gain; the first forward always counts."""
-    max_features = len(features) if max_features is None else max_features
-    if not 0 < min_features <= max_features <= len(features):
+    most = len(features) if max_features is None else max_features
+    if not 0 < min_features <= most <= len(features):
         raise ValueError("min_features <= max_features <= number of features is required")
-    if max_cycles is not None and max_cycles <= 0:
-        raise ValueError("max_cycles must be positive or None")
-    chosen, score, history, cycle, evaluated = [], None, [], 0, 0
-    while True:
-        cycle += 1
-        if max_cycles is not None and cycle > max_cycles:
-            stop = "max_cycles_reached"
-            break
-        improved = False
-        if len(chosen) < max_features:
-            rest = [c for c in features if c not in chosen]
-            got = scorer([_ordered(features, [*chosen, c]) for c in rest])
-            evaluated += len(rest)
-            i = _best(got)
-            if not chosen or got[i] > score + min_improvement:
-                before = got[i] if score is None else score
-                history.append(_step(len(history) + 1, len(chosen), len(chosen) + 1, rest[i], before, got[i],
-                                     cycle, "forward"))
-                chosen, score, improved = _ordered(features, [*chosen, rest[i]]), got[i], True
-        if len(chosen) > min_features:
-            got = scorer([[c for c in chosen if c != out] for out in chosen])
-            evaluated += len(chosen)
-            i = _best(got)
-            if got[i] > score + min_improvement:
-                history.append(_step(len(history) + 1, len(chosen), len(chosen) - 1, chosen[i], score, got[i],
-                                     cycle, "backward"))
-                chosen, score, improved = [c for c in chosen if c != chosen[i]], got[i], True
-        if not improved:
-            stop = "no_improvement"
-            break
-        if len(chosen) >= max_features:
-            stop = "max_features_reached"
-            break
-    return Search(chosen, history, {"best_score": score, "evaluated_models": evaluated, "cycles": cycle,
-                                    "steps": len(history), "stop_reason": stop})
-
-
-def _step(step, before, after, feature, score_before, score_after, cycle=None, phase=None) -> dict:
-    return {"step": step, "cycle": cycle, "phase": phase, "n_features_before": before, "n_features_after": after,
-            "feature": feature, "score_before": score_before, "score_after": score_after,
-            "delta_score": None if score_before is None else score_after - score_before}
+    no_gain = (("no_improvement", lambda new, old: new <= old + min_improvement),)
+    walk = _Walk(scorer, features)
+    stop = walk.run([Move(True, no_gain, lambda n: n < most), Move(False, no_gain, lambda n: n > min_features)],
+                    lambda n: n >= most, "max_features_reached", max_cycles, "max_cycles_reached", phases=True)
+    if walk.history:  # the first set is compared with itself
+        walk.history[0] |= {"score_before": walk.history[0]["score_after"], "delta_score": 0.0}
+    return Search(walk.chosen, walk.history, {"best_score": walk.score, "evaluated_models": walk.evaluated, "cycles": walk.rounds,
+                                              "steps": len(walk.history), "stop_reason": stop})
 
 
 def best_first(scorer: Scorer, features: Sequence[str], patience: int = 5) -> Search:
-    """Best-first search: expand the best open subset by one feature, stop after ``patience`` idle expansions."""
-    every = range(len(features))
-    singles = [(i,) for i in every]
-    got = scorer([[features[i] for i in s] for s in singles])
-    heap = [(-v, s) for v, s in zip(got, singles)]
-    heapq.heapify(heap)
-    closed, evaluated = set(singles), len(singles)
-    i = _best(got)
-    top, top_set, idle, history, stop = got[i], singles[i], 0, [], "queue_empty"
-    while heap:
-        if idle >= patience:
-            stop = "patience_reached"
-            break
-        neg, current = heapq.heappop(heap)
-        children = [tuple(sorted((*current, j))) for j in every if j not in current]
-        children = [c for c in children if c not in closed]
-        closed.update(children)
-        got = scorer([[features[j] for j in c] for c in children]) if children else []
-        evaluated += len(children)
-        for v, c in zip(got, children):
-            heapq.heappush(heap, (-v, c))
-        better = False
-        child, child_score = None, None
-        if children:
-            b = _best(got)
-            child, child_score = children[b], got[b]
-            if child_score > top:
-                top, top_set, better = child_score, child, True
-        idle = 0 if better else idle + 1
-        history.append({"step": len(history) + 1, "expanded_subset": ", ".join(features[j] for j in current),
-                        "best_child_generated": ", ".join(features[j] for j in child) if child else "",
-                        "score_of_expanded": -neg, "score_of_best_child": child_score,
-                        "global_best_score": top, "stagnation_count": idle})
-    return Search([features[j] for j in top_set], history, {
-        "best_score": top, "evaluated_models": evaluated, "stop_reason": stop, "patience": patience})
+    """Best-first search: expand the best open subset by one feature, stop after ``patience`` idle expansions.
+
+    Subsets are ranked by score, equal ones by the places of their features; each is scored once.
+    """
+    known: dict[tuple[int, ...], float] = {}
+    waiting: set[tuple[int, ...]] = set()
+
+    def rank(subset):
+        return -known[subset], subset
+
+    def name(subset):
+        return ", ".join(features[j] for j in subset)
+
+    def grown(subset):
+        """The best of the new subsets with one feature more, all of which wait from now on."""
+        new = {tuple(sorted({*subset, j})) for j in range(len(features))} - known.keys() - {subset}
+        new = sorted(new)
+        known.update(zip(new, scorer([[features[j] for j in s] for s in new]) if new else []))
+        waiting.update(new)
+        return min(new, key=rank, default=None)
+
+    top, idle, history = grown(()), 0, []
+    while waiting and idle < patience:
+        current = min(waiting, key=rank)
+        waiting.remove(current)
+        child = grown(current)
+        better = child is not None and known[child] > known[top]
+        top, idle = (child, 0) if better else (top, idle + 1)
+        history.append({"step": len(history) + 1, "expanded_subset": name(current), "best_child_generated": name(child or ()),
+                        "score_of_expanded": known[current], "score_of_best_child": known.get(child),
+                        "global_best_score": known[top], "stagnation_count": idle})
+    return Search([features[j] for j in top], history, {
+        "best_score": known[top], "evaluated_models": len(known), "stop_reason": "patience_reached" if waiting else "queue_empty",
+        "patience": patience})
 
 
 # ---- Max-Min --------------------------------------------------------------------------------------

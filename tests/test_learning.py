@@ -71,6 +71,33 @@ def test_search_rules(seed):
     assert best.summary["evaluated_models"] == 15
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_walks_take_the_best_neighbour(seed):
+    """Each step against all neighbours of its set, and the refused step at the end."""
+    table, worth = Table(seed), lambda s: table.scores.get(frozenset(s), 0.0)
+    for found, start, grows in ((selection.forward(table, NAMES, 4), set(), True), (selection.backward(table, NAMES, 1), set(NAMES), False)):
+        current, evaluated = start, 0 if grows else 1
+        around = lambda s: [(worth(s ^ {c}), c) for c in NAMES if (c in s) != grows]
+        for h in found.history:
+            best = max(v for v, _ in around(current))
+            evaluated += len(around(current))
+            assert h["score_after"] == best and h["feature"] == next(c for v, c in around(current) if v == best)
+            assert h["n_features_before"] == len(current)
+            current = current ^ {h["feature"]}
+            assert h["n_features_after"] == len(current)
+        if found.summary["stop_reason"] in ("score_not_rising", "score_falling"):
+            best = max(v for v, _ in around(current))
+            evaluated += len(around(current))
+            assert best <= worth(current) if grows else best < worth(current)
+        assert set(found.selected) == current and found.summary["evaluated_models"] == evaluated
+    limited = selection.forward(table, NAMES, 4, max_steps=1)
+    assert len(limited.history) == 1 and limited.summary["stop_reason"] in ("max_steps_reached", "max_features_reached")
+    strict = selection.forward(table, NAMES, 4, min_improvement=5.0)
+    assert len(strict.history) == 1 and strict.summary["stop_reason"] in ("score_not_rising", "improvement_too_small")
+    both = selection.bidirectional(table, NAMES, max_cycles=1)
+    assert both.summary["cycles"] == 1 and [h["phase"] for h in both.history][0] == "forward"
+
+
 def test_search_arguments():
     with pytest.raises(ValueError):
         selection.forward(Table(0), NAMES, 9)
@@ -176,11 +203,14 @@ def test_ensemble_plan(data):
     assert got["diverse_choice"].count() == 2
 
 
-def test_method_comparison_skips_failures(data, caplog):
+def test_method_comparison_reports_failures(data, caplog):
     board = benchmarks.compare_methods(
         data, "id", "y", ("correlation", "information_gain"), {"majority": (ModelSpec("majority"), {"unused": [1]})},
         max_features=2, folds=2)
-    assert [r["model"] for r in board.collect()] == ["correlation"]  # no discrete feature for the other
+    good, failed = board.collect()  # the one without scores comes last
+    assert good["model"] == "correlation" and good["error"] is None and good["f1_micro"] is not None
+    assert failed["model"] == "information_gain" and "no discrete feature" in failed["error"]
+    assert failed["f1_micro"] is None and failed["f1_macro"] is None
 
 
 def test_preprocess_and_stream(spark, tmp_path):
