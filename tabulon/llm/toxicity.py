@@ -39,7 +39,7 @@ TRAIN_ROWS = 20_000
 LEAST_DOCS, EVIDENCE, LEAST_RATIO = 5, 10.0, 1.0
 PREFIXES = range(4, 9)
 #: Tokens whose readings a worker keeps in each of two generations, the longest of them; n-grams whose scores it keeps.
-TOKENS_KEPT, LONGEST_KEPT, GRAMS_KEPT = 130_000, 100, 400_000
+TOKENS_KEPT, LONGEST_KEPT, GRAMS_KEPT = 100_000, 100, 400_000
 #: Letters of a token that marks can hide.
 MASKED = 3
 #: Texts that a worker holds as strings at once.
