@@ -1,13 +1,16 @@
 """Exact nearest neighbours as a partitioned, pruned block join.
 
-Reference rows are cut into boxes by a k-d split fitted on a sample; a box with
-many rows (also one full of copies) is cut further into blocks. A query first meets
-its own box, which bounds its k-th distance, and then only the boxes closer than that
-bound. Blocks are compared with NumPy inside the tasks and give back k rows per query,
-never pairs.
+Reference rows fall into at most ``COARSE`` regions by a k-d split that the driver fits on a
+bounded sample. A task per region fits the fine split of that region into boxes, again on a
+bounded sample; splits and bounding boxes of the boxes stay in DataFrames, which grow with the
+table. A box with many rows (also one full of copies) is cut further into blocks. A query first
+meets its own box, which bounds its k-th distance, then the regions closer than that bound, and
+within them only the boxes closer than it. Blocks are compared with NumPy inside the tasks and
+give back k rows per query, never pairs.
 """
 from __future__ import annotations
 
+import pickle
 from typing import Iterable, Sequence
 
 import numpy as np
@@ -17,16 +20,18 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tabulon.session import cut
 
 BLOCK_ROWS = 2048
-# Rows (about so many, drawn from every partition) on which the splits are fitted. Results do not depend on them: a box
-# that holds more rows than a block is cut into blocks.
-SAMPLE_ROWS = 200_000
+# Regions of the coarse split, and rows (about so many, drawn from every partition) on which the split of the table or of
+# a region is fitted. Results do not depend on them: a box that holds more rows than a block is cut into blocks.
+COARSE, SAMPLE_ROWS = 64, 20_000
+# Rows of a region that one task takes to its fine split or to its boxes.
+REGION_ROWS = 100_000
 GROUPS_PER_TASK = 64
 
 
 # ---- k-d boxes ------------------------------------------------------------------------------
 
 class _Boxes:
-    """A k-d split: node arrays for assignment and, once measured, each leaf's bounding box."""
+    """A k-d split: node arrays for assignment."""
 
     def __init__(self, sample: np.ndarray, leaves: int):
         self.dim, self.cut, self.left, self.right, self.leaf = [], [], [], [], []
@@ -34,7 +39,6 @@ class _Boxes:
         self._grow(sample, leaves)
         for name in ("dim", "cut", "left", "right", "leaf"):
             setattr(self, name, np.asarray(getattr(self, name)))
-        self.lo = self.hi = self.count = None
 
     def _node(self, dim, cut_, leaf):
         self.dim.append(dim)
@@ -70,21 +74,22 @@ class _Boxes:
             below = x[inner, self.dim[at]] <= self.cut[at]
             node[inner] = np.where(below, self.left[at], self.right[at])
 
-    def near(self, x: np.ndarray, bound: np.ndarray, power: float):
-        """(row, leaf) index pairs of the boxes whose distance**power is within the bound."""
-        rows, leaves = [], []
-        step = max(1, 4_000_000 // max(1, self.n_leaves))
-        for s in range(0, len(x), step):
-            part = x[s:s + step]
-            acc = np.zeros((len(part), self.n_leaves))
-            for j in range(x.shape[1]):
-                v = part[:, j:j + 1]
-                gap = np.maximum(np.maximum(self.lo[None, :, j] - v, v - self.hi[None, :, j]), 0.0)
-                acc += gap ** power
-            r, b = np.nonzero(acc <= bound[s:s + step, None] * (1 + 1e-9) + 1e-300)
-            rows.append(r + s)
-            leaves.append(b)
-        return np.concatenate(rows), np.concatenate(leaves)
+
+def boxes_within(lo: np.ndarray, hi: np.ndarray, x: np.ndarray, bound: np.ndarray, power: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, box) index pairs of the boxes whose distance**power is within the row's bound."""
+    rows, boxes = [np.zeros(0, int)], [np.zeros(0, int)]
+    step = max(1, 4_000_000 // max(1, len(lo)))
+    for s in range(0, len(x), step):
+        part = x[s:s + step]
+        acc = np.zeros((len(part), len(lo)))
+        for j in range(x.shape[1]):
+            v = part[:, j:j + 1]
+            gap = np.maximum(np.maximum(lo[None, :, j] - v, v - hi[None, :, j]), 0.0)
+            acc += gap ** power
+        r, b = np.nonzero(acc <= bound[s:s + step, None] * (1 + 1e-9) + 1e-300)
+        rows.append(r + s)
+        boxes.append(b)
+    return np.concatenate(rows), np.concatenate(boxes)
 
 
 def _power(metric: str, p: float) -> float:
@@ -127,37 +132,25 @@ def _matrix(col: pd.Series, width: int) -> np.ndarray:
     return np.stack(col.to_numpy()).astype(float) if len(col) else np.zeros((0, width))
 
 
-def _block_count(sizes: dict[int, int]):
-    """Number of blocks of the row's box; boxes that fit one block are not listed."""
-    big = {leaf: -(-c // BLOCK_ROWS) for leaf, c in sizes.items() if c > BLOCK_ROWS}
-    if not big:
-        return F.lit(1)
-    table = F.create_map(*[F.lit(v) for kv in big.items() for v in kv])
-    return F.coalesce(F.try_element_at(table, F.col("leaf")), F.lit(1))
-
-
 def partitions_for(spark, groups: int) -> int:
     """Shuffle partitions for so many compute-heavy groups."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(1, min(2 * groups, max(least, -(-groups // GROUPS_PER_TASK))))
 
 
-def _sizes(df: DataFrame) -> dict[int, int]:
-    return {r[0]: r[1] for r in df.groupBy("leaf").count().collect()}
-
-
-def _compare(asks: DataFrame, refs: DataFrame, ask_sizes: dict, ref_sizes: dict, k: int, power: float,
-             width: int, payload: list[str], types: dict) -> DataFrame:
-    """Top-k of every (query block, reference block) of the same box, merged per query."""
-    n_ab, n_rb = _block_count(ask_sizes), _block_count(ref_sizes)
+def _compare(asks: DataFrame, refs: DataFrame, ref_sizes: DataFrame, k: int, power: float, width: int, payload: list[str],
+             types: dict) -> DataFrame:
+    """Top-k of every (query block, reference block) of the same box, merged per query; ``ref_sizes`` is (leaf, rows)."""
+    blocks = cut(asks.groupBy("leaf").agg(F.count("*").alias("c")).join(ref_sizes, "leaf").select(
+        "leaf", F.ceil(F.col("c") / BLOCK_ROWS).alias("n_ab"), F.ceil(F.col("rows") / BLOCK_ROWS).alias("n_rb")))
 
     def one(id_name, n):
-        return F.pmod(F.xxhash64(id_name), n).cast("int")
+        return F.pmod(F.xxhash64(id_name), F.col(n)).cast("int")
 
     def every(n):
-        return F.explode(F.sequence(F.lit(0), n - 1))
-    a = asks.withColumn("ab", one("query_id", n_ab)).withColumn("rb", every(n_rb))
-    r = refs.withColumn("rb", one("neighbor_id", n_rb)).withColumn("ab", every(n_ab))
+        return F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+    a = asks.join(blocks, "leaf").withColumn("ab", one("query_id", "n_ab")).withColumn("rb", every("n_rb"))
+    r = refs.join(blocks, "leaf").withColumn("rb", one("neighbor_id", "n_rb")).withColumn("ab", every("n_ab"))
     a = a.select("leaf", "ab", "rb", "query_id", "x")
     r = r.select("leaf", "ab", "rb", "neighbor_id", "x", *payload)
 
@@ -183,8 +176,7 @@ def _compare(asks: DataFrame, refs: DataFrame, ask_sizes: dict, ref_sizes: dict,
         T.StructField("psum", T.DoubleType()), *[T.StructField(c, types[c]) for c in payload]])
     keys = ["leaf", "ab", "rb"]
     # A fixed partition number: the work is in the comparison, which small input bytes would hide from AQE.
-    groups = sum(-(-c // BLOCK_ROWS) * -(-ref_sizes.get(leaf, 0) // BLOCK_ROWS) for leaf, c in ask_sizes.items())
-    n = partitions_for(a.sparkSession, groups)
+    n = partitions_for(a.sparkSession, int(blocks.agg(F.sum(F.col("n_ab") * F.col("n_rb"))).first()[0] or 0))
     a, r = a.repartition(n, *keys), r.repartition(n, *keys)
     return a.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(best, schema)
 
@@ -219,55 +211,111 @@ def nearest(queries: DataFrame, refs: DataFrame, features: Sequence[str], k: int
     return near.select("query_id", "neighbor_id", "rank", dist.alias("distance"), *payload)
 
 
+def _tasks(counts: dict[int, int]):
+    """Number of tasks for the rows of the row's region; ``counts`` has at most ``COARSE`` entries."""
+    several = {c: -(-n // REGION_ROWS) for c, n in counts.items() if n > REGION_ROWS}
+    if not several:
+        return F.lit(1)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in several.items() for v in kv]), F.col("region")), F.lit(1))
+
+
+def _with_region(rows: DataFrame, per_region: DataFrame, id_name: str, tasks, work, schema: T.StructType) -> DataFrame:
+    """``work(rows, per_region)`` of each region; the rows of a region are dealt to ``tasks`` tasks, each of which gets what
+    ``per_region`` has of it."""
+    dealt = rows.withColumn("_t", F.pmod(F.xxhash64(id_name), tasks).cast("int"))
+    given = per_region.withColumn("_t", F.explode(F.sequence(F.lit(0), tasks - 1)))
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({f.name: [] for f in schema}, dtype=object)
+        return work(left, right)
+    return dealt.groupBy("region", "_t").cogroup(given.groupBy("region", "_t")).applyInPandas(run, schema)
+
+
+def _region(split: _Boxes, node: int = 0):
+    """The region of column ``x``, as nested conditions over at most ``COARSE`` leaves."""
+    if split.leaf[node] >= 0:
+        return F.lit(int(split.leaf[node]))
+    below = F.col("x")[int(split.dim[node])] <= float(split.cut[node])
+    return F.when(below, _region(split, int(split.left[node]))).otherwise(_region(split, int(split.right[node])))
+
+
+def _fine_splits(rows: DataFrame, counts: dict[int, int], width: int) -> DataFrame:
+    """(region, split): the pickled split of each region into boxes of about ``BLOCK_ROWS`` rows."""
+    rates = F.create_map(*[F.lit(v) for c, n in counts.items() for v in (c, min(1.0, SAMPLE_ROWS / n))])
+    sample = rows.where(F.pmod(F.xxhash64(F.lit(7), "x"), F.lit(1 << 20)) < rates[F.col("region")] * (1 << 20)).select("region", "x")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = int(pdf["region"].iloc[0])
+        split = _Boxes(_matrix(pdf["x"], width), max(1, counts[c] // BLOCK_ROWS))
+        return pd.DataFrame({"region": [c], "split": [pickle.dumps(split)]})
+    fitted = sample.groupBy("region").applyInPandas(fit, "region int, split binary")
+    # A region whose sample is empty is one box.
+    every = rows.sparkSession.createDataFrame([(c,) for c in counts], "region int")
+    return cut(every.join(fitted, "region", "left"))
+
+
+def _boxed(rows: DataFrame, splits: DataFrame, id_name: str, tasks, width: int) -> DataFrame:
+    """``rows`` with ``leaf``, the number of their box: the region's in the upper half, the box's within it in the lower."""
+    schema = T.StructType([*rows.schema, T.StructField("leaf", T.LongType())])
+    names = rows.columns
+
+    def place(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        split = right["split"].iloc[0]
+        inside = pickle.loads(split).assign(_matrix(left["x"], width)) if split is not None else np.zeros(len(left), int)
+        return left[names].assign(leaf=(int(left["region"].iloc[0]) << 32) + inside.astype("int64"))
+    return cut(_with_region(rows, splits, id_name, tasks, place, schema))
+
+
 def _nearest_distinct(q: DataFrame, r: DataFrame, k: int, power: float, width: int, payload: list[str]) -> DataFrame:
     types = {f.name: f.dataType for f in [*r.schema, *q.schema]}
     n = r.count()
     share = min(1.0, SAMPLE_ROWS / max(n, 1))
     sample = r.select("x") if share >= 1.0 else r.sample(share, seed=7).select("x")
-    boxes = _Boxes(_matrix(sample.toPandas()["x"], width), max(1, n // BLOCK_ROWS))
-
-    def place(id_name, cols):
-        schema = T.StructType([*[T.StructField(c, types[c]) for c in cols], T.StructField("leaf", T.IntegerType())])
-
-        def run(batches):
-            for pdf in batches:
-                pdf["leaf"] = boxes.assign(_matrix(pdf["x"], width)).astype("int32")
-                yield pdf
-        return run, schema
-    run, schema = place("neighbor_id", ["neighbor_id", "x", *payload])
-    r = cut(r.mapInPandas(run, schema))
-    run, schema = place("query_id", ["query_id", "x"])
-    q = cut(q.mapInPandas(run, schema))
-
-    box_rows = r.groupBy("leaf").agg(F.count("*").alias("c"), *[
-        f(F.col("x")[j]).alias(f"{s}{j}") for j in range(width) for s, f in (("l", F.min), ("h", F.max))]).collect()
-    boxes.lo = np.full((boxes.n_leaves, width), np.inf)
-    boxes.hi = np.full((boxes.n_leaves, width), -np.inf)
-    ref_sizes = {}
-    for b in box_rows:
-        ref_sizes[b["leaf"]] = b["c"]
-        boxes.lo[b["leaf"]] = [b[f"l{j}"] for j in range(width)]
-        boxes.hi[b["leaf"]] = [b[f"h{j}"] for j in range(width)]
-
-    own = cut(_keep_best(_compare(q, r, _sizes(q), ref_sizes, k, power, width, payload, types), k))
+    split = _Boxes(_matrix(sample.toPandas()["x"], width), min(COARSE, max(1, n // BLOCK_ROWS)))
+    region = _region(split)
+    r = r.withColumn("region", region)
+    counts = {c: m for c, m in r.groupBy("region").count().collect()}
+    if not counts:
+        return _keep_best(r.select(F.lit(None).cast(types["query_id"]).alias("query_id"), "neighbor_id", F.lit(0.0).alias("psum"), *payload), k)
+    # Queries may lie in regions without references: those have no box of their own and no bound.
+    splits = _fine_splits(r, counts, width)
+    # A region has at most all queries, each once.
+    all_asked = F.lit(max(1, -(-q.count() // REGION_ROWS)))
+    r = _boxed(r, splits, "neighbor_id", _tasks(counts), width)
+    homes = _boxed(q.withColumn("region", region), splits, "query_id", all_asked, width)
+
+    def corner(f):
+        return F.array(*[f(F.col("x")[j]) for j in range(width)])
+    boxes = cut(r.groupBy("region", "leaf").agg(F.count("*").alias("rows"), corner(F.min).alias("lo"), corner(F.max).alias("hi")))
+    sizes = boxes.select("leaf", "rows")
+    own = cut(_keep_best(_compare(homes, r, sizes, k, power, width, payload, types), k))
     bound = own.groupBy("query_id").agg(F.max("psum").alias("m"), F.count("*").alias("c")).select(
         "query_id", F.when(F.col("c") >= k, F.col("m")).alias("bound"))
-    asked = q.join(bound, "query_id", "left").select("query_id", "x", F.col("leaf").alias("home"), "bound")
-    schema = T.StructType([T.StructField("query_id", types["query_id"]), T.StructField("x", types["x"]),
-                           T.StructField("leaf", T.IntegerType())])
+    asked = (q.join(homes.select("query_id", F.col("leaf").alias("home")), "query_id", "left")
+             .join(bound, "query_id", "left").select("query_id", "x", F.coalesce("home", F.lit(-1).cast("long")).alias("home"), "bound"))
+    # At most ``COARSE`` rows.
+    outer = boxes.groupBy("region").agg(*[f(F.col(c)[j]).alias(f"{c}{j}") for c, f in (("lo", F.min), ("hi", F.max)) for j in range(width)]).toPandas()
+    names = outer["region"].to_numpy()
+    corners = [outer[[f"{c}{j}" for j in range(width)]].to_numpy(float).reshape(-1, width) for c in ("lo", "hi")]
+    schema = T.StructType([*asked.schema, T.StructField("region", T.IntegerType())])
 
     def visit(batches):
         for pdf in batches:
-            limit = pdf["bound"].fillna(np.inf).to_numpy(dtype=float)
-            i, b = boxes.near(_matrix(pdf["x"], width), limit, power)
-            other = b != pdf["home"].to_numpy()[i]
-            i, b = i[other], b[other]
-            if not len(i):  # an empty list column has no Arrow form
-                continue
-            yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[i], "x": pdf["x"].to_numpy()[i],
-                                "leaf": b.astype("int32")})
-    more = cut(asked.mapInPandas(visit, schema))
-    rest = _compare(more, r, _sizes(more), ref_sizes, k, power, width, payload, types)
+            i, b = boxes_within(*corners, _matrix(pdf["x"], width), pdf["bound"].fillna(np.inf).to_numpy(dtype=float), power)
+            if len(i):  # an empty list column has no Arrow form
+                yield pdf.iloc[i].assign(region=names[b])
+    visits = asked.mapInPandas(visit, schema)
+
+    def narrow(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        i, b = boxes_within(_matrix(right["lo"], width), _matrix(right["hi"], width), _matrix(left["x"], width),
+                            left["bound"].fillna(np.inf).to_numpy(dtype=float), power)
+        leaf = right["leaf"].to_numpy()[b]
+        other = leaf != left["home"].to_numpy()[i]
+        return left[["query_id", "x"]].iloc[i[other]].assign(leaf=leaf[other])
+    schema = T.StructType([T.StructField("query_id", types["query_id"]), T.StructField("x", types["x"]), T.StructField("leaf", T.LongType())])
+    more = cut(_with_region(visits, boxes.drop("rows"), "query_id", all_asked, narrow, schema))
+    rest = _compare(more, r, sizes, k, power, width, payload, types)
     merged = own.select("query_id", "neighbor_id", "psum", *payload).unionByName(rest)
     return _keep_best(merged, k)
 

@@ -63,8 +63,10 @@ def _brute(x, y, k):
     return [list(np.lexsort((np.arange(len(y)), row))[:k]) for row in d]
 
 
-def test_pruned_neighbours_are_exact(spark, monkeypatch):
-    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 60)
+@pytest.mark.parametrize("limits", [{"BLOCK_ROWS": 60}, {"BLOCK_ROWS": 20, "COARSE": 4, "REGION_ROWS": 50, "SAMPLE_ROWS": 120}, {}])
+def test_pruned_neighbours_are_exact(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(neighbors, name, value)
     rng = np.random.default_rng(7)
     ref = np.concatenate([rng.normal(size=(500, 3)), np.zeros((300, 3)), rng.uniform(-5, 5, (100, 3))]).round(2)
     ask = np.concatenate([rng.normal(size=(80, 3)), np.zeros((20, 3))]).round(2)
@@ -74,6 +76,12 @@ def test_pruned_neighbours_are_exact(spark, monkeypatch):
     near = neighbors.nearest(df(ask), df(ref), ["a", "b", "c"], 7, "id").toPandas()
     got = near.sort_values("rank").groupby("query_id")["neighbor_id"].apply(list).to_dict()
     assert [got[i] for i in range(len(ask))] == _brute(ask, ref, 7)
+    assert neighbors.nearest(df(ask), df(ref).limit(0), ["a", "b", "c"], 7, "id").count() == 0
+    assert neighbors.nearest(df(ask).limit(0), df(ref), ["a", "b", "c"], 7, "id").count() == 0
+    far = df(np.array([[900.0, -900.0, 3.0], [0.0, 0.0, 0.0]]))  # beyond all boxes, and among copies
+    got = neighbors.nearest(far, df(ref), ["a", "b", "c"], 2, "id", metric="manhattan").orderBy("query_id", "rank").collect()
+    order = np.lexsort((np.arange(len(ref)), np.abs(ref - [900.0, -900.0, 3.0]).sum(1)))[:2]
+    assert [r.neighbor_id for r in got] == [*order, 500, 501]
 
 
 def _dbscan(x, eps, min_samples):
