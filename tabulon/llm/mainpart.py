@@ -27,7 +27,8 @@ from tabulon.llm.common import free_name, table
 
 WINDOW, SURGE = 3, 86
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*>""", re.S)
+#: A quote opens a value right after the equals sign only.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')|=(?!\s*["'])|[^>=])*)>|</?[a-zA-Z][^>]*>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")

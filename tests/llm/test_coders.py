@@ -238,3 +238,9 @@ def test_repeated_rows_are_candidates_each(spark):
     con = duckdb.connect()
     con.register("embeddings", df.toPandas())
     assert sorted(con.execute(topk.SQL).fetchall()) == got
+
+
+def test_main_text_with_quotes_in_unquoted_values():
+    body = "A paragraph that is long enough to be the text of a page, with a comma and some more words. " * 3
+    page = f"<html><body><div><p title=it's>Don't lose this. {body}</p><p data-x=a\"b>{body}</p><p title=\"a>b\">{body}</p></div></body></html>"
+    assert mainpart.main_text(page).split("\n") == [f"Don't lose this. {body.strip()}", body.strip(), body.strip()]
