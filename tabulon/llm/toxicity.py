@@ -39,7 +39,7 @@ TRAIN_ROWS = 20_000
 LEAST_DOCS, EVIDENCE, LEAST_RATIO = 5, 10.0, 1.0
 PREFIXES = range(4, 9)
 #: Tokens whose readings a worker keeps in each of two generations, the longest of them; n-grams whose scores it keeps.
-TOKENS_KEPT, LONGEST_KEPT, GRAMS_KEPT = 100_000, 100, 400_000
+TOKENS_KEPT, LONGEST_KEPT, GRAMS_KEPT = 200_000, 100, 400_000
 #: Letters of a token that marks can hide.
 MASKED = 3
 #: Texts that a worker holds as strings at once.
@@ -215,6 +215,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.read, self.known, self.older = model, Reader(model.counts), {}, {}
+        self.alike: dict[tuple, tuple] = {}  # one object for the many tokens of equal value
 
     @staticmethod
     def of(model: Model) -> Scorer:
@@ -235,6 +236,7 @@ class Scorer:
             if len(self.known) > TOKENS_KEPT:
                 self.older, self.known = self.known, {}
             found = (len(plain), total, hits)
+            found = self.alike.setdefault(found, found)
             if len(token) <= LONGEST_KEPT:
                 self.known[token] = found
         return found
@@ -281,7 +283,7 @@ def count_characters(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, n
             for x in _texts(b, 0):
                 if x:
                     words.update(x.lower().split())
-                    if len(words) > 2 * TOKENS_KEPT:
+                    if len(words) > TOKENS_KEPT:
                         total = added(words)
                         words.clear()
         seen, n = added(words)
