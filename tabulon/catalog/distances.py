@@ -124,6 +124,40 @@ def density_clusters_plane(spark, d):
     return longs(density.dbscan(_customers(spark, d), "c_custkey", ["nation", "balance"], 180.5, 6))
 
 
+_FIVE = ["balance", "n_orders", "total", "mean_price", "largest"]
+_FIVE_SQL = """t AS (SELECT o_custkey, count(*)::DOUBLE AS n_orders, sum(o_totalprice::DOUBLE) AS total, avg(o_totalprice::DOUBLE) AS mean_price, max(o_totalprice::DOUBLE) AS largest FROM orders GROUP BY 1),
+c AS (SELECT c_custkey AS id, c_acctbal::DOUBLE AS balance, n_orders, total, mean_price, largest FROM customer LEFT JOIN t ON o_custkey = c_custkey),
+f AS (SELECT id, """ + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM c)) AS {c}" for c in _FIVE) + """ FROM c),
+s AS (SELECT id, """ + ", ".join(f"({c} - (SELECT avg({c}) FROM f)) / (SELECT stddev_pop({c}) FROM f) AS {c}" for c in _FIVE) + """ FROM f),
+pairs AS (SELECT q.id AS i, r.id AS j, """ + " + ".join(f"(q.{c} - r.{c}) * (q.{c} - r.{c})" for c in _FIVE) + """ AS d FROM s q, s r),
+kd AS (SELECT sqrt(d) AS d FROM (SELECT d, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rank FROM pairs) WHERE rank = 10),
+eps AS (SELECT quantile_cont(d, 0.98) AS e FROM kd), near AS (SELECT i, j FROM pairs, eps WHERE d <= e * e),
+core AS (SELECT i FROM near GROUP BY 1 HAVING count(*) >= 10), link AS (SELECT i, j FROM near WHERE i IN (FROM core) AND j IN (FROM core)),
+reach AS (SELECT i AS src, i AS dst FROM core UNION SELECT src, j FROM reach JOIN link ON dst = i),
+root AS (SELECT dst AS i, min(src) AS root FROM reach GROUP BY 1), named AS (SELECT i, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM root),
+final AS (SELECT id, coalesce(any_value(own.cluster), min(other.cluster), -1) AS cluster FROM s LEFT JOIN named own ON own.i = id LEFT JOIN near ON near.i = id LEFT JOIN named other ON other.i = near.j GROUP BY 1)"""
+
+
+def _five_columns(spark, d):
+    orders = table(spark, d, "orders").withColumn("p", F.col("o_totalprice").cast("double")).groupBy("o_custkey").agg(
+        F.count("*").cast("double").alias("n_orders"), F.sum("p").alias("total"), F.avg("p").alias("mean_price"),
+        F.max("p").alias("largest"))
+    c = table(spark, d, "customer")
+    return c.join(orders, c.c_custkey == orders.o_custkey, "left").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").cast("double").alias("balance"), *_FIVE[1:])
+
+
+@query("density_outlier_run", f"WITH RECURSIVE {_FIVE_SQL} SELECT id, cluster, (cluster = -1)::BIGINT AS is_outlier FROM final")
+def density_outlier_run(spark, d):
+    return longs(density.density_outliers(_five_columns(spark, d), "id", _FIVE)["rows"].select("id", "cluster", "is_outlier"))
+
+
+@query("density_outlier_run_profile", f"WITH RECURSIVE {_FIVE_SQL} SELECT (cluster = -1)::BIGINT AS is_outlier, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM c), 2) AS pct, "
+       + ", ".join(f"round(avg({c}), 2) AS mean_{c}" for c in _FIVE) + " FROM final JOIN c USING (id) GROUP BY 1")
+def density_outlier_run_profile(spark, d):
+    return longs(density.density_outliers(_five_columns(spark, d), "id", _FIVE)["profile"])
+
+
 _RELIEF = """base AS (SELECT c_custkey AS id, c_mktsegment AS y, (c_acctbal - (SELECT min(c_acctbal) FROM customer)) / (SELECT max(c_acctbal) - min(c_acctbal) FROM customer) AS balance,
  (c_nationkey::DOUBLE - (SELECT min(c_nationkey) FROM customer)) / (SELECT max(c_nationkey) - min(c_nationkey) FROM customer) AS nation FROM customer),
 near AS (SELECT * FROM (SELECT q.id AS q, r.id AS r, q.y = r.y AS hit, (q.balance - r.balance) * (q.balance - r.balance) AS gb, (q.nation - r.nation) * (q.nation - r.nation) AS gn,

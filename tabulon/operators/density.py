@@ -2,8 +2,9 @@
 
 All points of a cell are neighbours of each other, so a cell holding ``min_samples``
 points is core as a whole and a hot cell never produces pairs. Only points of thin
-cells are compared with their neighbourhood. Two core cells are linked by comparing
-bounding boxes that are halved until the answer is certain.
+cells look at their neighbourhood, and there at boxes that count as a whole wherever
+they can. Two core cells are linked by comparing bounding boxes. Boxes are halved
+until the answer is certain.
 """
 from __future__ import annotations
 
@@ -21,6 +22,11 @@ from tabulon.session import cut
 
 #: Two boxes with up to so many pairs of points are compared point by point.
 POINT_PAIRS = 4096
+#: A point is compared with the points of a box of up to so many.
+BOX_POINTS = 64
+# Boxes are halved at most so often: beyond that their points differ in the last digits only.
+_HALVINGS = 40
+_TREE_BITS = 2
 
 
 def k_distances(df: DataFrame, id_col: str, features: Sequence[str], k: int) -> DataFrame:
@@ -63,21 +69,112 @@ def _boxes(points: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
         F.count("*").alias("m"), F.sum("w").alias("w"), F.min("pid").alias("first_id"))
 
 
+def _within(lo_a, hi_a, lo_b, hi_b, eps2: float) -> Column:
+    return _box_square(F.col(lo_a), F.col(hi_a), F.col(lo_b), F.col(hi_b), far=False) <= eps2
+
+
 def _near_cells(cells: DataFrame, width: int, eps2: float) -> DataFrame:
-    """(a, b) of the occupied cells whose boxes come within eps, a cell being near itself."""
+    """(a, b) of the occupied cells whose boxes come within eps, a cell being near itself.
+
+    Up to two coordinates the steps of a cell name its neighbours. More coordinates would give too many steps: the
+    cells form a tree instead, and a pair of nodes within eps is replaced by the pairs of their children, one side
+    at a time, so that every coordinate prunes at every level.
+    """
+    if width <= 2:
+        return _stepped_cells(cells, width, eps2)
+    ends = cells.agg(*[f(F.col("cell")[j]).alias(f"{n}{j}") for j in range(width)
+                       for f, n in ((F.min, "lo"), (F.max, "hi"))]).first()
+    if ends["lo0"] is None:
+        return cells.select(F.col("cell").alias("a"), F.col("cell").alias("b"))
+    base = F.array(*[F.lit(ends[f"lo{j}"]) for j in range(width)])
+    bits = max(ends[f"hi{j}"] - ends[f"lo{j}"] for j in range(width)).bit_length()
+    levels = list(range(0, bits + _TREE_BITS, _TREE_BITS))  # one node at the last
+    zero = F.zip_with("cell", base, lambda v, low: v - low)
+
+    def node(n):
+        return F.struct(F.lit(n).alias("level"), F.transform("zero", lambda v: F.shiftright(v, n)).alias("node"))
+    nodes = F.explode(F.array(*[node(n) for n in levels]))
+    tree = cut(cells.withColumn("zero", zero).select(nodes.alias("at"), "lo", "hi").groupBy("at.level", "at.node").agg(
+        F.array(*[F.min(F.col("lo")[j]) for j in range(width)]).alias("lo"),
+        F.array(*[F.max(F.col("hi")[j]) for j in range(width)]).alias("hi"))
+        .withColumn("up", F.transform("node", lambda v: F.shiftright(v, _TREE_BITS))))
+    # The lowest level with one node is the root.
+    single = {r["level"] for r in tree.groupBy("level").count().where("count = 1").collect()}
+    level = min(single)
+    root = tree.where(F.col("level") == level)
+    pairs = root.select(F.col("node").alias("a"), F.col("node").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
+    while level > 0:
+        level -= _TREE_BITS
+        kids = tree.where(F.col("level") == level)
+
+        def side(s):
+            return kids.select(F.col("up").alias(s), F.col("node").alias(f"new_{s}"), F.col("lo").alias(f"lo_{s}"),
+                               F.col("hi").alias(f"hi_{s}"))
+        half = pairs.join(side("a"), "a").where(_within("lo_a", "hi_a", "lo_b", "hi_b", eps2)).drop("lo_b", "hi_b")
+        both = half.join(side("b"), "b").where(_within("lo_a", "hi_a", "lo_b", "hi_b", eps2))
+        both = both.where((F.col("a") != F.col("b")) | (F.col("new_a") <= F.col("new_b")))  # each pair once
+        pairs = cut(both.select(F.col("new_a").alias("a"), F.col("new_b").alias("b"), "lo_b", "hi_b"))
+
+    def cell_of(v):
+        return F.zip_with(v, base, lambda x, low: x + low)
+    once = pairs.select(cell_of("a").alias("a"), cell_of("b").alias("b"))
+    return once.unionByName(once.where(F.col("a") != F.col("b")).select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _stepped_cells(cells: DataFrame, width: int, eps2: float) -> DataFrame:
     reach = math.floor(math.sqrt(width) * (1 + 1e-9)) + 1
-    steps = F.explode(F.sequence(F.lit(-reach), F.lit(reach)))
     left = cells.select(F.col("cell").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
-    left = left.withColumn("_s", steps).withColumn("g0", F.col("a")[0] + F.col("_s")).drop("_s")
-    right = cells.select(F.col("cell").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"),
-                         F.col("cell")[0].alias("g0"))
-    keys = ["g0"]
-    if width > 1:
-        left = left.withColumn("_s", steps).withColumn("g1", F.col("a")[1] + F.col("_s")).drop("_s")
-        right = right.withColumn("g1", F.col("cell")[1]) if "cell" in right.columns else right.withColumn("g1", F.col("b")[1])
-        keys.append("g1")
-    close = _box_square(F.col("lo_a"), F.col("hi_a"), F.col("lo_b"), F.col("hi_b"), far=False) <= eps2
-    return left.join(right, keys).where(close).select("a", "b")
+    right = cells.select(F.col("cell").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
+    for j in range(width):
+        left = (left.withColumn("_s", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
+                .withColumn(f"g{j}", F.col("a")[j] + F.col("_s")).drop("_s"))
+        right = right.withColumn(f"g{j}", F.col("b")[j])
+    return left.join(right, [f"g{j}" for j in range(width)]).where(
+        _within("lo_a", "hi_a", "lo_b", "hi_b", eps2)).select("a", "b")
+
+
+def _reached(ask: DataFrame, near: DataFrame, targets: DataFrame, width: int, eps2: float, side: float,
+             by: Sequence[str], need: int) -> DataFrame:
+    """(pid, b, w): weight of the targets of cell b within eps of each asked point, as far as ``need`` decides.
+
+    ``ask`` has (pid, x, a), ``targets`` (pid, x, w, cell). A box of targets inside eps counts as a whole, one beyond
+    eps goes, one of few points is compared point by point and any other is halved. What has reached ``need``
+    per ``by`` is asked no further, so a point never meets all points of a full cell.
+    """
+    def placed(at):
+        return targets.withColumn("sub", F.transform("x", lambda v: F.floor(v / F.lit(side / 2 ** at))))
+
+    def boxes(t):
+        return t.select(F.col("cell").alias("b"), "sub", "lo", "hi", "m", "w")
+    level, found = 0, None
+    open_ = (ask.join(near, "a").select("pid", "x", "b")
+             .join(boxes(_boxes(targets, ["cell"], width).withColumn("sub", F.col("cell"))), "b"))
+    while True:
+        gap = _box_square(F.col("x"), F.col("x"), F.col("lo"), F.col("hi"), far=False)
+        span = _box_square(F.col("x"), F.col("x"), F.col("lo"), F.col("hi"), far=True)
+        few = F.col("m") <= (BOX_POINTS if level < _HALVINGS else 1 << 62)
+        open_ = cut(open_.where(gap <= eps2).withColumn("state", F.when(span <= eps2, 0).when(few, 1).otherwise(2))
+                    .drop("lo", "hi", "m"))
+        points = placed(level).select(F.col("cell").alias("b"), "sub", F.col("x").alias("y"), F.col("w").alias("wy"))
+        close = (open_.where("state = 1").drop("w").join(points, ["b", "sub"])
+                 .where(_square(F.col("x"), F.col("y")) <= eps2).select("pid", "b", F.col("wy").alias("w")))
+        hit = open_.where("state = 0").select("pid", "b", "w").unionByName(close)
+        if found is not None:
+            hit = hit.unionByName(found)
+        found = cut(hit.groupBy("pid", "b").agg(F.sum("w").alias("w")))
+        wide = open_.where("state = 2").drop("state", "w")
+        if wide.isEmpty():
+            return found
+        done = found.groupBy(*by).agg(F.sum("w").alias("w")).where(F.col("w") >= need).select(*by)
+        wide = cut(wide.join(done, list(by), "left_anti"))
+        if wide.isEmpty():
+            return found
+        level += 1
+        busy = wide.select(F.col("b").alias("cell"), F.col("sub").alias("up")).distinct()
+        parts = placed(level).withColumn("up", F.transform("sub", lambda v: F.floor(v / F.lit(2.0))))
+        parts = _boxes(parts.join(busy, ["cell", "up"], "left_semi"), ["cell", "up", "sub"], width)
+        kids = parts.select(F.col("cell").alias("b"), "up", "sub", "lo", "hi", "m", "w")
+        open_ = wide.withColumnRenamed("sub", "up").join(kids, ["b", "up"]).drop("up")
 
 
 def dbscan(df: DataFrame, id_col: str, features: Sequence[str], eps: float, min_samples: int) -> DataFrame:
@@ -97,10 +194,8 @@ def dbscan(df: DataFrame, id_col: str, features: Sequence[str], eps: float, min_
 
     marked = points.join(cells.select("cell", "dense"), "cell")
     thin = marked.where(~F.col("dense"))
-    other = points.select(F.col("cell").alias("b"), F.col("x").alias("y"), F.col("w").alias("wy"))
-    counts = (thin.select("pid", "x", F.col("cell").alias("a")).join(near, "a").join(other, "b")
-              .where(_square(F.col("x"), F.col("y")) <= eps2)
-              .groupBy("pid").agg(F.sum("wy").alias("reach")))
+    counts = _reached(thin.select("pid", "x", F.col("cell").alias("a")), near, points, width, eps2, side,
+                      ["pid"], min_samples).groupBy("pid").agg(F.sum("w").alias("reach"))
     points = cut(marked.join(counts, "pid", "left")
                  .withColumn("core", F.col("dense") | (F.coalesce(F.col("reach"), F.lit(0)) >= min_samples))
                  .select("pid", "x", "w", "cell", "core"))
@@ -118,13 +213,11 @@ def dbscan(df: DataFrame, id_col: str, features: Sequence[str], eps: float, min_
         "cluster", F.col("cluster") - 1)
     cell_cluster = cut(cell_root.join(numbers, "root").select("cell", F.col("cluster").cast("long")))
 
-    core_cluster = core.join(cell_cluster, "cell").select("pid", "x", "cell", "cluster")
     rest = points.where("NOT core")
-    reach = core_cluster.select(F.col("cell").alias("b"), F.col("x").alias("y"), "cluster")
-    border = (rest.select("pid", "x", F.col("cell").alias("a")).join(near, "a").join(reach, "b")
-              .where(_square(F.col("x"), F.col("y")) <= eps2)
+    border = (_reached(rest.select("pid", "x", F.col("cell").alias("a")), near, core, width, eps2, side, ["pid", "b"], 1)
+              .join(cell_cluster.withColumnRenamed("cell", "b"), "b")
               .groupBy("pid").agg(F.min("cluster").alias("cluster")))
-    named = core_cluster.select("x", "cluster").unionByName(
+    named = core.join(cell_cluster, "cell").select("x", "cluster").unionByName(
         rest.join(border, "pid", "left").select("x", F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster")))
     return (rows.join(named, "x")
             .select(id_col, "cluster", (F.col("cluster") == -1).cast("int").alias("is_outlier")))
@@ -186,3 +279,21 @@ def outlier_profile(df: DataFrame, flag: str, features: Sequence[str], digits: i
     return df.groupBy(flag).agg(
         F.count("*").alias("n"), F.round(F.count("*") * 100.0 / F.lit(total), 2).alias("pct"),
         *[F.round(F.avg(c), digits).alias(f"mean_{c}") for c in features])
+
+
+def density_outliers(df: DataFrame, id_col: str, features: Sequence[str], min_samples: int = 10,
+                     eps: float | None = None, share: float = 0.98) -> dict:
+    """Median fill, scaling, eps from the k-distances, clusters and profile in one run.
+
+    ``rows`` has the id, the features as they came, cluster and is_outlier; ``profile`` the means of the
+    features (NULLs skipped) by is_outlier; ``eps`` the radius that was used.
+    """
+    features = list(features)
+    scaled = cut(prepare_continuous(df, id_col, features))
+    if eps is None:
+        eps = suggest_eps(k_distances(scaled, id_col, features, min_samples), share)
+    if not eps:
+        raise ValueError("eps must be positive: give one where most rows have copies")
+    found = dbscan(scaled, id_col, features, eps, min_samples)
+    rows = cut(df.select(id_col, *features).join(found, id_col))
+    return {"rows": rows, "profile": outlier_profile(rows, "is_outlier", features), "eps": eps}

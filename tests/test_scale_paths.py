@@ -102,8 +102,9 @@ def _dbscan(x, eps, min_samples):
     return label
 
 
-@pytest.mark.parametrize("dim,eps", [(1, 0.02), (2, 0.12), (3, 0.4)])
-def test_dbscan_equals_brute_force(spark, dim, eps):
+@pytest.mark.parametrize("dim,eps,box", [(1, 0.02, 64), (2, 0.12, 64), (2, 0.5, 2), (3, 0.4, 64), (5, 0.9, 64), (5, 1.6, 2)])
+def test_dbscan_equals_brute_force(spark, monkeypatch, dim, eps, box):
+    monkeypatch.setattr(density, "BOX_POINTS", box)
     rng = np.random.default_rng(dim)
     x = np.concatenate([rng.normal(0, .5, (150, dim)), rng.normal(3, .5, (150, dim)), rng.uniform(-3, 6, (60, dim)),
                         np.zeros((120, dim))]).round(3)
@@ -113,6 +114,28 @@ def test_dbscan_equals_brute_force(spark, dim, eps):
     assert (got == _dbscan(x, eps, 6)).all()
 
 
+def test_density_run_in_one_call(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(0, 1, (120, 3)), rng.normal(8, 1, (60, 3)), rng.uniform(-20, 20, (8, 3))])
+    known = x.copy()
+    known[::9, 1] = np.nan
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(known)],
+                               "id long, a double, b double, c double")
+    got = density.density_outliers(df, "id", ["a", "b", "c"], min_samples=6)
+    filled = np.where(np.isnan(known), np.nanmedian(known, axis=0), known)
+    scaled = (filled - filled.mean(0)) / filled.std(0)
+    dist = np.sqrt(((scaled[:, None] - scaled[None]) ** 2).sum(2))
+    assert got["eps"] == pytest.approx(np.percentile(np.sort(dist, 1)[:, 5], 98))
+    rows = got["rows"].orderBy("id").toPandas()
+    assert (rows["cluster"].to_numpy() == _dbscan(scaled, got["eps"], 6)).all()
+    assert rows["b"].isna().sum() == np.isnan(known[:, 1]).sum()
+    assert {r["is_outlier"]: r["n"] for r in got["profile"].collect()} == rows["is_outlier"].value_counts().to_dict()
+    same = spark.createDataFrame([(i, 1.0) for i in range(30)], "id long, a double")
+    with pytest.raises(ValueError):
+        density.density_outliers(same, "id", ["a"], min_samples=6)
+    assert density.dbscan(df.limit(0).select("id", "a", "b", "c"), "id", ["a", "b", "c"], 1.0, 3).count() == 0
+
+
 def test_same_samples_at_any_partitioning(spark, frame):
     def sample(parts):
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
