@@ -12,6 +12,9 @@ from tabulon.session import cut
 # Above this many values per group the built-in percentile (buffers in one task per group) is not used.
 GROUP_LIMIT = 4_000_000
 _SPLITS = 1000
+#: Ranges of a numeric column, and bins of each.
+RANGES = 1024
+BINS = 256
 
 
 def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -42,8 +45,10 @@ def quantiles(df: DataFrame, columns: Iterable[str], probs: Sequence[float],
     return _ranged_quantiles(df, columns, probs, keys)
 
 
-def _bucketed(df: DataFrame, column: str, edges: Sequence[float], name: str) -> DataFrame:
+def bucketed(df: DataFrame, column: str, edges: Sequence[float], name: str) -> DataFrame:
     """Number of the value range of a non-null double column, by binary search over the edges."""
+    if not len(edges):
+        return df.withColumn(name, F.lit(0))
     splits = [-math.inf, *sorted({float(e) for e in edges}), math.inf]
     return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df).withColumn(
         name, F.col(name).cast("int"))
@@ -61,7 +66,7 @@ def _ranged_quantiles(df, columns, probs, keys):
         F.percentile_approx("value", grid, F.lit(10 * _SPLITS)).alias("s")).collect()}
     bucket = F.lit(0)
     for i, (name, s) in enumerate(splits.items()):
-        counts = _bucketed(counts, "value", s, f"_b{i}")
+        counts = bucketed(counts, "value", s, f"_b{i}")
         bucket = F.when(F.col("column") == name, F.col(f"_b{i}")).otherwise(bucket)
     counts = counts.withColumn("bucket", bucket).drop(*[f"_b{i}" for i in range(len(splits))])
 
@@ -182,12 +187,34 @@ def by_hash_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str], value
     return _ranged(keyed, F.substring("_h", 1, 3), ["_h", id_col], list(by), "rn", "class_n", value, name).drop("_h")
 
 
+def value_bins(df: DataFrame, order_col: str, range_name: str, bin_name: str) -> DataFrame:
+    """Ranges of about equal size of a numeric column and, in each, bins of equal width; both ascend with the value.
+
+    At most ``RANGES`` ranges of ``BINS`` bins, so that a bin of 10^11 evenly spread values holds some 400,000 rows.
+    NULL lies in the first bin.
+    """
+    value = F.coalesce(F.col(order_col).cast("double"), F.lit(-math.inf))
+    grid = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    known = F.col(order_col).cast("double")
+    row = df.agg(F.percentile_approx(known, grid, F.lit(10 * RANGES)).alias("s"), F.min(known).alias("lo"),
+                 F.max(known).alias("hi")).first()
+    edges = sorted({float(e) for e in row["s"] or [0.0]})
+    low, high = [row["lo"] or 0.0, *edges], [*edges, row["hi"] or 0.0]
+    out = bucketed(df.withColumn("_o", value), "_o", edges, range_name)
+    place = F.col(range_name) + 1
+
+    def at(values):
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), place)
+    share = F.try_divide(F.col("_o") - at(low), at(high) - at(low))
+    inside = F.floor(F.coalesce(share, F.lit(0.0)) * F.lit(float(BINS)))
+    return out.withColumn(bin_name, F.greatest(F.lit(0), F.least(inside, F.lit(BINS - 1))).cast("int")).drop("_o")
+
+
 def by_value_rank(df: DataFrame, order_col: str, by: Sequence[str], value, name: str) -> DataFrame:
-    """Like ``by_hash_rank`` in the order of a unique numeric column, ranges cut by its quantiles."""
-    grid = F.array(*[F.lit(i / 256) for i in range(1, 256)])
-    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), grid, F.lit(4096)).alias("s")).first()
-    keyed = _bucketed(df.withColumn("_o", F.col(order_col).cast("double")), "_o", row["s"] or [0.0], "_range").drop("_o")
-    return _ranged(keyed, F.col("_range"), [order_col], list(by), "rn", "class_n", value, name).drop("_range")
+    """Like ``by_hash_rank`` in the order of a unique numeric column, cut into the bins of ``value_bins``."""
+    keyed = value_bins(df, order_col, "_range", "_bin")
+    bucket = F.col("_range") * F.lit(BINS) + F.col("_bin")
+    return _ranged(keyed, bucket, [order_col], list(by), "rn", "class_n", value, name).drop("_range", "_bin")
 
 
 def top_n(df: DataFrame, n: int, *order: Column | str) -> DataFrame:

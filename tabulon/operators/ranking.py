@@ -204,19 +204,25 @@ def relief(df: DataFrame, id_col: str, label: str, exclude: Iterable[str] = (),
         times = draw_with_replacement(scaled.select(id_col), id_col, n_iterations, seed).groupBy(id_col).agg(
             F.count("*").alias("times"))
         drawn = scaled.join(times, id_col)
-    near = neighbors.nearest(drawn, scaled, features, k, id_col, payload=["_y", *features])
+    # Neighbours carry id and class only; features are fetched for the hit and the miss of a draw.
+    near = neighbors.nearest(drawn, scaled, features, k, id_col, payload=["_y"])
     near = near.where(F.col("neighbor_id") != F.col("query_id"))
-    ask = drawn.select(F.col(id_col).alias("query_id"), F.col("_y").alias("y0"), "times",
-                       *[F.col(c).alias(f"q_{c}") for c in features])
-    # Nearest hit and miss by an ordered minimum instead of a sort per query.
-    gaps = [((F.col(f"q_{c}") - F.col(c)) * (F.col(f"q_{c}") - F.col(c))).alias(f"g{i}") for i, c in enumerate(features)]
-    joined = near.join(ask, "query_id").select(
-        "query_id", "times", (F.col("_y") == F.col("y0")).alias("hit"), F.struct("rank", *gaps).alias("s"))
-    first = joined.groupBy("query_id").agg(
-        F.first("times").alias("times"), F.min(F.when(F.col("hit"), F.col("s"))).alias("h"),
-        F.min(F.when(~F.col("hit"), F.col("s"))).alias("m")).where("h IS NOT NULL AND m IS NOT NULL")
-    total = first.agg(F.sum("times").alias("n_valid"), *[
-        F.sum(F.col("times") * (F.col(f"m.g{i}") - F.col(f"h.g{i}"))).alias(f"w{i}") for i in range(len(features))]).first()
+    own = drawn.select(F.col(id_col).alias("query_id"), F.col("_y").alias("y0"), "times")
+    place = F.struct("rank", F.col("neighbor_id").alias("id"))
+    same = F.col("_y") == F.col("y0")
+    picked = cut(near.join(own, "query_id").groupBy("query_id").agg(
+        F.first("times").alias("times"), F.min(F.when(same, place)).alias("hit"), F.min(F.when(~same, place)).alias("miss"))
+        .where("hit IS NOT NULL AND miss IS NOT NULL").select("query_id", "times", F.col("hit.id").alias("hit"), F.col("miss.id").alias("miss")))
+    rows = scaled.select(F.col(id_col).alias("_id"), F.array(*features).alias("_x"))
+
+    def fetch(t, key, name):
+        return t.join(rows.select(F.col("_id").alias(key), F.col("_x").alias(name)), key)
+    three = fetch(fetch(fetch(picked, "query_id", "q"), "hit", "h"), "miss", "m")
+
+    def gap(name, i):
+        return (F.col("q")[i] - F.col(name)[i]) * (F.col("q")[i] - F.col(name)[i])
+    total = three.agg(F.sum("times").alias("n_valid"), *[
+        F.sum(F.col("times") * (gap("m", i) - gap("h", i))).alias(f"w{i}") for i in range(len(features))]).first()
     n_valid = total["n_valid"]
     if not n_valid:
         raise ValueError("no draw has both a hit and a miss among its neighbours")

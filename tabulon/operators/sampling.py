@@ -5,9 +5,10 @@ partitioning nor on the engine; sizes are exact.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabulon.operators.order import by_hash_rank, by_value_rank, hash_order, hash_rank, number_rows
+from tabulon.operators.order import (
+    bucketed, by_hash_rank, by_value_rank, hash_order, hash_rank, number_rows, value_bins)
 from tabulon.session import cut
 
 
@@ -109,14 +110,34 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, shuffle
 
 
 def draw_with_replacement(df: DataFrame, id_col: str, m: int, seed: int = 42) -> DataFrame:
-    """m draws with replacement: (draw, row), draw i takes row md5(i:seed) mod n in id order."""
-    numbered = number_rows(df, [id_col], name="_no")
-    n = numbered.count()
-    draws = df.sparkSession.range(m).select(
-        F.col("id").alias("draw"),
-        (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)))), 1, 15), 16, 10)
-         .cast("long") % F.lit(n) + 1).alias("_no"))
-    return draws.join(numbered, "_no").drop("_no")
+    """m draws with replacement: (draw, row), draw i takes row md5(i:seed) mod n in id order.
+
+    Counts of id ranges and of bins inside them give the bin and the place in it of every draw; only bins that a draw
+    has hit are ranked, so the ids are never sorted as a whole and the table is not copied. Ids that are not numbers
+    are numbered by a sort.
+    """
+    spark = df.sparkSession
+    at = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+    if not isinstance(df.schema[id_col].dataType, T.NumericType):
+        numbered = number_rows(df, [id_col], name="_no")
+        draws = spark.range(m).select(F.col("id").alias("draw"), (at % F.lit(max(numbered.count(), 1)) + 1).alias("_no"))
+        return draws.join(numbered, "_no").drop("_no")
+    keyed = value_bins(df, id_col, "_range", "_bin")
+    bins = cut(keyed.groupBy("_range", "_bin").agg(F.count("*").alias("_c")))
+    start, starts = 0, []
+    for r in bins.groupBy("_range").agg(F.sum("_c").alias("c")).orderBy("_range").collect():  # at most RANGES rows
+        starts.append((r["_range"], start))
+        start += r["c"]
+    draws = spark.range(m).select(F.col("id").alias("draw"), (at % F.lit(max(start, 1))).alias("_at"))
+    draws = bucketed(draws.withColumn("_d", F.col("_at").cast("double")), "_d", [s for _, s in starts[1:]], "_i")
+    firsts = spark.createDataFrame([(i, r, s) for i, (r, s) in enumerate(starts)], "_i int, _range int, _start long")
+    over = Window.partitionBy("_range").orderBy("_bin")
+    ends = bins.withColumn("_to", F.sum("_c").over(over)).withColumn("_from", F.col("_to") - F.col("_c"))
+    placed = cut(draws.join(firsts, "_i").withColumn("_at", F.col("_at") - F.col("_start")).join(ends, "_range")
+                 .where("_at >= _from AND _at < _to").select("draw", "_range", "_bin", (F.col("_at") - F.col("_from") + 1).alias("_no")))
+    hit = keyed.join(placed.select("_range", "_bin").distinct(), ["_range", "_bin"], "left_semi").withColumn(
+        "_no", F.row_number().over(Window.partitionBy("_range", "_bin").orderBy(id_col)).cast("long"))
+    return placed.join(hit, ["_range", "_bin", "_no"]).drop("_range", "_bin", "_no")
 
 
 __all__ = ["balanced_sample", "stratified_sample", "uniform_sample", "shuffled", "cap_rows", "mark_split",

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tabulon.operators import density, graph, neighbors, order, sampling
+from tabulon.operators import clean, density, graph, neighbors, order, sampling
 
 
 @pytest.fixture()
@@ -155,3 +155,36 @@ def test_split_is_disjoint_and_complete(frame):
     assert train.select("id").intersect(test.select("id")).count() == 0
     capped = sampling.cap_rows(frame, "id", "g", 777)
     assert capped.count() == 777
+
+
+@pytest.mark.parametrize("ids", ["even", "skewed", "text"])
+def test_draws_hit_rows_by_place(spark, monkeypatch, ids):
+    monkeypatch.setattr(order, "RANGES", 7)
+    monkeypatch.setattr(order, "BINS", 3)
+    n = 500
+    values = {"even": np.arange(n) - 40, "skewed": np.concatenate([np.arange(n - 3), [10**9, 10**12, 10**15]]),
+              "text": np.array([f"k{i:04d}" for i in range(n)])}[ids]
+    df = spark.createDataFrame(pd.DataFrame({"id": values})).repartition(5)
+    got = {r["draw"]: r["id"] for r in sampling.draw_with_replacement(df, "id", 300, seed=9).collect()}
+    import hashlib
+    want = {i: sorted(values)[int(hashlib.md5(f"{i}:9".encode()).hexdigest()[:15], 16) % n] for i in range(300)}
+    assert got == want
+    assert sampling.draw_with_replacement(df.limit(0), "id", 5).count() == 0
+
+
+def test_ordered_folds_in_narrow_bins(spark, monkeypatch):
+    df = spark.createDataFrame([(i * i - 50, i % 3) for i in range(90)], "id long, y long")
+    many = _table(sampling.stratified_folds(df, "id", "y", 4, shuffle=False))
+    monkeypatch.setattr(order, "RANGES", 2)
+    monkeypatch.setattr(order, "BINS", 1)
+    assert many == _table(sampling.stratified_folds(df, "id", "y", 4, shuffle=False))
+
+
+def test_few_valued_is_exact_at_the_limit(spark):
+    df = spark.range(2000).select(
+        *[(F.col("id") % d / 7.0).alias(f"d{d}") for d in (1, 49, 50, 51, 90, 130, 2000)],
+        F.lit(None).cast("double").alias("none"), F.col("id").cast("string").alias("text"))
+    assert clean.few_valued(df, 50) == ["d1", "d49", "d50", "none", "text"]
+    assert clean.few_valued(df, 1) == ["d1", "none", "text"]
+    assert clean.few_valued(df.limit(0), 50) == df.columns
+    assert clean.few_valued(df, 1999) == [c for c in df.columns if c != "d2000"]
