@@ -57,6 +57,9 @@ _EDGE = re.compile(r"^(?:[^\w@$€£]|([@$€£])\1{2,})+|(?:[^\w@$€£]|([@$
 _SPACED = re.compile(r"(?<!\S)(?:[\w@$!] ){2,}[\w@$!](?!\S)")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: Marks at a token's ends that never stand for letters there, and letters that stand for others.
+_MARKS = ".,;:!?\"'()"
+_LIKE_LETTERS = frozenset(c for c in LEET if c.isalpha())
 
 
 _M1, _M2, _64 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
@@ -180,6 +183,12 @@ def tokens_of(text: str) -> Counter:
     return out
 
 
+def plain_word(token: str) -> str | None:
+    """The word of a token that is one word without anything to restore, as most are."""
+    word = token.strip(_MARKS)
+    return word if word.isalpha() and _LIKE_LETTERS.isdisjoint(word) and not _RUN.search(word) else None
+
+
 class Reader:
     """Words of tokens: as they stand, and restored where a token is suspicious."""
 
@@ -188,6 +197,9 @@ class Reader:
 
     def __call__(self, token: str) -> tuple[list[str], list[str]]:
         """(words as they stand, restored words)."""
+        word = plain_word(token)
+        if word:
+            return [word], []
         plain = _WORD.findall(token)
         core = _EDGE.sub("", token.replace(" ", ""))
         if not suspicious(core):
@@ -216,6 +228,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.read, self.known, self.older = model, Reader(model.counts), {}, {}
         self.alike: dict[tuple, tuple] = {}  # one object for the many tokens of equal value
+        self.heads = {e[:PREFIXES[0]] for e in model.lexicon}
 
     @staticmethod
     def of(model: Model) -> Scorer:
@@ -223,15 +236,21 @@ class Scorer:
             model.scorer = Scorer(model)
         return model.scorer
 
+    def weight(self, word: str) -> float:
+        """The largest weight of a word's entries; all of them begin like the word."""
+        if (word + "$")[:PREFIXES[0]] not in self.heads:
+            return 0.0
+        return max(self.model.lexicon.get(e, 0.0) for e in entries_of(word))
+
     def token(self, token: str) -> tuple[int, float, int]:
         found = self.known.get(token)
         if found is None and token in self.older:
             found = self.known[token] = self.older[token]
         if found is None:
             plain, restored = self.read(token)
-            lexicon, total, hits = self.model.lexicon, 0.0, 0
-            weight = lambda words: max((lexicon.get(e, 0.0) for w in words for e in entries_of(w)), default=0.0)
-            for best in [*(weight([w]) for w in plain), weight(restored)]:  # of several readings the worst counts
+            total, hits = 0.0, 0
+            for words in [*([w] for w in plain), restored]:  # of several readings the worst counts
+                best = max(map(self.weight, words), default=0.0)
                 total, hits = total + best, hits + (best > 0)
             if len(self.known) > TOKENS_KEPT:
                 self.older, self.known = self.known, {}
@@ -245,10 +264,16 @@ class Scorer:
         words = hits = 0
         total = 0.0
         for token, n in tokens_of(text).items():
-            w, t, h = self.token(token)
+            word = plain_word(token)  # as fast as a look into a large cache, which is left to the other tokens
+            if word:
+                w, t = 1, self.weight(word)
+                h = t > 0
+            else:
+                w, t, h = self.known.get(token) or self.token(token)
             words += w * n
-            n = min(n, REPEATS)
-            total, hits = total + t * n, hits + h * n
+            if h:
+                n = min(n, REPEATS)
+                total, hits = total + t * n, hits + h * n
         ratio = total + self.model.other * max(0, words - hits)
         return [max(-20.0, min(20.0, ratio)) / 5, min(total, 20.0) / 5, min(1.0, 20 * hits / max(words, 20)), 1.0]
 
