@@ -14,12 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabulon.llm.common import free_name, row_hash, table
+from tabulon.llm.common import free_name, stored, table
 
-RATIO = 0.05
+RATIO = 0.01
 MIN_PAGES = 5
-#: Parts into which the pages of one host are dealt when they meet the host's lines.
-SALTS = 64
 
 
 def _lines(text: Column) -> Column:
@@ -54,15 +52,14 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
                      min_pages: int = MIN_PAGES, dropped: str | None = None) -> DataFrame:
     """``pages`` without boilerplate lines; ``dropped`` names an added column with the number of lines taken out.
 
-    A host has at most (its mean number of lines per page) / ``ratio`` boilerplate lines, so its list is one array.
-    Pages meet it by host and a salt of their text, so that the pages of a hot host are dealt to many tasks.
+    A host has at most (its mean number of lines per page) / ``ratio`` boilerplate lines, so its list is one array. The lists
+    are stored first: by their size on disk the planner sends them to the pages, or else joins by host, where a hot host's
+    pages are split and each part meets the one list. In the first case no text is shuffled.
     """
-    h, s, bad, parts = (free_name(pages, x) for x in ("_host", "_salt", "_bad", "_parts"))
-    lists = (boilerplate(pages, host, text, ratio, min_pages).groupBy("host")
-             .agg(F.collect_set("line_key").alias(bad))
-             .select(F.col("host").alias(h), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(s), bad))
-    keyed = pages.withColumn(h, _host(host)).withColumn(s, F.pmod(row_hash(pages), F.lit(SALTS)).cast("int"))
-    joined = keyed.join(lists, [h, s], "left")
+    h, bad, parts = (free_name(pages, x) for x in ("_host", "_bad", "_parts"))
+    lists = stored(boilerplate(pages, host, text, ratio, min_pages).groupBy("host")
+                   .agg(F.collect_set("line_key").alias(bad)).withColumnRenamed("host", h), "lines")
+    joined = pages.withColumn(h, _host(host)).join(lists, h, "left")
     kept = F.filter(_lines(F.col(text)), lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(bad), _key(x)))
     out = joined.withColumn(parts, F.when(F.col(bad).isNotNull() & F.col(text).isNotNull(), kept))
     columns = [F.when(F.col(parts).isNull(), F.col(text)).otherwise(F.concat_ws("\n", parts)).alias(text) if c == text

@@ -47,6 +47,35 @@ def test_line_dedup_edges(spark):
     assert linededup.drop_boilerplate(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.011, 0.02, 0.05])
+def test_line_dedup_on_few_pages_of_a_large_host(spark, share):
+    """Boilerplate on 1 to 5 % of a large host's pages goes, in each language; rarer and other hosts' lines stay."""
+    n, notes = 6000, ["All rights reserved.", "Tous droits réservés."]
+    data = [page(i, "\n".join([f"first {i}", *(x for k, x in enumerate(notes) if i % int(1 / share) == k), f"last {i}"])) for i in range(n)]
+    data += [page(n + i, f"rare line\nbody {i}") for i in range(n // 200)]
+    data += [page(2 * n + i, f"{notes[0]}\nsmall host {i}", "b") for i in range(4)]
+    out = linededup.drop_boilerplate(spark.createDataFrame(data, DOCS), dropped="n")
+    got = {r.doc_id: (r.text, r.n) for r in out.collect()}
+    assert len(got) == len(data)
+    for i, text, host, *_ in data:
+        gone = [x for x in text.split("\n") if host == "a" and x in notes]
+        assert got[i] == ("\n".join(x for x in text.split("\n") if x not in gone), len(gone))
+
+
+def test_line_dedup_by_host_where_lists_are_large(spark):
+    """Without a broadcast the lists join by host, with the same result."""
+    data = [page(i, f"menu\nbody {i}", host) for i, host in enumerate(["a"] * 500 + ["b"] * 20 + [None] * 20)]
+    docs = spark.createDataFrame(data, DOCS)
+    want = rows(linededup.drop_boilerplate(docs), "doc_id", "text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = linededup.drop_boilerplate(docs)
+        assert "SortMergeJoin" in out._jdf.queryExecution().toString() and rows(out, "doc_id", "text") == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_chat_edges(spark):
     schema = "conv_id long, turn long, role string, text string, block string, ck string"
     data = [(1, 2, "ann", "Hi <|end|> there", "", ""), (1, 1, "bob", "yo", "", ""), (1, 1, "bob", "yo", "", ""), (1, 0, "system", "rules", "", ""),
