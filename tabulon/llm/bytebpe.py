@@ -1,9 +1,9 @@
 """Byte-level BPE by recursive DuckDB queries inside the tasks of a partition.
 
-Texts are cut by the tokenizer's pattern; each match is encoded separately. A task keeps the ids of words it has seen
-(twice ``WORDS_KEPT`` at most) and hands the new matches, ``PIECES`` at a time, to one recursive query: token-position rows join
-the merge table, each step contracts the leftmost minimum-rank pair of each match, matches without a mergeable pair leave
-the recursion. Decoding joins ids with the vocabulary and aggregates bytes in the order of positions.
+Texts are cut by the tokenizer's pattern; each match is encoded separately. A task keeps the ids of words and of matches
+it has seen (twice ``WORDS_KEPT`` of each at most) and hands the new matches, ``PIECES`` at a time, to one recursive query:
+token-position rows join the merge table, each step contracts the leftmost minimum-rank pair of each match, matches without
+a mergeable pair leave the recursion. Decoding joins ids with the vocabulary and aggregates bytes in the order of positions.
 
 The merge table has, for each token and each way to cut it into two tokens, the token's rank. Defined cases: a null or
 empty text has no ids and decodes to no bytes; rows are encoded one by one, whatever their ids; lone surrogates cannot
@@ -13,7 +13,6 @@ an unbroken run of letters of n bytes costs n * n / 2 rows. ``encode`` and ``dec
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -48,6 +47,17 @@ SELECT w, t FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w
 _DECODE = "SELECT d, list(b ORDER BY p) AS parts FROM ids JOIN vocabulary USING (t) GROUP BY d"
 
 
+#: White space besides the space.
+_GAPS = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+
+
+def _odd(text: str) -> bool:
+    """If a space stands at an end or beside other white space. A space between two other characters always begins a match;
+    texts with other gaps are cut whole."""
+    return (text[:1] == " " or text[-1:] == " " or "  " in text
+            or any(f" {c}" in text or f"{c} " in text for c in _GAPS if c in text))
+
+
 class Known:
     """Ids of words in two generations: words of the older one that are seen again move to the younger."""
 
@@ -76,8 +86,6 @@ class Bpe:
         import regex
         ranks = read_ranks(path)
         self.find = regex.compile(pattern).findall
-        # A space between two other non-space characters always begins a match; texts with other gaps are cut whole.
-        self.odd = re.compile(r" \s|\s |^ | $").search
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         cuts = np.array([(ranks[k[:i]], ranks[k[i:]], r) for k, r in ranks.items() for i in range(1, len(k))
                          if k[:i] in ranks and k[i:] in ranks], np.int32).reshape(-1, 3)
@@ -86,8 +94,8 @@ class Bpe:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM cuts")
         self.db.register("tokens", pa.table({"t": pa.array(ranks.values(), pa.int32()), "b": pa.array(ranks.keys(), pa.binary())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM tokens")
-        # Words as they stand, and words that follow a space, which their keys leave out.
-        self.known = {"": Known(), " ": Known()}
+        # Words as they stand, and words that follow a space, which their keys leave out; and the matches in them.
+        self.known, self.matches = {"": Known(), " ": Known()}, Known()
 
     def pieces(self, matches: list[str]) -> dict[str, bytes]:
         """Ids of pattern matches, as little-endian 32-bit integers."""
@@ -108,7 +116,7 @@ class Bpe:
 
     def words(self, text: str) -> tuple[list[str], list[str]]:
         """The words of a text: those as they stand, and after them those that follow a space each."""
-        if self.odd(text):
+        if _odd(text):
             return self.find(text), []
         head, *rest = text.split(" ")
         return [head], rest
@@ -116,9 +124,11 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = dict(zip(self.known, zip(*map(self.words, texts))))
         found = {before: {w: self.find(before + w) for w in known.missing(set().union(*cut[before]))} for before, known in self.known.items()}
-        ids = self.pieces(list(set().union(*(m for words in found.values() for m in words.values()))))
+        new = self.matches.missing(set().union(*(m for words in found.values() for m in words.values())))
+        self.matches.ids.update(self.pieces(new))
+        ids = self.matches.ids.__getitem__
         for before, words in found.items():
-            self.known[before].ids.update((w, b"".join(map(ids.__getitem__, matches))) for w, matches in words.items())
+            self.known[before].ids.update((w, b"".join(map(ids, matches))) for w, matches in words.items())
         plain, spaced = (known.ids.__getitem__ for known in self.known.values())
         return [b"".join(map(plain, a)) + b"".join(map(spaced, b)) for a, b in zip(*cut.values())]
 
@@ -128,7 +138,7 @@ class Bpe:
         out = [b""] * len(coded)
         if not len(ids):
             return out
-        place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = (np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         self.db.register("ids", pa.table({"d": np.repeat(np.arange(len(coded), dtype=np.int32), lengths), "p": place, "t": ids}))
         for b in self.db.sql(_DECODE).to_arrow_table().to_batches():
             # The bytes of a row's parts lie one after the other in the batch.
