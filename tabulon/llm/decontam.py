@@ -39,9 +39,10 @@ UNITS = ("mm cm dm m km inch inches foot feet ft yard yards mile miles mg g kg t
          "minute minutes h hour hours day days week weeks month months year years percent euro euros eur dollar dollars usd "
          "cent cents degree degrees meter meters metre metres kilometer kilometers kilometre kilometres kmh mph").split()
 
-_NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
+# The repeats are possessive: nothing follows that could fail, and the pattern engine goes through them without recursion.
+_NUMBER = r"\p{N}+(?:[.,]\p{N}+)*+"
 _CAPITAL = r"(?!(?:" + "|".join(PLAIN) + r")(?![\p{L}\p{M}]))\p{Lu}[\p{L}\p{M}]*"
-_NAME = r"(?=\p{Lu})(?<![\p{L}\p{M}])" + _CAPITAL + "(?: (?=\\p{Lu})" + _CAPITAL + ")*"
+_NAME = r"(?=\p{Lu})(?<![\p{L}\p{M}])" + _CAPITAL + "(?: (?=\\p{Lu})" + _CAPITAL + ")*+"
 _UNIT = r"(?<=\x{e000} ?)(?:" + "|".join(UNITS) + r")(?![\p{L}\p{M}])"
 _WORD = r"[\p{L}\p{M}]+|[\x{e000}-\x{e002}]"
 _RAW = _NAME + r"|[\p{L}\p{M}]+|" + _NUMBER

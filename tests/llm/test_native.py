@@ -125,6 +125,18 @@ def test_decontamination(spark):
     assert decontam.leaks(d.limit(0), b).count() == 0 and decontam.leaks(d, b.limit(0)).count() == 0
 
 
+def test_decontamination_of_long_runs_of_names_and_numbers(spark):
+    """A row of names or a chain of numbers of any length is one slot."""
+    names = " ".join(("Ann", "Bertha", "Cy")[i % 3] for i in range(40_000))
+    chain = ",".join(str(i) for i in range(40_000))
+    frame = "the old {} gave {} of the large boxes to all people of that small town on one cold day"
+    d = spark.createDataFrame([(1, frame.format(names, "12")), (2, frame.format("Ann", chain)), (3, names), (4, chain)], "doc_id long, text string")
+    b = spark.createDataFrame([(7, frame.format("Mary Jane", "7"))], "item_id long, text string")
+    assert rows(decontam.leaks(d, b), "doc_id", "item_id") == [(1, 7), (2, 7)]
+    assert [len(r.w) for r in d.select(decontam.template_words(F.col("text")).alias("w")).collect()] == [20, 20, 1, 1]
+    assert [len(r.r) for r in d.select(decontam.raw_words(F.col("text")).alias("r")).collect()] == [20, 20, 1, 1]
+
+
 def test_decontamination_of_numbers_and_short_items(spark, monkeypatch):
     """Items whose windows are mostly placeholders, or shorter than a window, are found as they stand."""
     sums = "Calculate 12 + 7 * 3 - 5 / 2 + 8 * 14 - 6 and 9"
