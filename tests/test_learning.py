@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabulon import DatasetSpec
-from tabulon.operators import ensemble, evaluate, models, pca, ranking, selection, tuning
+from tabulon.operators import ensemble, evaluate, models, pca, ranking, selection, subsetvote, tuning
 from tabulon.operators.ensemble import Expert
 from tabulon.operators.models import ModelSpec
 from tabulon.operators.sampling import split
@@ -41,6 +41,53 @@ def test_knn_scorer_equals_brute_force(data):
         assert score == pytest.approx(hits / len(v))
 
 
+def _vote_by_hand(d, y, k, weights):
+    """The class that the k nearest of distances ``d`` choose; null classes (-1) lose ties."""
+    near = [j for j in np.lexsort((np.arange(len(d)), d))[:k] if np.isfinite(d[j])]
+    w = {j: 1.0 if weights == "uniform" else float(d[j] == 0) if d[near[0]] == 0 else 1 / np.sqrt(d[j]) for j in near}
+    votes = {c: round(sum(w[j] for j in near if y[j] == c) / sum(w.values()), 12) for c in {y[j] for j in near}}
+    return min(votes, key=lambda c: (-votes[c], c < 0, c)) if votes else None
+
+
+@pytest.mark.parametrize("k,weights", [(5, "distance"), (3, "uniform")])
+def test_streamed_votes_equal_all_pairs(monkeypatch, k, weights):
+    """Stretches, bounds and windows leave the votes of all pairs, also with copies, nulls and repeated ids; few pairs are added up."""
+    for name, value in (("FIRST", 16), ("STRETCH", 200), ("ASKS", 13), ("PAIRS", 50)):
+        monkeypatch.setattr(subsetvote, name, value)
+    rng = np.random.default_rng(4)
+    b, q = rng.normal(size=(1500, 6)), rng.normal(size=(80, 6))
+    b[200:900] = b[5]
+    b[:, 4] = np.round(b[:, 4])
+    q[:10], q[10:20, 4], q[30], b[1000, 2] = b[5], 0.0, np.nan, np.nan
+    y, truth = rng.integers(0, 3, len(b)), rng.integers(0, 3, len(q))
+    y[7], truth[3] = -1, -1
+    ids = pd.Series([i // 2 if i < 6 else i for i in range(len(q))])
+    every = list(range(6))
+    searches = {"single": [[c] for c in every], "grow": [[1, 3, c] for c in (0, 2, 4, 5)] + [[1, 3]], "shrink": [[c for c in every if c != j] for j in every],
+                "prefixes": [every[:m] for m in range(1, 7)], "any": [[0], [2, 4], [1, 3, 5]]}
+    for sets in searches.values():
+        pairs = []
+        exact = subsetvote.Nearest._exact
+        monkeypatch.setattr(subsetvote.Nearest, "_exact", lambda self, i, rows, which: (pairs.append(len(i)), exact(self, i, rows, which))[1])
+        near = subsetvote.Nearest(q, sets, k)
+        for s in range(0, len(b), 400):
+            near.meet(b[s:s + 400], np.where(y < 0, subsetvote._NO_CLASS, y)[s:s + 400])
+        got = near.hits(ids, np.where(truth < 0, subsetvote._NO_TRUTH, truth), weights)
+        monkeypatch.setattr(subsetvote.Nearest, "_exact", exact)
+        assert sum(pairs) < len(sets) * b.shape[0] * q.shape[0] / 4
+        for s, n in zip(sets, got):
+            d = np.zeros((len(q), len(b)))
+            for c in s:
+                d = d + (q[:, c:c + 1] - b[None, :, c]) ** 2
+            d[np.isnan(d)] = np.inf
+            want = 0
+            for i in range(len(q)):
+                same = np.flatnonzero(ids == ids[i])  # rows of one id vote together: each brings its distances
+                both = np.stack([d[i] for i in same], 1).ravel()
+                want += truth[i] >= 0 and _vote_by_hand(both, np.repeat(y, len(same)), k, weights) == truth[i]
+            assert n == want, s
+
+
 class Table:
     """A scorer over a fixed score of every subset."""
 
