@@ -84,6 +84,27 @@ def test_pruned_neighbours_are_exact(spark, monkeypatch, limits):
     assert [r.neighbor_id for r in got] == [*order, 500, 501]
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_boxes_of_a_rare_value_and_blocks_of_queries(spark, monkeypatch, metric):
+    """0/1 columns: boxes stay even; queries of several boxes share a block; equal distances go to the smaller id."""
+    rng = np.random.default_rng(5)
+    ref = np.hstack([np.eye(25)[rng.integers(0, 25, 4000)] * 5, rng.integers(0, 60, (4000, 2))])
+    box = neighbors._Boxes(ref, 40).assign(ref)
+    assert np.bincount(box).max() < 400 and len(set(box)) == 40
+    for name, value in {"BLOCK_ROWS": 100, "COARSE": 8, "ASKED_ROWS": 64, "ASKS": 16, "PAIRS": 128}.items():
+        monkeypatch.setattr(neighbors, name, value)
+    ask = np.hstack([np.eye(25)[rng.integers(0, 25, 300)] * 5, rng.integers(-9, 70, (300, 2))])
+    names = [f"f{j}" for j in range(27)]
+
+    def df(x):
+        return spark.createDataFrame(pd.DataFrame(x, columns=names).assign(id=[f"r{i:05d}" for i in range(len(x))], v=np.arange(len(x))))
+    near = neighbors.nearest(df(ask), df(ref), names, 6, "id", ["v"], metric).toPandas().sort_values(["query_id", "rank"])
+    d = sum(np.abs(ask[:, j:j + 1] - ref[None, :, j]) ** (2 if metric == "euclidean" else 1) for j in range(27))
+    want = [np.lexsort((np.arange(len(ref)), row))[:6] for row in d]
+    assert near["v"].tolist() == np.concatenate(want).tolist()
+    assert near["neighbor_id"].tolist() == [f"r{i:05d}" for w in want for i in w]
+
+
 def _dbscan(x, eps, min_samples):
     n, label, c = len(x), np.full(len(x), -1), 0
     d = sum((x[:, j:j + 1] - x[None, :, j]) ** 2 for j in range(x.shape[1]))
