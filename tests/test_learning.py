@@ -88,6 +88,27 @@ def test_streamed_votes_equal_all_pairs(monkeypatch, k, weights):
             assert n == want, s
 
 
+@pytest.mark.parametrize("shape", ["plain", "offset", "huge", "tiny", "mixed"])
+def test_screens_let_in_little_and_lose_nothing(monkeypatch, shape):
+    """A backward step adds up few pairs besides those that enter, whatever the scale of the columns, and gives the nearest of all rows."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3040, 12))
+    x = {"plain": x, "offset": x + 1e7, "huge": x * 1e60, "tiny": x * 1e-30, "mixed": x * np.resize([1, 1e3, 10, 1e-3], 12)}[shape]
+    q, b, every = x[:40], x[40:], list(range(12))
+    for sets in ([[c for c in every if c != j] for j in every], [every[:m] for m in range(1, 13)], [[0, 3, c] for c in (1, 2, 4, 5)]):
+        pairs, exact = [], subsetvote.Nearest._exact
+        monkeypatch.setattr(subsetvote.Nearest, "_exact", lambda self, i, rows, which: (pairs.append(len(i)), exact(self, i, rows, which))[1])
+        near = subsetvote.Nearest(q, sets, 5)
+        near.meet(b, np.zeros(len(b), int))
+        monkeypatch.setattr(subsetvote.Nearest, "_exact", exact)
+        if len(sets) == 12 and len(sets[0]) == 11 and shape in ("plain", "offset"):
+            assert sum(pairs) < len(q) * len(b) / 4
+        for n, s in enumerate(sets):
+            d = ((q[:, None, s] - b[None, :, s]) ** 2).sum(2)
+            want = np.argsort(d, axis=1, kind="stable")[:, :5]
+            assert (np.sort(near.row[n], 1) == np.sort(want, 1)).all()
+
+
 class Table:
     """A scorer over a fixed score of every subset."""
 
