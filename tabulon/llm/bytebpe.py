@@ -14,18 +14,17 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tabulon.llm.common import free_name, table
+from tabulon.llm.common import free_name, held, table
 
 WORDS_KEPT, PIECES = 150_000, 40_000
-#: Bytes of texts or ids that go to one query (a longer text goes alone).
-BYTES_AT_ONCE = 4_000_000
+#: Bytes of texts or ids that a task takes at once, and bytes of ids that go to one decoding query (a longer text goes alone).
+BYTES_AT_ONCE, IDS_AT_ONCE = 4_000_000, 1_000_000
 _U32 = np.dtype("<u4")
 
 #: Rows (word, position, token, next position, next token). ``best`` is each word's leftmost pair of least rank; the second token's
@@ -133,6 +132,9 @@ class Bpe:
         return [b"".join(map(plain, a)) + b"".join(map(spaced, b)) for a, b in zip(*cut.values())]
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
+        return [x for s in _groups([len(x) for x in coded], IDS_AT_ONCE) for x in self._decode(coded[s])]
+
+    def _decode(self, coded: list[bytes]) -> list[bytes]:
         lengths = np.array([len(x) // 4 for x in coded], np.int64)
         ids = np.frombuffer(b"".join(coded), _U32).astype(np.int32)
         out = [b""] * len(coded)
@@ -163,10 +165,9 @@ def _groups(sizes: list[int], most: int) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-@lru_cache(maxsize=2)
 def _bpe(path: str, pattern: str) -> Bpe:
     """One coder for all tasks of a Python worker."""
-    return Bpe(path, pattern)
+    return held(("byte BPE", path, pattern), lambda: Bpe(path, pattern))
 
 
 def _added(df: DataFrame, names: list[str], read: str, work, keep: bool = True) -> DataFrame:

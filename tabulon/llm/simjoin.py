@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tabulon.llm.common import free_name, spread, stored, table
+from tabulon.llm.common import free_name, let_go, spread, stored, table
 from tabulon.operators.graph import components
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -142,6 +142,7 @@ def _prune(threshold: float, tolerance: float):
     need = least_matches(threshold, tolerance)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for t in _runs(batches, "unit"):
             unit = t.column("unit").to_numpy()
             starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
@@ -182,6 +183,7 @@ def _prune(threshold: float, tolerance: float):
 def _verify(threshold: float):
     """Rows of pruned blocks with their shingles to (node, links, root): verified links and a spanning forest per block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for whole in _runs(batches, "unit"):
             units = whole.column("unit").to_numpy()
             starts = np.flatnonzero(np.r_[True, units[1:] != units[:-1]])
@@ -238,6 +240,7 @@ def _described(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         make = Shingles(width)
         for b in batches:
             node, n, bands, keys, bits = [], [], [], [], []
@@ -292,6 +295,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
              .select("node", "text").dropDuplicates(["node"]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         make = Shingles(width)
         for b in batches:
             sets = [make(x).astype("<u8").tobytes() for x in b.column("text").to_pylist()]

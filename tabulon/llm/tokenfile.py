@@ -16,7 +16,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tabulon.llm.common import shared_folder, spread, stored, table
+from tabulon.llm.common import held, shared_folder, spread, stored, table
 
 SCALE = 20
 LOW = np.uint64(1 << 31)
@@ -97,10 +96,9 @@ class WordIds:
         return [(self._ids([t])[0].tobytes() if self.whole or None in p else b"".join(p)) + last for t, p in zip(texts, parts)]
 
 
-@lru_cache(maxsize=2)
 def _word_ids(path: str, added: bool) -> WordIds:
     """One encoder for all tasks of a Python worker."""
-    return WordIds(path, added)
+    return held(("word ids", path, added), lambda: WordIds(path, added))
 
 
 def token_ids(docs: DataFrame, path: str, end: int, doc_id: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:

@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabulon.llm.common import free_name, stored, table
+from tabulon.llm.common import free_name, let_go, stored, table
 
 ORDER, BACKOFF = 4, math.log(0.4)
 TRAIN_ROWS = 20_000
@@ -294,6 +294,7 @@ def _texts(b: pa.RecordBatch, column: int) -> Iterator[str]:
 def count_characters(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts) of the n-grams of the words of all documents; 16 bytes per n-gram reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def added(words: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -345,6 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     def tallies(wanted):
         """Per entry: toxic and other documents with it, its capped numbers there, as rows of one task each."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             read, known = Reader(counts.value), {}
             found = defaultdict(lambda: [0, 0, 0, 0])
             for b in batches:
@@ -400,6 +402,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     shared = sc.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         scorer = Scorer.of(shared.value)
         for b in batches:
             f = np.array([scorer.features(x) for x in _texts(b, 0)]).reshape(-1, 4)
@@ -430,6 +433,7 @@ def _mapped(docs: DataFrame, text: str, name: str, kind: T.DataType, arrow: pa.D
     place = len(source.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         work = make()
         for b in batches:
             done = [work(x or "") for x in _texts(b, place)]

@@ -244,3 +244,18 @@ def test_main_text_with_quotes_in_unquoted_values():
     body = "A paragraph that is long enough to be the text of a page, with a comma and some more words. " * 3
     page = f"<html><body><div><p title=it's>Don't lose this. {body}</p><p data-x=a\"b>{body}</p><p title=\"a>b\">{body}</p></div></body></html>"
     assert mainpart.main_text(page).split("\n") == [f"Don't lose this. {body.strip()}", body.strip(), body.strip()]
+
+
+def test_a_worker_keeps_one_large_object(tmp_path, spark, monkeypatch):
+    """Coders of two operators are not kept beside each other, tasks of other stages keep none, decoding goes by slices."""
+    from tabulon.llm import simjoin
+
+    first = bytebpe._bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    assert bytebpe._bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN) is first
+    tokenfile._word_ids(P.path("word_bpe_49k.json"), True)
+    assert [k[0] for k in common._held] == ["word ids"]
+    list(simjoin._verify(0.8)(iter([])))
+    assert not common._held
+    monkeypatch.setattr(bytebpe, "IDS_AT_ONCE", 20)
+    texts = ["", "one two three four five six seven eight nine ten", "a", "", "b c d e f g"]
+    assert first.decode(first.encode(texts)) == [t.encode() for t in texts]
