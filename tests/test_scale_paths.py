@@ -135,6 +135,21 @@ def test_dbscan_equals_brute_force(spark, monkeypatch, dim, eps, box):
     assert (got == _dbscan(x, eps, 6)).all()
 
 
+def test_dbscan_meets_few_cells_where_points_are_close(spark, monkeypatch):
+    met = []
+
+    def counted(*args, near=density._near_cells, **options):
+        pairs = near(*args, **options)
+        met.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(density, "_near_cells", counted)
+    x = np.random.default_rng(5).uniform(0, 1, (1500, 3)).round(4)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b", "c"]).assign(id=np.arange(len(x))))
+    got = density.dbscan(df, "id", ["a", "b", "c"], 0.2, 6).toPandas().sort_values("id")["cluster"].to_numpy()
+    assert (got == _dbscan(x, 0.2, 6)).all()
+    assert sum(met) < 10_000  # 20,435 when every near cell is met
+
+
 def test_density_run_in_one_call(spark):
     rng = np.random.default_rng(11)
     x = np.concatenate([rng.normal(0, 1, (120, 3)), rng.normal(8, 1, (60, 3)), rng.uniform(-20, 20, (8, 3))])
