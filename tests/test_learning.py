@@ -109,6 +109,27 @@ def test_screens_let_in_little_and_lose_nothing(monkeypatch, shape):
             assert (np.sort(near.row[n], 1) == np.sort(want, 1)).all()
 
 
+@pytest.mark.parametrize("case", ["grow", "shrink"])
+def test_steps_add_up_few_gaps(monkeypatch, case):
+    """A search step adds up gaps for few sets of a pair, not for all sets of each pair that is near over the common columns."""
+    rng = np.random.default_rng(3)
+    q, b, met = rng.normal(size=(150, 16)), rng.normal(size=(6000, 16)), []
+    b[100:140] = b[7]
+    q[5], q[6, 3], b[50, 2] = b[7], np.nan, np.nan
+    sets = [[0, 3, 9, c] for c in range(16) if c not in (0, 3, 9)] if case == "grow" else [[c for c in range(9) if c != j] for j in range(9)]
+    gap = subsetvote._Screen.gap
+    monkeypatch.setattr(subsetvote._Screen, "gap", lambda self, i, j, c: (met.append(len(i)), gap(self, i, j, c))[1])
+    near = subsetvote.Nearest(q, sets, 5)
+    for s in range(0, len(b), 2500):
+        near.meet(b[s:s + 2500], np.zeros(len(b[s:s + 2500]), int))
+    assert sum(met) < (100 if case == "grow" else 250) * len(q) * len(sets)
+    for n, s in enumerate(sets):
+        d = ((q[:, None, s] - b[None, :, s]) ** 2).sum(2)
+        want = np.argsort(d, axis=1, kind="stable")[:, :5]
+        known = ~np.isnan(d).all(1)
+        assert (np.sort(near.row[n], 1) == np.sort(want, 1))[known].all() and (near.row[n][~known] == -1).all()
+
+
 class Table:
     """A scorer over a fixed score of every subset."""
 
