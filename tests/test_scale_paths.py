@@ -224,3 +224,50 @@ def test_few_valued_is_exact_at_the_limit(spark):
     assert clean.few_valued(df, 1) == ["d1", "none", "text"]
     assert clean.few_valued(df.limit(0), 50) == df.columns
     assert clean.few_valued(df, 1999) == [c for c in df.columns if c != "d2000"]
+
+
+@pytest.mark.parametrize("power", [1.0, 2.0])
+def test_sieve_adds_up_few_pairs(monkeypatch, power):
+    """Many columns: estimates leave few pairs to add up, and the nearest of all rows, also with copies, offsets, flags and nulls."""
+    rng = np.random.default_rng(11)
+    q, b, met = rng.normal(size=(60, 24)), rng.normal(size=(5000, 24)), []
+    b[40:90], q[3] = b[7], b[7]
+    q[:, 5] += 1e4
+    b[:, 5] += 1e4
+    q[:, 6], b[:, 6] = rng.integers(0, 2, 60), rng.integers(0, 2, 5000)
+    q[9], b[4000] = np.nan, np.nan
+    sums, distances = neighbors.power_sums, getattr(neighbors._Nearer, "_distances", None)
+    monkeypatch.setattr(neighbors, "power_sums", lambda a, b, p: (met.append(len(a) * len(b)), sums(a, b, p))[1])
+    monkeypatch.setattr(neighbors._Nearer, "_distances", lambda self, x, r, i, j: (met.append(len(i)), distances(self, x, r, i, j))[1], raising=False)
+    near, found = neighbors._Nearer(q, np.full(60, -1), np.full(60, np.inf), 6, power), []
+    for s in range(0, len(b), 500):
+        i, j, d = near.meet(0, b[s:s + 500])
+        found += zip(i.tolist(), d.tolist(), (j + s).tolist())
+    assert sum(met) < len(q) * len(b) / 6
+    for i in range(len(q)):
+        d = np.cumsum(np.abs(q[i] - b) ** power, axis=1)[:, -1]
+        want = [(d[j], j) for j in np.lexsort((np.arange(len(b)), d))[:6]] if i != 9 else []
+        assert sorted((e, j) for n, e, j in found if n == i)[:6] == want
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_many_dimensions_need_no_boxes(spark, monkeypatch, metric):
+    """Where a query would meet most boxes, blocks of queries meet all rows in one job."""
+    rng = np.random.default_rng(13)
+    ref, ask = rng.normal(size=(900, 20)).round(1), rng.normal(size=(70, 20)).round(1)
+    ref[100:130], ask[4], ask[8] = ref[3], ref[3], ask[5]
+    names = [f"f{j}" for j in range(20)]
+
+    def boxes(*_):
+        raise AssertionError("boxes")
+    for name, value in {"BLOCK_ROWS": 50, "ASKED_ROWS": 16, "ASKS": 8, "PAIRS": 64, "_boxed": boxes}.items():
+        monkeypatch.setattr(neighbors, name, value)
+
+    def df(x):
+        return spark.createDataFrame(pd.DataFrame(x, columns=names).assign(id=np.arange(len(x)), v=np.arange(len(x)) % 7))
+    near = neighbors.nearest(df(ask), df(ref), names, 5, "id", ["v"], metric).toPandas().sort_values(["query_id", "rank"])
+    d = sum(np.abs(ask[:, j:j + 1] - ref[None, :, j]) ** (2 if metric == "euclidean" else 1) for j in range(20))
+    want = np.concatenate([np.lexsort((np.arange(len(ref)), row))[:5] for row in d])
+    assert near["neighbor_id"].tolist() == want.tolist() and near["v"].tolist() == (want % 7).tolist()
+    # Few dimensions keep their boxes.
+    assert not neighbors._needs_most_boxes(rng.normal(size=(5000, 2)), 100_000, 5, 2.0)
